@@ -14,10 +14,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.detail import KeyMap, resolve_keys
+from ..operators.bridge import append_bridge, build_bridge
+from ..operators.detail import KeyMap, resolve_keys, upsert_detail
+from ..operators.dimensions import (build_child_dimension, build_dimension,
+                                    extend_child_dimension, latest_per_key, upsert_dimension)
 from ..operators.facts import rollup_fact, star_rows
 from ..operators.ids import dense_ids
-from ..operators.lookups import build_lookup
+from ..operators.lookups import build_lookup, extend_lookup
+from ..operators.quality import check_not_empty, check_unique, profile_table, run_checks
+from ..operators.ranks import measure_by_child_count, rank_by, register_views
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -107,10 +112,169 @@ def q_resolve_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("o_orderkey", "priority_id")
 
 
+def _before(col: str, ts: str) -> F.Column:
+    return F.col(col) < F.lit(ts).cast("timestamp_ntz")
+
+
+def _from(col: str, ts: str) -> F.Column:
+    return F.col(col) >= F.lit(ts).cast("timestamp_ntz")
+
+
+def q_extend_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers known from the first quarter, extended by the next quarter."""
+    orders = table(spark, sf_dir, "orders")
+    q1 = orders.where(_before("o_orderdate", "1995-04-01"))
+    q2 = orders.where(_from("o_orderdate", "1995-04-01") & _before("o_orderdate", "1995-07-01"))
+    existing = build_lookup(q1, "o_custkey", "id", "o_custkey")
+    return extend_lookup(existing, q2, "o_custkey", "id", "o_custkey")
+
+
+def q_latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events")
+    return latest_per_key(events, "user_id", ["ts", "event_id"], ["event_type", "value"])
+
+
+_ORDER_ATTRS = ["o_orderstatus", "o_totalprice"]
+_NEWEST = ["o_orderdate", "o_orderkey"]
+
+
+def q_build_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders")
+    return build_dimension(orders, "o_custkey", _ORDER_ATTRS, _NEWEST, "cust_id")
+
+
+def q_upsert_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer dimension of the first quarter upserted with the second."""
+    orders = table(spark, sf_dir, "orders")
+    q1 = orders.where(_before("o_orderdate", "1995-04-01"))
+    q2 = orders.where(_from("o_orderdate", "1995-04-01") & _before("o_orderdate", "1995-07-01"))
+    existing = build_dimension(q1, "o_custkey", _ORDER_ATTRS, _NEWEST, "cust_id")
+    return upsert_dimension(existing, q2, "o_custkey", _ORDER_ATTRS, _NEWEST, "cust_id")
+
+
+def _brands(part: DataFrame) -> DataFrame:
+    return build_lookup(part, "p_brand", "brand_id", "brand_desc")
+
+
+def q_build_child_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part")
+    return build_child_dimension(part, "p_name", "p_brand", _brands(part), "brand_desc",
+                                 "brand_id", "id")
+
+
+def q_extend_child_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Child dimension of small parts, extended with all parts."""
+    part = table(spark, sf_dir, "part")
+    brands = _brands(part)
+    existing = build_child_dimension(part.where(F.col("p_size") <= 25), "p_name", "p_brand",
+                                     brands, "brand_desc", "brand_id", "id")
+    return extend_child_dimension(existing, part, "p_name", "p_brand", brands, "brand_desc",
+                                  "brand_id", "id")
+
+
+def q_build_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part")
+    dim = dense_ids(part.where(F.col("p_size") <= 25).select("p_partkey"), ["p_partkey"], "id")
+    lineitem = table(spark, sf_dir, "lineitem")
+    return build_bridge(lineitem, "l_orderkey", [("l_partkey", "p_partkey")], dim, "id",
+                        id_name="part_id")
+
+
+def q_append_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lineitem = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
+    first = lineitem.where(F.col("l_linenumber") == 1).select("l_orderkey", "l_partkey")
+    second = lineitem.where(F.col("l_linenumber") <= 2).select("l_orderkey", "l_partkey")
+    return append_bridge(first, second)
+
+
+def q_upsert_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order snapshot up to 1997 upserted with a later extract in which open
+    orders have been fulfilled."""
+    orders = table(spark, sf_dir, "orders")
+    cols = ["o_orderkey", "o_orderstatus", "o_totalprice"]
+    old = orders.where(_before("o_orderdate", "1998-01-01")).select(*cols)
+    new = orders.where(_from("o_orderdate", "1997-07-01")).select(
+        "o_orderkey",
+        F.when(F.col("o_orderstatus") == "O", F.lit("F")).otherwise(F.col("o_orderstatus"))
+        .alias("o_orderstatus"),
+        "o_totalprice")
+    return upsert_detail(old, new, "o_orderkey")
+
+
+def q_check_not_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return check_not_empty(table(spark, sf_dir, "orders"))
+
+
+def q_check_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return check_unique(table(spark, sf_dir, "part"), "p_name")
+
+
+def q_run_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part")
+    return run_checks({
+        "orders_not_empty": check_not_empty(table(spark, sf_dir, "orders")),
+        "part_name_unique": check_unique(part, "p_name"),
+        "part_key_unique": check_unique(part, "p_partkey"),
+    }).withColumnRenamed("check", "check_name")
+
+
+def q_profile_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile_table(table(spark, sf_dir, "part"), ["p_brand", "p_size"])
+
+
+def q_rank_by(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Brands ranked by quantity sold."""
+    rows = table(spark, sf_dir, "lineitem").join(
+        table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    ranked = rank_by(rows, "p_brand", F.col("l_quantity").cast("decimal(18,2)"))
+    return ranked.select("p_brand", F.col("total").cast("double").alias("total"), "rnk")
+
+
+def q_rank_by_average(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R2: customers ranked by average order value."""
+    orders = table(spark, sf_dir, "orders")
+    return rank_by(orders, "o_custkey", F.col("o_totalprice").cast("decimal(18,2)"),
+                   how="avg", value_name="avg_price")
+
+
+def q_measure_by_child_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean order value by number of line items."""
+    return measure_by_child_count(
+        table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"), "o_orderkey",
+        F.col("o_totalprice").cast("decimal(18,2)"), bridge_item="l_orderkey")
+
+
+def q_adhoc_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ad-hoc SQL over registered lake tables."""
+    register_views(spark, {n: table(spark, sf_dir, n) for n in ("lineitem", "part")})
+    return spark.sql("""
+        select p_type, count(distinct l_orderkey) n_orders,
+               cast(sum(cast(l_quantity as decimal(18,2))) as double) qty
+        from lineitem join part on l_partkey = p_partkey
+        group by p_type""")
+
+
 QUERIES: dict[str, Query] = {
     "star_fact": q_star_fact,
     "rollup_fact": q_rollup_fact,
     "rollup_fact_distinct": q_rollup_fact_distinct,
     "build_lookup": q_build_lookup,
     "resolve_keys": q_resolve_keys,
+    "extend_lookup": q_extend_lookup,
+    "latest_per_key": q_latest_per_key,
+    "build_dimension": q_build_dimension,
+    "upsert_dimension": q_upsert_dimension,
+    "build_child_dimension": q_build_child_dimension,
+    "extend_child_dimension": q_extend_child_dimension,
+    "build_bridge": q_build_bridge,
+    "append_bridge": q_append_bridge,
+    "upsert_detail": q_upsert_detail,
+    "check_not_empty": q_check_not_empty,
+    "check_unique": q_check_unique,
+    "run_checks": q_run_checks,
+    "profile_table": q_profile_table,
+    "rank_by": q_rank_by,
+    "rank_by_average": q_rank_by_average,
+    "measure_by_child_count": q_measure_by_child_count,
+    "adhoc_sql": q_adhoc_sql,
 }

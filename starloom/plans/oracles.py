@@ -67,3 +67,157 @@ with k as (select cast(row_number() over (order by p) as int) id, p
            from (select distinct o_orderpriority p from orders where o_orderpriority < '4') x)
 select o_orderkey, coalesce(id, -1) priority_id from orders left join k on o_orderpriority = p
 """
+
+ORACLE_SQL["extend_lookup"] = """
+with e as (select cast(row_number() over (order by o_custkey) as int) id, o_custkey
+           from (select distinct o_custkey from orders
+                 where o_orderdate < timestamp '1995-04-01' and o_custkey is not null) x),
+n as (select distinct o_custkey from orders
+      where o_orderdate >= timestamp '1995-04-01' and o_orderdate < timestamp '1995-07-01'
+        and o_custkey is not null)
+select id, o_custkey from e
+union all
+select cast(row_number() over (order by n.o_custkey) + (select max(id) from e) as int), n.o_custkey
+from n left join e on n.o_custkey = e.o_custkey where e.id is null
+"""
+
+ORACLE_SQL["latest_per_key"] = """
+select user_id, event_type, value
+from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) rn
+      from events) t
+where rn = 1
+"""
+
+_LATEST_ORDER = """
+select o_custkey, o_orderstatus, o_totalprice
+from (select *, row_number() over (partition by o_custkey
+                                   order by o_orderdate desc, o_orderkey desc) rn
+      from orders where o_custkey is not null and {cond}) x
+where rn = 1
+"""
+
+ORACLE_SQL["build_dimension"] = (
+    "select cast(row_number() over (order by o_custkey) as int) cust_id, * from ("
+    + _LATEST_ORDER.format(cond="true") + ") d")
+
+ORACLE_SQL["upsert_dimension"] = (
+    "with t as (select cast(row_number() over (order by o_custkey) as int) cust_id, * from ("
+    + _LATEST_ORDER.format(cond="o_orderdate < timestamp '1995-04-01'") + ") d), s as ("
+    + _LATEST_ORDER.format(cond="o_orderdate >= timestamp '1995-04-01' "
+                                "and o_orderdate < timestamp '1995-07-01'")
+    + """)
+select cust_id, o_custkey, o_orderstatus, o_totalprice from t
+where o_custkey not in (select o_custkey from s)
+union all
+select t.cust_id, t.o_custkey, s.o_orderstatus, s.o_totalprice from t join s on t.o_custkey = s.o_custkey
+union all
+select cast(row_number() over (order by s.o_custkey) + (select max(cust_id) from t) as int),
+       s.o_custkey, s.o_orderstatus, s.o_totalprice
+from s left join t on s.o_custkey = t.o_custkey where t.cust_id is null
+""")
+
+_BRANDS = """
+par as (select cast(row_number() over (order by p_brand) as int) brand_id, p_brand brand_desc
+        from (select distinct p_brand from part
+              where p_brand is not null and length(trim(p_brand)) > 0) x)
+"""
+
+ORACLE_SQL["build_child_dimension"] = "with " + _BRANDS + """
+select cast(row_number() over (order by p_name nulls first, p_brand nulls first) as int) id,
+       p_name, coalesce(brand_id, -1) brand_id
+from (select distinct p_name, p_brand from part) x left join par on brand_desc = p_brand
+"""
+
+ORACLE_SQL["extend_child_dimension"] = "with " + _BRANDS + """,
+e as (select cast(row_number() over (order by p_name nulls first, p_brand nulls first) as int) id,
+             p_name, coalesce(brand_id, -1) brand_id
+      from (select distinct p_name, p_brand from part where p_size <= 25) x
+      left join par on brand_desc = p_brand),
+n as (select p_name, p_brand, coalesce(brand_id, -1) brand_id
+      from (select distinct p_name, p_brand from part) x left join par on brand_desc = p_brand),
+fresh as (select n.* from n
+          where not exists (select 1 from e where e.p_name = n.p_name and e.brand_id = n.brand_id))
+select id, p_name, brand_id from e
+union all
+select cast(row_number() over (order by p_name nulls first, p_brand nulls first)
+            + (select max(id) from e) as int), p_name, brand_id
+from fresh
+"""
+
+ORACLE_SQL["build_bridge"] = """
+with k as (select cast(row_number() over (order by p_partkey) as int) id, p_partkey
+           from part where p_size <= 25)
+select l_orderkey, coalesce(id, -1) part_id from lineitem left join k on l_partkey = p_partkey
+"""
+
+ORACLE_SQL["append_bridge"] = """
+select l_orderkey, l_partkey from lineitem where l_linenumber = 1
+union all
+select l_orderkey, l_partkey from lineitem where l_linenumber <= 2
+"""
+
+ORACLE_SQL["upsert_detail"] = """
+with t as (select o_orderkey, o_orderstatus, o_totalprice from orders
+           where o_orderdate < timestamp '1998-01-01'),
+s as (select o_orderkey, case when o_orderstatus = 'O' then 'F' else o_orderstatus end o_orderstatus,
+             o_totalprice
+      from orders where o_orderdate >= timestamp '1997-07-01')
+select * from s
+union all
+select t.* from t left join s on t.o_orderkey = s.o_orderkey where s.o_orderkey is null
+"""
+
+ORACLE_SQL["check_not_empty"] = "select count(*) row_count from orders"
+
+ORACLE_SQL["check_unique"] = """
+select (select count(*) from part) row_count,
+       case when (select count(*) from (select p_name from part group by p_name
+                                        having count(*) > 1) d) > 0 then 0 else 1 end dup_flg
+"""
+
+ORACLE_SQL["run_checks"] = """
+select 'orders_not_empty' check_name, (select count(*) from orders) <> 0 passed
+union all
+select 'part_name_unique', (select count(*) from part) <> 0
+       and (select count(*) from (select p_name from part group by p_name having count(*) > 1) d) = 0
+union all
+select 'part_key_unique', (select count(*) from part) <> 0
+       and (select count(*) from (select p_partkey from part group by p_partkey
+                                  having count(*) > 1) d) = 0
+"""
+
+ORACLE_SQL["profile_table"] = """
+select 'p_brand' col, count(*) n, count(*) - count(p_brand) nulls, count(distinct p_brand) distincts
+from part
+union all
+select 'p_size', count(*), count(*) - count(p_size), count(distinct p_size) from part
+"""
+
+ORACLE_SQL["rank_by"] = """
+select p_brand, cast(sum(cast(l_quantity as decimal(18,2))) as double) total,
+       cast(rank() over (order by sum(cast(l_quantity as decimal(18,2))) desc) as int) rnk
+from lineitem join part on l_partkey = p_partkey
+group by p_brand
+"""
+
+ORACLE_SQL["rank_by_average"] = """
+select o_custkey, avg_price, cast(rank() over (order by avg_price desc) as int) rnk
+from (select o_custkey,
+             cast(sum(cast(o_totalprice as decimal(18,2))) as double) / count(o_totalprice) avg_price
+      from orders group by o_custkey) x
+"""
+
+ORACLE_SQL["measure_by_child_count"] = """
+with c as (select l_orderkey, count(*) n_children from lineitem group by l_orderkey)
+select n_children, count(*) n_items,
+       cast(sum(cast(o_totalprice as decimal(18,2))) as double) / count(o_totalprice) avg_value
+from orders join c on o_orderkey = l_orderkey
+group by n_children
+"""
+
+ORACLE_SQL["adhoc_sql"] = """
+select p_type, count(distinct l_orderkey) n_orders,
+       cast(sum(cast(l_quantity as decimal(18,2))) as double) qty
+from lineitem join part on l_partkey = p_partkey
+group by p_type
+"""
