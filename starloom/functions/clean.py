@@ -73,12 +73,17 @@ def clean_size(col: Column | str, parity: bool = False) -> Column:
 
 def clean_date(col: Column | str, fmt: str = RELEASE_DATE_FORMAT) -> Column:
     """``Jan 5, 2020`` -> date; empty or malformed -> NULL."""
-    return F.try_to_date(_c(col), F.lit(fmt))
+    return F.try_to_date(_c(col), fmt)
 
 
-def clean_timestamp(col: Column | str, fmt: str = SCRAPE_TIME_FORMAT) -> Column:
-    """``2021-06-15 20:19:35`` -> timestamp; bad -> NULL."""
-    return F.try_to_timestamp(_c(col), F.lit(fmt))
+def clean_timestamp(col: Column | str, fmt: str = SCRAPE_TIME_FORMAT, ntz: bool = True) -> Column:
+    """``2021-06-15 20:19:35`` -> timestamp; bad -> NULL.
+
+    ``ntz`` keeps the wall-clock value without a time zone (the warehouse
+    column is a zone-less timestamp); parsing uses the session time zone.
+    """
+    ts = F.try_to_timestamp(_c(col), F.lit(fmt))
+    return ts.cast("timestamp_ntz") if ntz else ts
 
 
 def nonblank(col: Column | str) -> Column:

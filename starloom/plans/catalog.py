@@ -23,6 +23,10 @@ from ..operators.ids import dense_ids
 from ..operators.lookups import build_lookup, extend_lookup
 from ..operators.quality import check_not_empty, check_unique, profile_table, run_checks
 from ..operators.ranks import measure_by_child_count, rank_by, register_views
+from ..functions.clean import (clean_date, clean_double, clean_flag, clean_int_parity,
+                               clean_long, clean_size, clean_timestamp)
+from ..sources.documents import explode_documents
+from ..sources.text import parse_quoted_lines, quote_field
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -254,6 +258,81 @@ def q_adhoc_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
         group by p_type""")
 
 
+def q_parse_quoted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C21 round trip: customers written as quoted lines (a name with a comma
+    inside quotes) and parsed back; a header line per run is dropped."""
+    customer = table(spark, sf_dir, "customer")
+    lines = customer.select(F.concat_ws(
+        ",", F.col("c_custkey").cast("string"),
+        quote_field(F.concat(F.col("c_name"), F.lit(", Inc"))),
+        F.col("c_mktsegment")).alias("value"))
+    header = spark.range(1).select(F.lit("c_custkey,c_name,c_mktsegment").alias("value"))
+    records, _ = parse_quoted_lines(lines.unionByName(header),
+                                    ["c_custkey", "c_name", "c_mktsegment"],
+                                    header_prefix="c_custkey,c_name", unescape=True)
+    return records.withColumn("c_custkey", clean_long("c_custkey"))
+
+
+def q_explode_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C20 round trip: conversation turns packed into JSON documents of at
+    most eight turns (conv_id, turns[]) and flattened again."""
+    conv = table(spark, sf_dir, "conversations")
+    docs = (conv.groupBy("conv_id", F.floor(F.col("turn") / 8).alias("chunk"))
+                .agg(F.collect_list(F.struct("turn", "role", "text")).alias("turns")))
+    as_json = docs.select(F.to_json(F.struct("conv_id", "turns")).alias("doc"))
+    schema = "conv_id bigint, turns array<struct<turn:bigint, role:string, text:string>>"
+    parsed = as_json.select(F.from_json("doc", schema).alias("d")).select("d.*")
+    return explode_documents(parsed, "turns", ["conv_id"], fields=["role", "text"])
+
+
+def q_clean_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X3: 'Jan 5, 2020' text parses; ISO text ('2020-01-05') is not the
+    feed's format and becomes NULL instead of failing the job."""
+    orders = table(spark, sf_dir, "orders")
+    text = F.when(F.col("o_orderstatus") == "P", F.date_format("o_orderdate", "yyyy-MM-dd")) \
+        .otherwise(F.date_format("o_orderdate", "MMM d, yyyy"))
+    return orders.select("o_orderkey", clean_date(text).alias("d"))
+
+
+def q_clean_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events")
+    text = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    return events.select("event_id", clean_timestamp(text).alias("t"))
+
+
+def q_clean_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only the exact text 'True' is 'Y' ('true', NULL, '' are 'N')."""
+    orders = table(spark, sf_dir, "orders")
+    text = (F.when(F.col("o_orderstatus") == "F", F.lit("True"))
+            .when(F.col("o_orderstatus") == "O", F.lit("true"))
+            .otherwise(F.lit(None).cast("string")))
+    return orders.select("o_orderkey", clean_flag(text).alias("f"))
+
+
+def q_clean_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes as '<n>M', '<n>k', '<n/10>G' or 'Varies with device'."""
+    part = table(spark, sf_dir, "part")
+    size = F.col("p_size")
+    text = (F.when(size <= 16, F.concat(size.cast("string"), F.lit("M")))
+            .when(size <= 33, F.concat(size.cast("string"), F.lit("k")))
+            .when(size <= 40, F.concat((size / 10.0).cast("string"), F.lit("G")))
+            .otherwise(F.lit("Varies with device")))
+    return part.select("p_partkey", clean_size(text).alias("mb"))
+
+
+def q_clean_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X5: '23.0' -> 23 (bigint); values beyond 2^31-1 stay exact as bigint
+    and are NULL in the int parity form; rating/price text -> double."""
+    li = table(spark, sf_dir, "lineitem")
+    qty = F.col("l_quantity").cast("string")
+    big = F.concat(F.col("l_orderkey").cast("string"), F.lit("0000000000"))
+    return li.select("l_orderkey", "l_linenumber",
+                     clean_long(qty).alias("qty"),
+                     clean_long(big).alias("big"),
+                     clean_int_parity(big).alias("big_int"),
+                     clean_double(F.col("l_discount").cast("string")).alias("disc"))
+
+
 QUERIES: dict[str, Query] = {
     "star_fact": q_star_fact,
     "rollup_fact": q_rollup_fact,
@@ -277,4 +356,11 @@ QUERIES: dict[str, Query] = {
     "rank_by_average": q_rank_by_average,
     "measure_by_child_count": q_measure_by_child_count,
     "adhoc_sql": q_adhoc_sql,
+    "parse_quoted_lines": q_parse_quoted_lines,
+    "explode_documents": q_explode_documents,
+    "clean_date": q_clean_date,
+    "clean_timestamp": q_clean_timestamp,
+    "clean_flag": q_clean_flag,
+    "clean_size": q_clean_size,
+    "clean_numbers": q_clean_numbers,
 }

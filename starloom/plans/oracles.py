@@ -221,3 +221,39 @@ select p_type, count(distinct l_orderkey) n_orders,
 from lineitem join part on l_partkey = p_partkey
 group by p_type
 """
+
+ORACLE_SQL["parse_quoted_lines"] = """
+select c_custkey, concat(c_name, ', Inc') c_name, c_mktsegment from customer
+"""
+
+ORACLE_SQL["explode_documents"] = "select conv_id, role, text from conversations"
+
+ORACLE_SQL["clean_date"] = """
+select o_orderkey, case when o_orderstatus = 'P' then null else cast(o_orderdate as date) end d
+from orders
+"""
+
+ORACLE_SQL["clean_timestamp"] = "select event_id, date_trunc('second', ts) t from events"
+
+ORACLE_SQL["clean_flag"] = """
+select o_orderkey, case when o_orderstatus = 'F' then 'Y' else 'N' end f from orders
+"""
+
+ORACLE_SQL["clean_size"] = """
+select p_partkey,
+       case when p_size <= 16 then cast(p_size as double)
+            when p_size <= 33 then p_size / 1024.0e0
+            when p_size <= 40 then (p_size / 10.0e0) * 1024.0e0
+            else null end mb
+from part
+"""
+
+ORACLE_SQL["clean_numbers"] = """
+select l_orderkey, l_linenumber, cast(trunc(l_quantity) as bigint) qty,
+       cast(concat(cast(l_orderkey as varchar), '0000000000') as bigint) big,
+       case when cast(concat(cast(l_orderkey as varchar), '0000000000') as bigint) > 2147483647
+            then null
+            else cast(concat(cast(l_orderkey as varchar), '0000000000') as integer) end big_int,
+       l_discount disc
+from lineitem
+"""
