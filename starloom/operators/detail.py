@@ -84,3 +84,16 @@ def changed_rows(existing: DataFrame, new: DataFrame, key: Sequence[str] | str,
     j = s.join(t, cond, "left")
     is_new = F.col(f"_t.{keys[0]}").isNull()
     return j.where(is_new | changed(compare)).select(*[F.col(f"_s.{c}") for c in new.columns])
+
+
+def build_detail(df: DataFrame, maps: Sequence[KeyMap], columns: Sequence[tuple[str, Column]],
+                 unknown: int = UNKNOWN_ID,
+                 broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Resolve natural keys, then build every target column in one
+    projection (``columns`` = (name, expression) in output order).
+
+    Expressions may use the resolved id columns and the source columns; the
+    whole step stays one scan + broadcast joins + one codegen'd projection.
+    """
+    resolved = resolve_keys(df, maps, unknown=unknown, broadcast_rows=broadcast_rows)
+    return resolved.select(*[e.alias(n) for n, e in columns])
