@@ -1,15 +1,23 @@
-"""Gap-free surrogate ids and global ranks without a single-partition window.
+"""Gap-free surrogate ids and global ranks without an unbounded
+single-partition window.
 
 ``row_number() over (order by k)`` plans ``Exchange SinglePartition``: every
-row of the table goes through one task. ``dense_ids`` instead
-
-1. range-partitions the rows on the order keys and sorts each partition,
-2. writes that layout with a reliable ``checkpoint`` (shared storage), so a
-   lost executor or a retried stage re-reads exactly the same partitions and
-   rows in the same order -- ids are deterministic under failures,
-3. counts rows per partition (one small row per partition), turns the counts
-   into offsets and broadcasts them (size bound: the number of partitions),
-4. numbers rows as ``offset(partition) + position in partition``.
+row of the table goes through one task. ``dense_ids`` first persists and
+counts its input (computing it once), then
+
+* a set proven to hold at most ``SMALL_ID_ROWS`` rows (lookup values,
+  categories, report groups) is numbered by that window -- cheap at that
+  size, and deterministic because the order is total;
+* a larger set is range-partitioned on the order keys and sorted per
+  partition; that layout is written with a reliable ``checkpoint`` (shared
+  storage), so a lost executor or a retried stage re-reads exactly the same
+  partitions and rows -- ids are deterministic under failures. Rows per
+  partition are counted (one small row per partition), turned into offsets
+  and broadcast (size bound: the number of partitions), and each row gets
+  ``offset(partition) + position in partition``.
+
+Either way the result is checkpointed, so lookups that are joined, probed
+and extended several times are read, not recomputed.
 
 Rows are ordered by the given columns; give a total order (unique keys or
 explicit tiebreak columns) for reproducible ids.
@@ -19,6 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +38,8 @@ ColumnOrName = Column | str
 # Offsets are broadcast: one row per partition. Refuse absurd partition counts
 # rather than broadcasting something that grows with the data.
 MAX_ID_PARTITIONS = 200_000
+# Largest set numbered by a single-partition window (proven by a count).
+SMALL_ID_ROWS = 200_000
 
 
 def _order_columns(order_by: Sequence[ColumnOrName]) -> list[Column]:
@@ -37,21 +48,32 @@ def _order_columns(order_by: Sequence[ColumnOrName]) -> list[Column]:
 
 def dense_ids(df: DataFrame, order_by: Sequence[ColumnOrName], id_col: str = "id",
               start: int = 1, id_type: str = "int",
-              num_partitions: int | None = None) -> DataFrame:
+              num_partitions: int | None = None,
+              small_rows: int = SMALL_ID_ROWS) -> DataFrame:
     """Attach ``id_col`` = start, start+1, ... in ``order_by`` order.
 
     Ascending columns sort NULLS FIRST and descending ones NULLS LAST, as in
-    Spark SQL. The result keeps the range partitioning on the order keys.
+    Spark SQL. The result is a checkpoint (fixed data, cheap to reuse).
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
-    n = num_partitions or shuffle_partitions(spark)
-    if n > MAX_ID_PARTITIONS:
-        raise ValueError(f"{n} partitions exceed the offset broadcast bound")
     order = _order_columns(order_by)
-    laid_out = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    # Reliable checkpoint: the partition layout and row order become data.
-    fixed = laid_out.checkpoint(eager=True)
+    staged = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        rows = staged.count()
+        if rows <= small_rows:
+            numbered = staged.withColumn(
+                id_col, (F.row_number().over(Window.orderBy(*order)) + F.lit(start - 1))
+                .cast(id_type))
+            return numbered.checkpoint(eager=True)
+        n = num_partitions or shuffle_partitions(spark)
+        if n > MAX_ID_PARTITIONS:
+            raise ValueError(f"{n} partitions exceed the offset broadcast bound")
+        laid_out = staged.repartitionByRange(n, *order).sortWithinPartitions(*order)
+        # Reliable checkpoint: the partition layout and row order become data.
+        fixed = laid_out.checkpoint(eager=True)
+    finally:
+        staged.unpersist()
 
     tagged = fixed.withColumns({
         "_sl_pid": F.spark_partition_id(),
@@ -65,14 +87,15 @@ def dense_ids(df: DataFrame, order_by: Sequence[ColumnOrName], id_col: str = "id
     # monotonically_increasing_id = (partition index << 33) + row in partition
     local = F.col("_sl_row") - F.shiftleft(F.col("_sl_pid").cast("long"), 33)
     new_id = (F.col("_sl_off") + local + F.lit(start)).cast(id_type)
-    return (tagged.join(F.broadcast(offsets), "_sl_pid")
-            .withColumn(id_col, new_id)
-            .drop("_sl_pid", "_sl_row", "_sl_off"))
+    numbered = (tagged.join(F.broadcast(offsets), "_sl_pid")
+                .withColumn(id_col, new_id)
+                .drop("_sl_pid", "_sl_row", "_sl_off"))
+    return numbered.checkpoint(eager=True)
 
 
 def global_rank(df: DataFrame, value: str, rank_col: str = "rnk",
                 descending: bool = True, tiebreak: Sequence[str] = (),
-                rank_type: str = "int") -> DataFrame:
+                rank_type: str = "int", small_rows: int = SMALL_ID_ROWS) -> DataFrame:
     """SQL ``rank()`` over the whole table ordered by ``value``.
 
     Positions come from ``dense_ids``; a row's rank is the smallest position
@@ -80,7 +103,7 @@ def global_rank(df: DataFrame, value: str, rank_col: str = "rnk",
     a third of the rows is combined map-side) joined back null-safely.
     """
     key = F.col(value).desc() if descending else F.col(value).asc()
-    ordered = dense_ids(df, [key, *tiebreak], "_sl_pos", id_type="long")
+    ordered = dense_ids(df, [key, *tiebreak], "_sl_pos", id_type="long", small_rows=small_rows)
     firsts = ordered.groupBy(value).agg(F.min("_sl_pos").alias("_sl_first"))
     f = firsts.alias("_f")
     o = ordered.alias("_o")

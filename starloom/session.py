@@ -9,8 +9,16 @@ from pyspark.sql import SparkSession
 
 # Settings every job of the library relies on. AQE re-plans joins and
 # coalesces/splits partitions at run time; the UI stays off (no server).
+#
+# Broadcast policy: the static planner's broadcast decision rests on a file
+# size estimate (compressed Parquet bytes), which is not a bound on the
+# in-memory size, so it is off. Sides are broadcast either explicitly after a
+# row-count proof (``broadcast_if_small``) or by AQE from the measured size of
+# a finished shuffle stage.
 BASE_CONF = {
     "spark.ui.enabled": "false",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "1MB",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
