@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
+from .joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small, known_rows
 
 UNKNOWN_ID = -1
 
@@ -40,7 +40,7 @@ def resolve_keys(df: DataFrame, maps: Sequence[KeyMap], unknown: int = UNKNOWN_I
     for m in maps:
         target = m.out or m.id
         dim = m.dim.select(F.col(m.desc).alias("_sl_k"), F.col(m.id).alias("_sl_v"))
-        dim = broadcast_if_small(dim, broadcast_rows)
+        dim = broadcast_if_small(dim, broadcast_rows, rows=known_rows(m.dim))
         out = (out.join(dim, out[m.src] == dim["_sl_k"], "left")
                   .withColumn(target, F.coalesce(F.col("_sl_v"), F.lit(unknown)))
                   .drop("_sl_k", "_sl_v"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .detail import UNKNOWN_ID, KeyMap, resolve_keys
 from .ids import dense_ids
-from .joins import DEFAULT_BROADCAST_ROWS
+from .joins import DEFAULT_BROADCAST_ROWS, carry_known
 from .lookups import max_id, usable_value
 
 
@@ -56,7 +56,8 @@ def build_dimension(df: DataFrame, key: str, attrs: Sequence[str], order: Sequen
     out_key = name or key
     if out_key != key:
         latest = latest.withColumnRenamed(key, out_key)
-    return dense_ids(latest, [out_key], id_col).select(id_col, out_key, *attrs)
+    ided = dense_ids(latest, [out_key], id_col)
+    return carry_known(ided, ided.select(id_col, out_key, *attrs))
 
 
 def upsert_dimension(existing: DataFrame, df: DataFrame, key: str, attrs: Sequence[str],
@@ -107,7 +108,8 @@ def build_child_dimension(df: DataFrame, child: str, parent: str, parent_dim: Da
     out = out.select(id_col, child, parent_id)
     if child_name and child_name != child:
         out = out.withColumnRenamed(child, child_name)
-    return out
+    # a left join on a unique dimension key keeps the row count
+    return carry_known(ided, out)
 
 
 def extend_child_dimension(existing: DataFrame, df: DataFrame, child: str, parent: str,

@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir, shuffle_partitions
+from .joins import remember_max, remember_rows
 
 ColumnOrName = Column | str
 
@@ -53,7 +54,9 @@ def dense_ids(df: DataFrame, order_by: Sequence[ColumnOrName], id_col: str = "id
     """Attach ``id_col`` = start, start+1, ... in ``order_by`` order.
 
     Ascending columns sort NULLS FIRST and descending ones NULLS LAST, as in
-    Spark SQL. The result is a checkpoint (fixed data, cheap to reuse).
+    Spark SQL. The result is a checkpoint (fixed data, cheap to reuse) that
+    carries its row count (``joins.known_rows``); its largest id is
+    ``start + rows - 1``.
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
@@ -65,7 +68,8 @@ def dense_ids(df: DataFrame, order_by: Sequence[ColumnOrName], id_col: str = "id
             numbered = staged.withColumn(
                 id_col, (F.row_number().over(Window.orderBy(*order)) + F.lit(start - 1))
                 .cast(id_type))
-            return numbered.checkpoint(eager=True)
+            return remember_max(remember_rows(numbered.checkpoint(eager=True), rows),
+                                start + rows - 1)
         n = num_partitions or shuffle_partitions(spark)
         if n > MAX_ID_PARTITIONS:
             raise ValueError(f"{n} partitions exceed the offset broadcast bound")
@@ -90,7 +94,7 @@ def dense_ids(df: DataFrame, order_by: Sequence[ColumnOrName], id_col: str = "id
     numbered = (tagged.join(F.broadcast(offsets), "_sl_pid")
                 .withColumn(id_col, new_id)
                 .drop("_sl_pid", "_sl_row", "_sl_off"))
-    return numbered.checkpoint(eager=True)
+    return remember_max(remember_rows(numbered.checkpoint(eager=True), rows), start + rows - 1)
 
 
 def global_rank(df: DataFrame, value: str, rank_col: str = "rnk",

@@ -12,15 +12,54 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+# A frame whose exact row count was established when it was built (a
+# checkpointed id table) carries it here, so later size checks need no job.
+_KNOWN_ROWS = "_starloom_rows"
+
+
+def remember_rows(df: DataFrame, rows: int) -> DataFrame:
+    setattr(df, _KNOWN_ROWS, int(rows))
+    return df
+
+
+def known_rows(df: DataFrame) -> int | None:
+    return getattr(df, _KNOWN_ROWS, None)
+
+
+# Likewise the largest surrogate id of an id table built by the library.
+_KNOWN_MAX = "_starloom_max_id"
+
+
+def remember_max(df: DataFrame, value: int | None) -> DataFrame:
+    if value is not None:
+        setattr(df, _KNOWN_MAX, int(value))
+    return df
+
+
+def known_max(df: DataFrame) -> int | None:
+    return getattr(df, _KNOWN_MAX, None)
+
+
+def carry_known(src: DataFrame, dst: DataFrame) -> DataFrame:
+    """Copy the known row count / max id to a row-preserving projection."""
+    if known_rows(src) is not None:
+        remember_rows(dst, known_rows(src))
+    return remember_max(dst, known_max(src))
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                       rows: int | None = None) -> DataFrame:
     """Hint a broadcast only when the side provably has at most ``max_rows``.
 
-    The probe reads at most ``max_rows + 1`` rows, so it stays cheap on a big
-    side; the bound is the check, not a cap on the data.
+    The proof is ``rows`` (or the count a frame carries), else a probe that
+    reads at most ``max_rows + 1`` rows, so it stays cheap on a big side; the
+    bound is the check, not a cap on the data.
     """
     if max_rows <= 0:
         return df
-    seen = df.limit(max_rows + 1).count()
+    seen = rows if rows is not None else known_rows(df)
+    if seen is None:
+        seen = df.limit(max_rows + 1).count()
     return F.broadcast(df) if seen <= max_rows else df
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from .ids import dense_ids
+from .joins import carry_known, known_max, known_rows, remember_max, remember_rows
 
 
 def usable_value(df: DataFrame, col: str, keep: str = "nonblank") -> Column:
@@ -40,11 +41,19 @@ def build_lookup(df: DataFrame, src: str, id_col: str, desc_col: str,
                  keep: str = "nonblank") -> DataFrame:
     """Distinct values of ``src`` -> ids 1..N in (binary) value order."""
     values = distinct_values(df, src, desc_col, keep)
-    return dense_ids(values, [desc_col], id_col).select(id_col, desc_col)
+    ided = dense_ids(values, [desc_col], id_col)
+    return carry_known(ided, ided.select(id_col, desc_col))
 
 
 def max_id(existing: DataFrame, id_col: str) -> int:
-    """Largest id of a table, 0 when empty (``max`` of nothing is NULL)."""
+    """Largest id of a table, 0 when empty (``max`` of nothing is NULL).
+
+    Id tables built by this library carry the value; others are aggregated
+    (one small row reaches the driver).
+    """
+    known = known_max(existing)
+    if known is not None:
+        return known
     row = existing.agg(F.max(id_col).alias("m")).first()
     return int(row["m"]) if row and row["m"] is not None else 0
 
@@ -59,7 +68,10 @@ def extend_lookup(existing: DataFrame, df: DataFrame, src: str, id_col: str,
     base = existing.select(id_col, desc_col)
     fresh = distinct_values(df, src, desc_col, keep).join(
         base.select(desc_col), desc_col, "left_anti")
-    start = max_id(base, id_col) + 1
+    start = max_id(existing, id_col) + 1
     added = dense_ids(fresh, [desc_col], id_col, start=start,
                       id_type=existing.schema[id_col].dataType.simpleString())
-    return base.unionByName(added.select(id_col, desc_col))
+    out = base.unionByName(added.select(id_col, desc_col))
+    n_added, n_old = known_rows(added), known_rows(existing)
+    out = remember_max(out, start - 1 + n_added)
+    return remember_rows(out, n_old + n_added) if n_old is not None else out
