@@ -21,7 +21,7 @@ from starloom.plans.catalog import QUERIES, table  # noqa: E402
 from starloom.session import build_session  # noqa: E402
 
 HEADLINE = [
-    "star_fact", "rollup_fact", "rollup_fact_distinct", "build_lookup", "resolve_keys",
+    "app_fact", "star_fact", "rollup_fact", "rollup_fact_distinct", "build_lookup", "resolve_keys",
     "latest_per_key", "build_dimension", "upsert_dimension", "build_child_dimension",
     "build_bridge", "upsert_detail", "check_unique", "profile_table", "rank_by",
     "rank_by_average", "measure_by_child_count", "parse_quoted_lines", "explode_documents",

@@ -92,25 +92,6 @@ def clean_dates(records: DataFrame) -> DataFrame:
     })
 
 
-def developer_table(spark: SparkSession, records: DataFrame, root: str) -> DataFrame:
-    """DEVELOPER: newest website/e-mail per developer name; SCD1 over runs."""
-    attrs = ["Developer_Website", "Developer_Email"]
-    src = records.select(F.col("Developer_Id").alias("Developer_Name"), *attrs, "Last_Updated")
-    existing = read_if_exists(spark, _path(root, NAMES.developer))
-    if existing is None:
-        return build_dimension(src, "Developer_Name", attrs, ["Last_Updated"], "Developer_Id")
-    return upsert_dimension(existing, src, "Developer_Name", attrs, ["Last_Updated"],
-                            "Developer_Id")
-
-
-def lookup_table(spark: SparkSession, records: DataFrame, root: str, src: str, table: str,
-                 id_col: str, desc_col: str) -> DataFrame:
-    existing = read_if_exists(spark, _path(root, table))
-    if existing is None:
-        return build_lookup(records, src, id_col, desc_col)
-    return extend_lookup(existing, records, src, id_col, desc_col)
-
-
 def app_columns(opts: Options) -> list[tuple[str, F.Column]]:
     """C7 column rules of APP (21 columns, output order)."""
     installs = clean_int_parity if opts.int_parity else clean_long
@@ -139,6 +120,98 @@ def app_columns(opts: Options) -> list[tuple[str, F.Column]]:
     ]
 
 
+def app_dimensions(records: DataFrame, existing: dict[str, DataFrame | None] | None = None
+                   ) -> dict[str, DataFrame]:
+    """DEVELOPER and the lookups from cleaned records; each extends or
+    upserts its previous version when ``existing`` holds one."""
+    existing = existing or {}
+    attrs = ["Developer_Website", "Developer_Email"]
+    src = records.select(F.col("Developer_Id").alias("Developer_Name"), *attrs, "Last_Updated")
+    old_dev = existing.get(NAMES.developer)
+    if old_dev is None:
+        dev = build_dimension(src, "Developer_Name", attrs, ["Last_Updated"], "Developer_Id")
+    else:
+        dev = upsert_dimension(old_dev, src, "Developer_Name", attrs, ["Last_Updated"],
+                               "Developer_Id")
+    out = {NAMES.developer: dev}
+    for col, attr, id_col, desc_col in LOOKUPS:
+        name = getattr(NAMES, attr)
+        old = existing.get(name)
+        out[name] = (build_lookup(records, col, id_col, desc_col) if old is None
+                     else extend_lookup(old, records, col, id_col, desc_col))
+    return out
+
+
+def app_detail(records: DataFrame, dims: dict[str, DataFrame], opts: Options = Options(),
+               existing: DataFrame | None = None) -> DataFrame:
+    """APP (C7) from cleaned records and the dimensions; upserted into
+    ``existing`` by ``App_Id`` when given."""
+    maps = [KeyMap(col, dims[getattr(NAMES, attr)], desc_col, id_col)
+            for col, attr, id_col, desc_col in LOOKUPS]
+    maps.append(KeyMap("Developer_Id", dims[NAMES.developer], "Developer_Name",
+                       "Developer_Id", out="Developer_Key"))
+    app = build_detail(records, maps, app_columns(opts))
+    if existing is not None and opts.incremental_app:
+        app = upsert_detail(existing, app, "App_Id")
+    return app
+
+
+def permission_tables(perms: DataFrame, opts: Options = Options(),
+                      existing: dict[str, DataFrame | None] | None = None,
+                      ptype: DataFrame | None = None) -> dict[str, DataFrame]:
+    """PERMISSION_TYPE, PERMISSION and APP_PERMISSION from flattened rows.
+
+    ``ptype`` lets a caller pass the published type table (re-read after its
+    swap) instead of the frame built here.
+    """
+    existing = existing or {}
+    old_type = existing.get(NAMES.permission_type)
+    if ptype is None:
+        ptype = (build_lookup(perms, "type", "Permission_Type_Id", "Permission_Type_Desc")
+                 if old_type is None else
+                 extend_lookup(old_type, perms, "type", "Permission_Type_Id",
+                               "Permission_Type_Desc"))
+    old_perm = existing.get(NAMES.permission)
+    if old_perm is None:
+        perm = build_child_dimension(perms, "permission", "type", ptype, "Permission_Type_Desc",
+                                     "Permission_Type_Id", "Permission_Id",
+                                     child_name=PERMISSION_DESC)
+    else:
+        perm = extend_child_dimension(old_perm, perms, "permission", "type", ptype,
+                                      "Permission_Type_Desc", "Permission_Type_Id",
+                                      "Permission_Id", existing_child=PERMISSION_DESC,
+                                      keep_existing=not opts.renumber_permissions)
+    return {NAMES.permission_type: ptype, NAMES.permission: perm}
+
+
+def app_permission(perms: DataFrame, ptype: DataFrame, perm: DataFrame,
+                   opts: Options = Options(), existing: DataFrame | None = None) -> DataFrame:
+    """APP_PERMISSION (C10/C11): (App_Id, Permission_Id) matched on
+    (permission, type id) -- or on the text alone with ``by_description``."""
+    typed = resolve_keys(perms, [KeyMap("type", ptype, "Permission_Type_Desc",
+                                        "Permission_Type_Id", out="_type_id")])
+    match = [("permission", PERMISSION_DESC)]
+    if not opts.by_description:
+        match.append(("_type_id", "Permission_Type_Id"))
+    bridge = build_bridge(typed, "appId", match, perm, "Permission_Id", item_name="App_Id")
+    if existing is not None:
+        return append_bridge(existing, bridge, dedupe=opts.dedupe_bridge)
+    return bridge.distinct() if opts.dedupe_bridge else bridge
+
+
+def build_model(records: DataFrame, perms: DataFrame, opts: Options = Options()
+                ) -> dict[str, DataFrame]:
+    """Every lake table plus APP_FACT as frames (initial load, no storage)."""
+    records = clean_dates(records)
+    dims = app_dimensions(records)
+    app = app_detail(records, dims, opts)
+    ptabs = permission_tables(perms, opts)
+    bridge = app_permission(perms, ptabs[NAMES.permission_type], ptabs[NAMES.permission], opts)
+    fact = app_fact(app, bridge, ptabs[NAMES.permission])
+    return {**dims, NAMES.app: app, **ptabs, NAMES.app_permission: bridge,
+            NAMES.app_fact: fact}
+
+
 def load_app_layer(spark: SparkSession, feed: str, root: str,
                    opts: Options = Options()) -> dict[str, str]:
     """App feed files -> DEVELOPER, APP_CATEGORY, CONTENT_RATING,
@@ -154,29 +227,19 @@ def load_app_records(spark: SparkSession, records: DataFrame, root: str,
 
     The records are persisted once and reused by all five tables (a lost
     block is recomputed from the deterministic parse). Every step extends
-    or upserts, so loading the same records twice changes nothing.
+    or upserts, so loading the same records twice changes nothing. Each
+    table is re-read after its swap: the frame that built it may still point
+    at the replaced files.
     """
     records = clean_dates(records).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        names = [NAMES.developer] + [getattr(NAMES, attr) for _, attr, _, _ in LOOKUPS]
+        old = {n: read_if_exists(spark, _path(root, n)) for n in names}
         published = {}
-        dev = developer_table(spark, records, root)
-        published[NAMES.developer] = publish_table(dev, _path(root, NAMES.developer))
-        for src, attr, id_col, desc_col in LOOKUPS:
-            name = getattr(NAMES, attr)
-            lk = lookup_table(spark, records, root, src, name, id_col, desc_col)
-            published[name] = publish_table(lk, _path(root, name))
-
-        def dim(name: str) -> DataFrame:
-            return spark.read.parquet(_path(root, name))
-
-        maps = [KeyMap(src, dim(getattr(NAMES, attr)), desc_col, id_col)
-                for src, attr, id_col, desc_col in LOOKUPS]
-        maps.append(KeyMap("Developer_Id", dim(NAMES.developer), "Developer_Name",
-                           "Developer_Id", out="Developer_Key"))
-        app = build_detail(records, maps, app_columns(opts))
-        existing = read_if_exists(spark, _path(root, NAMES.app))
-        if existing is not None and opts.incremental_app:
-            app = upsert_detail(existing, app, "App_Id")
+        for name, frame in app_dimensions(records, old).items():
+            published[name] = publish_table(frame, _path(root, name))
+        dims = {n: spark.read.parquet(_path(root, n)) for n in names}
+        app = app_detail(records, dims, opts, read_if_exists(spark, _path(root, NAMES.app)))
         published[NAMES.app] = publish_table(app, _path(root, NAMES.app))
         return published
     finally:
@@ -194,36 +257,22 @@ def load_permission_rows(spark: SparkSession, perms: DataFrame, root: str,
     """C23 on flattened (appId, appName, permission, type) rows."""
     perms = perms.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        def old(name: str) -> DataFrame | None:
+            return read_if_exists(spark, _path(root, name))
+
+        def reread(name: str) -> DataFrame:
+            return spark.read.parquet(_path(root, name))
+
         published = {}
-        ptype = lookup_table(spark, perms, root, "type", NAMES.permission_type,
-                             "Permission_Type_Id", "Permission_Type_Desc")
+        existing = {NAMES.permission_type: old(NAMES.permission_type),
+                    NAMES.permission: old(NAMES.permission)}
+        ptype = permission_tables(perms, opts, existing)[NAMES.permission_type]
         published[NAMES.permission_type] = publish_table(ptype, _path(root, NAMES.permission_type))
-        ptype = spark.read.parquet(_path(root, NAMES.permission_type))
-
-        existing = read_if_exists(spark, _path(root, NAMES.permission))
-        if existing is None:
-            perm = build_child_dimension(perms, "permission", "type", ptype,
-                                         "Permission_Type_Desc", "Permission_Type_Id",
-                                         "Permission_Id", child_name=PERMISSION_DESC)
-        else:
-            perm = extend_child_dimension(existing, perms, "permission", "type", ptype,
-                                          "Permission_Type_Desc", "Permission_Type_Id",
-                                          "Permission_Id", existing_child=PERMISSION_DESC,
-                                          keep_existing=not opts.renumber_permissions)
+        ptype = reread(NAMES.permission_type)
+        perm = permission_tables(perms, opts, existing, ptype=ptype)[NAMES.permission]
         published[NAMES.permission] = publish_table(perm, _path(root, NAMES.permission))
-        perm = spark.read.parquet(_path(root, NAMES.permission))
-
-        typed = resolve_keys(perms, [KeyMap("type", ptype, "Permission_Type_Desc",
-                                            "Permission_Type_Id", out="_type_id")])
-        match = [("permission", PERMISSION_DESC)]
-        if not opts.by_description:
-            match.append(("_type_id", "Permission_Type_Id"))
-        bridge = build_bridge(typed, "appId", match, perm, "Permission_Id", item_name="App_Id")
-        old = read_if_exists(spark, _path(root, NAMES.app_permission))
-        if old is not None:
-            bridge = append_bridge(old, bridge, dedupe=opts.dedupe_bridge)
-        elif opts.dedupe_bridge:
-            bridge = bridge.distinct()
+        bridge = app_permission(perms, ptype, reread(NAMES.permission), opts,
+                                old(NAMES.app_permission))
         published[NAMES.app_permission] = publish_table(bridge, _path(root, NAMES.app_permission))
         return published
     finally:

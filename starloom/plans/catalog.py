@@ -25,8 +25,9 @@ from ..operators.quality import check_not_empty, check_unique, profile_table, ru
 from ..operators.ranks import measure_by_child_count, rank_by, register_views
 from ..functions.clean import (clean_date, clean_double, clean_flag, clean_int_parity,
                                clean_long, clean_size, clean_timestamp)
-from ..sources.documents import explode_documents
-from ..sources.text import parse_quoted_lines, quote_field
+from ..sources.documents import PERMISSION_SCHEMA, explode_documents
+from ..sources.text import APP_COLUMNS, APP_HEADER_PREFIX, parse_quoted_lines, quote_field
+from .app_store import NAMES, build_model
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -333,6 +334,77 @@ def q_clean_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
                      clean_double(F.col("l_discount").cast("string")).alias("disc"))
 
 
+def app_feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An app feed in the source's quoted-line format, derived from
+    orders ⋈ customer (one app per order; the developer is the customer's
+    nation). Names carry a comma inside quotes; every fifth-status order has
+    no release date; measures are multiples of 1/1024 so sums are exact in
+    binary and engines agree bit for bit."""
+    o = table(spark, sf_dir, "orders").join(
+        table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    s = lambda c: c.cast("string")
+    status, nation = F.col("o_orderstatus"), F.col("c_nationkey")
+    day = F.to_date("o_orderdate")
+    fields = [
+        quote_field(F.concat(F.col("c_name"), F.lit(", "), F.col("o_orderpriority"))),
+        F.concat(F.lit("app."), s(F.col("o_orderkey"))),
+        F.col("o_orderpriority"),
+        s(F.length("c_mktsegment") / 2.0),
+        s(F.col("o_custkey")),
+        F.lit('"1,000+"'),
+        F.concat(s(F.col("o_custkey") * 10), F.lit(".0")),
+        s(F.col("o_orderkey") * 1000000),
+        F.when(status == "F", "True").otherwise("False"),
+        s(F.floor("o_totalprice")),
+        F.col("c_mktsegment"),
+        F.when(nation < 10, F.concat(s(nation), F.lit("M")))
+         .when(nation < 20, F.concat(s(nation), F.lit("k")))
+         .otherwise(F.lit("Varies with device")),
+        F.lit("5.0 and up"),
+        F.concat(F.lit("Dev "), s(nation)),
+        F.concat(F.lit("http://dev"), s(nation), F.lit(".example/"), F.col("c_mktsegment")),
+        F.concat(F.lit("dev"), s(nation), F.lit("@"), F.lower("c_mktsegment")),
+        F.when(status == "P", F.lit("")).otherwise(quote_field(F.date_format(day, "MMM d, yyyy"))),
+        quote_field(F.date_format(F.date_add(day, 30), "MMM d, yyyy")),
+        F.when(status == "F", "Everyone").when(status == "O", "Teen").otherwise("Mature 17+"),
+        F.concat(F.lit("http://p/"), s(F.col("o_orderkey"))),
+        F.when(F.col("c_acctbal") > 0, "True").otherwise("False"),
+        F.when(F.col("o_totalprice") > 200000, "True").otherwise("False"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", "True").otherwise("False"),
+        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"),
+    ]
+    lines = o.select(F.concat_ws(",", *fields).alias("value"))
+    header = spark.range(1).select(
+        F.lit(APP_HEADER_PREFIX + ",Category,Rating").alias("value"))
+    return lines.unionByName(header)
+
+
+def permission_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Permission documents derived from lineitem ⋈ part (permission = part
+    name, type = part type), serialised to JSON, parsed with the feed's
+    schema and flattened. A document holds at most four line items, so no
+    group grows with the data."""
+    rows = table(spark, sf_dir, "lineitem").join(
+        table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    docs = (rows.groupBy("l_orderkey", F.floor(F.col("l_linenumber") / 4).alias("_chunk"))
+                .agg(F.collect_list(F.struct(F.col("p_name").alias("permission"),
+                                             F.col("p_type").alias("type")))
+                     .alias("allPermissions"))
+                .select(F.concat(F.lit("app."), F.col("l_orderkey").cast("string")).alias("appId"),
+                        F.lit("app").alias("appName"), "allPermissions"))
+    as_json = docs.select(F.to_json(F.struct("appId", "appName", "allPermissions")).alias("doc"))
+    parsed = as_json.select(F.from_json("doc", PERMISSION_SCHEMA).alias("d")).select("d.*")
+    return explode_documents(parsed, "allPermissions", ["appId", "appName"])
+
+
+def q_app_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source pipeline end to end (C21 -> C7/C1-C6 -> C8-C11 -> C12):
+    quoted lines and JSON documents -> detail snowflake -> APP_FACT."""
+    records, _ = parse_quoted_lines(app_feed_lines(spark, sf_dir), APP_COLUMNS,
+                                    APP_HEADER_PREFIX)
+    return build_model(records, permission_rows(spark, sf_dir))[NAMES.app_fact]
+
+
 QUERIES: dict[str, Query] = {
     "star_fact": q_star_fact,
     "rollup_fact": q_rollup_fact,
@@ -363,4 +435,5 @@ QUERIES: dict[str, Query] = {
     "clean_flag": q_clean_flag,
     "clean_size": q_clean_size,
     "clean_numbers": q_clean_numbers,
+    "app_fact": q_app_fact,
 }

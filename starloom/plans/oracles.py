@@ -257,3 +257,69 @@ select l_orderkey, l_linenumber, cast(trunc(l_quantity) as bigint) qty,
        l_discount disc
 from lineitem
 """
+
+ORACLE_SQL["app_fact"] = """
+with src as (
+  select 'app.' || cast(o_orderkey as varchar) app_id, o_orderpriority category,
+         c_mktsegment currency, 'Dev ' || cast(c_nationkey as varchar) dev,
+         case o_orderstatus when 'F' then 'Everyone' when 'O' then 'Teen' else 'Mature 17+' end cont,
+         length(c_mktsegment) / 2.0e0 rating, o_custkey rating_num, o_orderkey * 1000000 max_inst,
+         case when o_orderstatus = 'F' then 'Y' else 'N' end is_free,
+         cast(floor(o_totalprice) as double) price,
+         case when c_nationkey < 10 then cast(c_nationkey as double)
+              when c_nationkey < 20 then c_nationkey / 1024.0e0 end size_mb,
+         case when o_orderstatus = 'P' then null else cast(o_orderdate as date) end rel,
+         cast(o_orderdate as date) + 30 upd,
+         case when c_acctbal > 0 then 'Y' else 'N' end ad,
+         case when o_totalprice > 200000 then 'Y' else 'N' end iap,
+         case when o_orderpriority = '1-URGENT' then 'Y' else 'N' end ec
+  from orders join customer on o_custkey = c_custkey),
+cat as (select cast(row_number() over (order by v) as int) id, v from (select distinct category v from src) x),
+cur as (select cast(row_number() over (order by v) as int) id, v from (select distinct currency v from src) x),
+cont as (select cast(row_number() over (order by v) as int) id, v from (select distinct cont v from src) x),
+dev as (select cast(row_number() over (order by v) as int) id, v from (select distinct dev v from src) x),
+app as (
+  select src.*, coalesce(cat.id, -1) category_id, coalesce(cur.id, -1) currency_id,
+         coalesce(dev.id, -1) developer_id, coalesce(cont.id, -1) cont_id
+  from src left join cat on src.category = cat.v left join cur on src.currency = cur.v
+  left join dev on src.dev = dev.v left join cont on src.cont = cont.v),
+pl as (select 'app.' || cast(l_orderkey as varchar) app_id, p_name, p_type
+       from lineitem join part on l_partkey = p_partkey),
+pt as (select cast(row_number() over (order by t) as int) type_id, t
+       from (select distinct p_type t from pl where p_type is not null and length(trim(p_type)) > 0) x),
+perm as (
+  select cast(row_number() over (order by p_name nulls first, p_type nulls first) as int) permission_id,
+         p_name, coalesce(type_id, -1) type_id
+  from (select distinct p_name, p_type from pl) x left join pt on p_type = t),
+bridge as (
+  select distinct pl.app_id, perm.permission_id
+  from pl left join pt on pl.p_type = pt.t
+  join perm on perm.p_name = pl.p_name and perm.type_id = coalesce(pt.type_id, -1)),
+f as (
+  select category_id, currency_id, developer_id,
+         cast(year(coalesce(rel, upd)) as int) yr, cast(month(coalesce(rel, upd)) as int) mo,
+         cont_id, perm.type_id ptype_id,
+         count(distinct bridge.permission_id) Total_Num_Permissions,
+         count(distinct app.app_id) Count_Of_Apps,
+         sum(rating) / count(distinct app.app_id) Average_Rating,
+         cast(sum(rating_num) as double) Total_Rating_Num,
+         cast(sum(max_inst) as bigint) Total_Installs,
+         count(distinct case when is_free = 'Y' then app.app_id end) Count_Of_Free,
+         count(distinct case when is_free = 'N' then app.app_id end) Count_Of_Paid,
+         sum(price) Total_Price, sum(size_mb) Total_Size_In_MB,
+         count(distinct case when ad = 'Y' then app.app_id end) Count_Ad_Supported,
+         count(distinct case when iap = 'Y' then app.app_id end) Count_In_App_Purchase,
+         count(distinct case when ec = 'Y' then app.app_id end) Count_Of_Editor_Choice
+  from app join bridge on app.app_id = bridge.app_id
+  join perm on bridge.permission_id = perm.permission_id
+  group by 1, 2, 3, 4, 5, 6, 7)
+select cast(row_number() over (order by yr nulls first, mo nulls first, developer_id nulls first,
+                               category_id nulls first, currency_id nulls first,
+                               cont_id nulls first, ptype_id nulls first) as int) Auto_App_Id,
+       category_id Category_Id, currency_id Currency_Type_Id, developer_id Developer_Id,
+       yr Release_Year, mo Release_Month, cont_id Cont_Rating_Id, ptype_id Permission_Type_Id,
+       Total_Num_Permissions, Count_Of_Apps, Average_Rating, Total_Rating_Num, Total_Installs,
+       Count_Of_Free, Count_Of_Paid, Total_Price, Total_Size_In_MB, Count_Ad_Supported,
+       Count_In_App_Purchase, Count_Of_Editor_Choice
+from f
+"""
