@@ -75,3 +75,32 @@ def extend_lookup(existing: DataFrame, df: DataFrame, src: str, id_col: str,
     n_added, n_old = known_rows(added), known_rows(existing)
     out = remember_max(out, start - 1 + n_added)
     return remember_rows(out, n_old + n_added) if n_old is not None else out
+
+
+def build_lookups(df: DataFrame, specs: list[tuple[str, str, str]],
+                  keep: str = "nonblank") -> dict[str, DataFrame]:
+    """C1 for several columns in one pass: ``specs`` = (src, id_col, desc_col).
+
+    All (lookup, value) pairs are collected with one distinct, numbered once
+    by ``dense_ids`` in (lookup, value) order and renumbered per lookup from
+    its first id -- one scan of the source instead of one per lookup, which
+    matters when the source is a parsed text feed. Values are compared as
+    strings (non-string sources are cast).
+    """
+    pairs = None
+    for i, (src, _, _) in enumerate(specs):
+        part = df.where(usable_value(df, src, keep)).select(
+            F.lit(i).alias("_sl_lk"), F.col(src).cast("string").alias("_sl_v"))
+        pairs = part if pairs is None else pairs.unionByName(part)
+    ided = dense_ids(pairs.distinct(), ["_sl_lk", "_sl_v"], "_sl_gid", id_type="long")
+    # one row per lookup: first global id and size
+    bounds = {r["_sl_lk"]: (r["first"], r["n"]) for r in ided.groupBy("_sl_lk").agg(
+        F.min("_sl_gid").alias("first"), F.count(F.lit(1)).alias("n")).collect()}
+    out = {}
+    for i, (src, id_col, desc_col) in enumerate(specs):
+        first, n = bounds.get(i, (1, 0))
+        table = ided.where(F.col("_sl_lk") == i).select(
+            (F.col("_sl_gid") - F.lit(first - 1)).cast("int").alias(id_col),
+            F.col("_sl_v").alias(desc_col))
+        out[src] = remember_max(remember_rows(table, n), n)
+    return out

@@ -25,10 +25,12 @@ from ..operators.dimensions import (build_child_dimension, build_dimension,
                                     extend_child_dimension, upsert_dimension)
 from ..operators.facts import rollup_fact, star_rows
 from ..operators.ids import dense_ids
-from ..operators.lookups import build_lookup, extend_lookup
+from ..operators.joins import carry_known
+from ..operators.lookups import build_lookup, build_lookups, extend_lookup
 from ..operators.quality import check_not_empty, check_unique, run_checks
 from ..sources.documents import read_permission_feed
 from ..sources.lake import publish_star, publish_table, read_if_exists
+from ..session import checkpoint_dir
 from ..sources.text import read_app_feed
 
 
@@ -134,11 +136,14 @@ def app_dimensions(records: DataFrame, existing: dict[str, DataFrame | None] | N
         dev = upsert_dimension(old_dev, src, "Developer_Name", attrs, ["Last_Updated"],
                                "Developer_Id")
     out = {NAMES.developer: dev}
+    fresh = [(col, id_col, desc_col) for col, attr, id_col, desc_col in LOOKUPS
+             if existing.get(getattr(NAMES, attr)) is None]
+    built = build_lookups(records, fresh) if fresh else {}
     for col, attr, id_col, desc_col in LOOKUPS:
         name = getattr(NAMES, attr)
         old = existing.get(name)
-        out[name] = (build_lookup(records, col, id_col, desc_col) if old is None
-                     else extend_lookup(old, records, col, id_col, desc_col))
+        out[name] = built[col] if old is None else extend_lookup(old, records, col, id_col,
+                                                                  desc_col)
     return out
 
 
@@ -201,12 +206,26 @@ def app_permission(perms: DataFrame, ptype: DataFrame, perm: DataFrame,
 
 def build_model(records: DataFrame, perms: DataFrame, opts: Options = Options()
                 ) -> dict[str, DataFrame]:
-    """Every lake table plus APP_FACT as frames (initial load, no storage)."""
-    records = clean_dates(records)
-    dims = app_dimensions(records)
-    app = app_detail(records, dims, opts)
-    ptabs = permission_tables(perms, opts)
-    bridge = app_permission(perms, ptabs[NAMES.permission_type], ptabs[NAMES.permission], opts)
+    """Every lake table plus APP_FACT as frames (initial load, no lake).
+
+    The parsed inputs are persisted while the tables that read them are
+    built; APP and APP_PERMISSION are checkpointed (the in-session stand-in
+    for publishing them), so each feed is parsed once.
+    """
+    checkpoint_dir(records.sparkSession)
+    records = clean_dates(records).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        dims = app_dimensions(records)
+        app = app_detail(records, dims, opts).checkpoint(eager=True)
+    finally:
+        records.unpersist()
+    perms = perms.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        ptabs = permission_tables(perms, opts)
+        bridge = app_permission(perms, ptabs[NAMES.permission_type], ptabs[NAMES.permission],
+                                opts).checkpoint(eager=True)
+    finally:
+        perms.unpersist()
     fact = app_fact(app, bridge, ptabs[NAMES.permission])
     return {**dims, NAMES.app: app, **ptabs, NAMES.app_permission: bridge,
             NAMES.app_fact: fact}
@@ -297,7 +316,8 @@ def app_fact(app: DataFrame, app_permission: DataFrame, permission: DataFrame,
     keys, so ids are reproducible.
     """
     rows = star_rows(app, app_permission.select("App_Id", "Permission_Id"),
-                     permission.select("Permission_Id", "Permission_Type_Id"),
+                     carry_known(permission,
+                                 permission.select("Permission_Id", "Permission_Type_Id")),
                      "App_Id", "Permission_Id")
     released = F.coalesce(F.col("Release_Dt"), F.col("Last_Update_Dt"))
     fact = rollup_fact(
