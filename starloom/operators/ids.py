@@ -102,11 +102,21 @@ def global_rank(df: DataFrame, value: str, rank_col: str = "rnk",
                 rank_type: str = "int", small_rows: int = SMALL_ID_ROWS) -> DataFrame:
     """SQL ``rank()`` over the whole table ordered by ``value``.
 
-    Positions come from ``dense_ids``; a row's rank is the smallest position
+    A set proven small by a count is ranked by the window itself. Otherwise
+    positions come from ``dense_ids``; a row's rank is the smallest position
     among rows with the same value (a partial aggregate, so a value shared by
     a third of the rows is combined map-side) joined back null-safely.
     """
     key = F.col(value).desc() if descending else F.col(value).asc()
+    staged = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        rows = staged.count()
+        if rows <= small_rows:
+            ranked = staged.withColumn(
+                rank_col, F.rank().over(Window.orderBy(key)).cast(rank_type))
+            return remember_rows(ranked.checkpoint(eager=True), rows)
+    finally:
+        staged.unpersist()
     ordered = dense_ids(df, [key, *tiebreak], "_sl_pos", id_type="long", small_rows=small_rows)
     firsts = ordered.groupBy(value).agg(F.min("_sl_pos").alias("_sl_first"))
     f = firsts.alias("_f")

@@ -186,9 +186,11 @@ def q_build_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_append_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
-    first = lineitem.where(F.col("l_linenumber") == 1).select("l_orderkey", "l_partkey")
-    second = lineitem.where(F.col("l_linenumber") <= 2).select("l_orderkey", "l_partkey")
+    """Two deliveries of the bridge that overlap by a year of shipments:
+    UNION ALL keeps the re-delivered rows twice."""
+    lineitem = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_shipdate")
+    first = lineitem.where(_before("l_shipdate", "1998-01-01")).select("l_orderkey", "l_partkey")
+    second = lineitem.where(_from("l_shipdate", "1997-01-01")).select("l_orderkey", "l_partkey")
     return append_bridge(first, second)
 
 

@@ -151,9 +151,9 @@ select l_orderkey, coalesce(id, -1) part_id from lineitem left join k on l_partk
 """
 
 ORACLE_SQL["append_bridge"] = """
-select l_orderkey, l_partkey from lineitem where l_linenumber = 1
+select l_orderkey, l_partkey from lineitem where l_shipdate < timestamp '1998-01-01'
 union all
-select l_orderkey, l_partkey from lineitem where l_linenumber <= 2
+select l_orderkey, l_partkey from lineitem where l_shipdate >= timestamp '1997-01-01'
 """
 
 ORACLE_SQL["upsert_detail"] = """
