@@ -134,7 +134,9 @@ def extend_child_dimension(existing: DataFrame, df: DataFrame, child: str, paren
         added = dense_ids(pairs, [child, parent], id_col, start=start, id_type=id_type)
         return added.select(id_col, F.col(child).alias(ecol), parent_id)
     known = existing.select(F.col(ecol).alias(child), parent_id)
-    fresh = pairs.join(known, [child, parent_id], "left_anti")
+    # null-safe: a NULL child already in the table is not "new" again
+    fresh = pairs.join(known, pairs[child].eqNullSafe(known[child])
+                       & pairs[parent_id].eqNullSafe(known[parent_id]), "left_anti")
     added = dense_ids(fresh, [child, parent], id_col, start=start, id_type=id_type)
     return existing.select(id_col, ecol, parent_id).unionByName(
         added.select(id_col, F.col(child).alias(ecol), parent_id))

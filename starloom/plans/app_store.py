@@ -28,6 +28,7 @@ from ..operators.ids import dense_ids
 from ..operators.joins import carry_known
 from ..operators.lookups import build_lookup, build_lookups, extend_lookup
 from ..operators.quality import check_not_empty, check_unique, run_checks
+from ..operators.ranks import measure_by_child_count, rank_by
 from ..sources.documents import read_permission_feed
 from ..sources.lake import publish_star, publish_table, read_if_exists
 from ..session import checkpoint_dir
@@ -355,6 +356,29 @@ def load_fact_layer(spark: SparkSession, root: str, once_per_app: bool = False)
     return publish_table(fact, _path(root, NAMES.app_fact))
 
 
+def category_rank(app: DataFrame, category: DataFrame) -> DataFrame:
+    """Categories ranked by installs (sum of Maximum_Installs over the
+    detail table, so each app counts once)."""
+    rows = app.join(category, "Category_Id", "left")
+    return rank_by(rows, "Category_Desc", F.col("Maximum_Installs"),
+                   value_name="Total_Installs", rank_name="Category_Rank")
+
+
+def developer_rank(app: DataFrame, developer: DataFrame) -> DataFrame:
+    """R2: developers ranked by the average rating of their apps (apps
+    without a rating are left out of the mean)."""
+    rows = app.join(developer.select("Developer_Id", "Developer_Name"), "Developer_Id", "left")
+    return rank_by(rows, "Developer_Name", F.col("Rating"), how="avg",
+                   value_name="Average_Rating", rank_name="Developer_Rank")
+
+
+def rating_by_permission_count(app: DataFrame, app_permission: DataFrame) -> DataFrame:
+    """Mean rating of apps by their number of permissions."""
+    return measure_by_child_count(app, app_permission, "App_Id", F.col("Rating"),
+                                  count_name="Num_Permissions", items_name="Count_Of_Apps",
+                                  avg_name="Average_Rating")
+
+
 # Declared warehouse schemas (fixed values of the model; K3).
 def _schema(*cols: tuple[str, object]) -> StructType:
     return StructType([StructField(n, t) for n, t in cols])

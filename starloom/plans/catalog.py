@@ -27,7 +27,8 @@ from ..functions.clean import (clean_date, clean_double, clean_flag, clean_int_p
                                clean_long, clean_size, clean_timestamp)
 from ..sources.documents import PERMISSION_SCHEMA, explode_documents
 from ..sources.text import APP_COLUMNS, APP_HEADER_PREFIX, parse_quoted_lines, quote_field
-from .app_store import NAMES, build_model
+from .app_store import (NAMES, build_model, category_rank, developer_rank,
+                        rating_by_permission_count)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -407,6 +408,30 @@ def q_app_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_model(records, permission_rows(spark, sf_dir))[NAMES.app_fact]
 
 
+def _app_model(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    records, _ = parse_quoted_lines(app_feed_lines(spark, sf_dir), APP_COLUMNS,
+                                    APP_HEADER_PREFIX)
+    return build_model(records, permission_rows(spark, sf_dir))
+
+
+def q_app_category_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R1 on the model: categories ranked by installs."""
+    m = _app_model(spark, sf_dir)
+    return category_rank(m[NAMES.app], m[NAMES.category])
+
+
+def q_app_developer_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R2 on the model: developers ranked by average app rating."""
+    m = _app_model(spark, sf_dir)
+    return developer_rank(m[NAMES.app], m[NAMES.developer])
+
+
+def q_app_rating_by_permissions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R3 on the model: rating against the number of permissions."""
+    m = _app_model(spark, sf_dir)
+    return rating_by_permission_count(m[NAMES.app], m[NAMES.app_permission])
+
+
 QUERIES: dict[str, Query] = {
     "star_fact": q_star_fact,
     "rollup_fact": q_rollup_fact,
@@ -438,4 +463,7 @@ QUERIES: dict[str, Query] = {
     "clean_size": q_clean_size,
     "clean_numbers": q_clean_numbers,
     "app_fact": q_app_fact,
+    "app_category_rank": q_app_category_rank,
+    "app_developer_rank": q_app_developer_rank,
+    "app_rating_by_permissions": q_app_rating_by_permissions,
 }

@@ -323,3 +323,27 @@ select cast(row_number() over (order by yr nulls first, mo nulls first, develope
        Count_In_App_Purchase, Count_Of_Editor_Choice
 from f
 """
+
+# Reports on the derived app model (same feed derivation as app_fact).
+_APP_SRC = ORACLE_SQL["app_fact"].split("cat as (")[0].rstrip().rstrip(",")
+
+ORACLE_SQL["app_category_rank"] = _APP_SRC + """
+select category Category_Desc, cast(sum(max_inst) as bigint) Total_Installs,
+       cast(rank() over (order by sum(max_inst) desc) as int) Category_Rank
+from src group by category
+"""
+
+ORACLE_SQL["app_developer_rank"] = _APP_SRC + """
+select dev Developer_Name, sum(rating) / count(rating) Average_Rating,
+       cast(rank() over (order by sum(rating) / count(rating) desc) as int) Developer_Rank
+from src group by dev
+"""
+
+ORACLE_SQL["app_rating_by_permissions"] = _APP_SRC + """,
+pl as (select distinct 'app.' || cast(l_orderkey as varchar) app_id, p_name, p_type
+       from lineitem join part on l_partkey = p_partkey),
+c as (select app_id, count(*) Num_Permissions from pl group by app_id)
+select Num_Permissions, count(*) Count_Of_Apps, sum(rating) / count(rating) Average_Rating
+from src join c on src.app_id = c.app_id
+group by Num_Permissions
+"""
