@@ -348,12 +348,17 @@ def app_fact(app: DataFrame, app_permission: DataFrame, permission: DataFrame,
     return dense_ids(fact, FACT_ORDER, "Auto_App_Id").select(*FACT_COLUMNS)
 
 
-def load_fact_layer(spark: SparkSession, root: str, once_per_app: bool = False) -> str:
-    """Fact entry: reads APP, APP_PERMISSION, PERMISSION and publishes APP_FACT."""
+def load_fact_layer(spark: SparkSession, root: str, once_per_app: bool = False,
+                    partition_by: list[str] | None = None) -> str:
+    """Fact entry: reads APP, APP_PERMISSION, PERMISSION and publishes APP_FACT.
+
+    ``partition_by=["Release_Year"]`` lays the fact out for partition pruning
+    on year filters (the partition column then comes last when read back).
+    """
     def t(name: str) -> DataFrame:
         return spark.read.parquet(_path(root, name))
     fact = app_fact(t(NAMES.app), t(NAMES.app_permission), t(NAMES.permission), once_per_app)
-    return publish_table(fact, _path(root, NAMES.app_fact))
+    return publish_table(fact, _path(root, NAMES.app_fact), partition_by=partition_by)
 
 
 def category_rank(app: DataFrame, category: DataFrame) -> DataFrame:

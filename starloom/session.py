@@ -24,6 +24,9 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # reliable checkpoints (dense ids) are deleted once their frame is gone,
+    # so the shared checkpoint folder does not grow run after run
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -195,3 +195,16 @@ def test_incremental_run_keeps_ids(spark, lake):
     bridge = t(spark, lake, "APP_PERMISSION")
     assert bridge.count() == 7
     assert bridge.where(F.col("App_Id") == "com.x.new").count() == 2
+
+
+def test_fact_partitioned_by_year_prunes(spark, lake, tmp_path):
+    root = str(tmp_path / "dl2")
+    import shutil
+    for name in ("APP", "APP_PERMISSION", "PERMISSION"):
+        shutil.copytree(os.path.join(lake["root"], name), os.path.join(root, name))
+    app_store.load_fact_layer(spark, root, partition_by=["Release_Year"])
+    fact = spark.read.parquet(os.path.join(root, "APP_FACT"))
+    one_year = fact.where(F.col("Release_Year") == 2020)
+    plan = one_year._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "Release_Year" in plan
+    assert one_year.count() == t(spark, lake, "APP_FACT").where("Release_Year = 2020").count()
