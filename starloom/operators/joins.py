@@ -47,20 +47,26 @@ def carry_known(src: DataFrame, dst: DataFrame) -> DataFrame:
     return remember_max(dst, known_max(src))
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                       rows: int | None = None) -> DataFrame:
-    """Hint a broadcast only when the side provably has at most ``max_rows``.
+def provably_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                   rows: int | None = None) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
 
     The proof is ``rows`` (or the count a frame carries), else a probe that
     reads at most ``max_rows + 1`` rows, so it stays cheap on a big side; the
     bound is the check, not a cap on the data.
     """
     if max_rows <= 0:
-        return df
+        return False
     seen = rows if rows is not None else known_rows(df)
     if seen is None:
         seen = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if seen <= max_rows else df
+    return seen <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                       rows: int | None = None) -> DataFrame:
+    """Hint a broadcast only when the side provably has at most ``max_rows``."""
+    return F.broadcast(df) if provably_small(df, max_rows, rows) else df
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str],
