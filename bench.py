@@ -28,10 +28,12 @@ HEADLINE = [
     "clean_numbers",
 ]
 
+# The same fact as ``rollup_fact`` (decimal sums), written as one statement.
 ONE_SHOT_FACT_SQL = """
 select o_orderpriority k1, year(o_orderdate) k2, month(o_orderdate) k3, p_type k4,
        count(distinct l_partkey) n_children, count(distinct o_orderkey) n_items,
-       sum(o_totalprice) / count(distinct o_orderkey) avg_price, sum(o_totalprice) total_price,
+       cast(sum(cast(o_totalprice as decimal(18,2))) as double) / count(distinct o_orderkey) avg_price,
+       cast(sum(cast(o_totalprice as decimal(18,2))) as double) total_price,
        count(distinct case when o_orderstatus = 'F' then o_orderkey end) n_f,
        count(distinct case when o_orderstatus = 'O' then o_orderkey end) n_o
 from orders join lineitem on o_orderkey = l_orderkey join part on l_partkey = p_partkey
