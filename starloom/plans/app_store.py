@@ -127,26 +127,36 @@ def app_columns(opts: Options) -> list[tuple[str, F.Column]]:
 def app_dimensions(records: DataFrame, existing: dict[str, DataFrame | None] | None = None
                    ) -> dict[str, DataFrame]:
     """DEVELOPER and the lookups from cleaned records; each extends or
-    upserts its previous version when ``existing`` holds one."""
+    upserts its previous version when ``existing`` holds one. The developer
+    dimension and the lookups are independent and built side by side."""
     existing = existing or {}
-    attrs = ["Developer_Website", "Developer_Email"]
-    src = records.select(F.col("Developer_Id").alias("Developer_Name"), *attrs, "Last_Updated")
-    old_dev = existing.get(NAMES.developer)
-    if old_dev is None:
-        dev = build_dimension(src, "Developer_Name", attrs, ["Last_Updated"], "Developer_Id")
-    else:
-        dev = upsert_dimension(old_dev, src, "Developer_Name", attrs, ["Last_Updated"],
-                               "Developer_Id")
-    out = {NAMES.developer: dev}
-    fresh = [(col, id_col, desc_col) for col, attr, id_col, desc_col in LOOKUPS
-             if existing.get(getattr(NAMES, attr)) is None]
-    built = build_lookups(records, fresh) if fresh else {}
-    for col, attr, id_col, desc_col in LOOKUPS:
-        name = getattr(NAMES, attr)
-        old = existing.get(name)
-        out[name] = built[col] if old is None else extend_lookup(old, records, col, id_col,
-                                                                  desc_col)
-    return out
+
+    def developer() -> DataFrame:
+        attrs = ["Developer_Website", "Developer_Email"]
+        src = records.select(F.col("Developer_Id").alias("Developer_Name"), *attrs,
+                             "Last_Updated")
+        old_dev = existing.get(NAMES.developer)
+        if old_dev is None:
+            return build_dimension(src, "Developer_Name", attrs, ["Last_Updated"],
+                                   "Developer_Id")
+        return upsert_dimension(old_dev, src, "Developer_Name", attrs, ["Last_Updated"],
+                                "Developer_Id")
+
+    def lookups() -> dict[str, DataFrame]:
+        fresh = [(col, id_col, desc_col) for col, attr, id_col, desc_col in LOOKUPS
+                 if existing.get(getattr(NAMES, attr)) is None]
+        built = build_lookups(records, fresh) if fresh else {}
+        out = {}
+        for col, attr, id_col, desc_col in LOOKUPS:
+            name = getattr(NAMES, attr)
+            old = existing.get(name)
+            out[name] = built[col] if old is None else extend_lookup(old, records, col, id_col,
+                                                                      desc_col)
+        return out
+
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        dev_job, lookup_job = pool.submit(developer), pool.submit(lookups)
+        return {NAMES.developer: dev_job.result(), **lookup_job.result()}
 
 
 def app_detail(records: DataFrame, dims: dict[str, DataFrame], opts: Options = Options(),
