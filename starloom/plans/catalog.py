@@ -340,9 +340,10 @@ def q_clean_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def app_feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An app feed in the source's quoted-line format, derived from
     orders ⋈ customer (one app per order; the developer is the customer's
-    nation). Names carry a comma inside quotes; every fifth-status order has
-    no release date; measures are multiples of 1/1024 so sums are exact in
-    binary and engines agree bit for bit."""
+    nation). Names and dates carry a comma inside quotes; orders in status
+    'P' have no release date (the fact falls back to the update date);
+    measures are multiples of 1/1024 so sums are exact in binary and the
+    engines agree bit for bit."""
     o = table(spark, sf_dir, "orders").join(
         table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     s = lambda c: c.cast("string")
