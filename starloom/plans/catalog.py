@@ -10,6 +10,7 @@ permission = part, permission type = part type. ``oracle_sql()`` in
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,8 +44,12 @@ def _order_rows(spark: SparkSession, sf_dir: str, priority_keys: bool) -> DataFr
     lineitem = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
     if priority_keys:
-        prio = build_lookup(orders, "o_orderpriority", "priority_id", "priority_desc")
-        types = build_lookup(part, "p_type", "type_id", "type_desc")
+        # two independent lookups: their jobs are submitted side by side
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            prio_job = pool.submit(build_lookup, orders, "o_orderpriority", "priority_id",
+                                   "priority_desc")
+            types_job = pool.submit(build_lookup, part, "p_type", "type_id", "type_desc")
+            prio, types = prio_job.result(), types_job.result()
         orders = resolve_keys(orders, [KeyMap("o_orderpriority", prio, "priority_desc", "priority_id")])
         part = resolve_keys(part, [KeyMap("p_type", types, "type_desc", "type_id")])
     return star_rows(orders, lineitem, part, "o_orderkey", "p_partkey",
