@@ -57,3 +57,16 @@ def test_distributed_ids_have_no_single_partition_data_exchange(spark):
     assert "Scan ExistingRDD" in text and "RangePartitioning" not in text
     assert ided.count() == df.count()
     assert ided.agg(F.countDistinct("id")).first()[0] == df.count()
+
+
+def test_no_registered_query_plans_a_cross_product(spark):
+    import importlib.util
+    import os
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    spec = importlib.util.spec_from_file_location("entry", os.path.join(root, "__spark_entry__.py"))
+    mod = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(mod)
+    for name, query in mod.queries().items():
+        text = formatted(query(spark, "/root/testdata/sf0.001"))
+        assert "CartesianProduct" not in text, name
+        assert "BroadcastNestedLoopJoin" not in text, name

@@ -68,3 +68,22 @@ def test_bridge_ids_within_dimension(spark, data):
     known = {r.pid for r in dim.collect()} | {-1}
     assert {r.pid for r in bridge.collect()} <= known
     assert bridge.count() == len(data)
+
+
+@SETTINGS
+@given(lines=st.lists(st.text(alphabet='",a', max_size=12), min_size=1, max_size=20))
+def test_line_parser_matches_the_pattern(spark, lines):
+    import re
+
+    from starloom.sources.text import FIELD_PATTERN, parse_quoted_lines
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    records, rejects = parse_quoted_lines(df, ["a", "b", "c"])
+    expected_ok, expected_bad = [], []
+    for line in lines:
+        fields = re.findall(FIELD_PATTERN, line + ",")
+        if len(fields) >= 3:
+            expected_ok.append(tuple(f.strip('"') for f in fields[:3]))
+        else:
+            expected_bad.append((line, len(fields)))
+    assert sorted(tuple(r) for r in records.collect()) == sorted(expected_ok)
+    assert sorted(tuple(r) for r in rejects.collect()) == sorted(expected_bad)
