@@ -31,7 +31,7 @@ from ..operators.lookups import build_lookup, build_lookups, extend_lookup
 from ..operators.quality import check_not_empty, check_unique, run_checks
 from ..operators.ranks import measure_by_child_count, rank_by
 from ..sources.documents import read_permission_feed
-from ..sources.lake import publish_star, publish_table, read_if_exists
+from ..sources.lake import publish_star, publish_table, read_if_exists, upsert_in_place
 from ..session import checkpoint_dir
 from ..sources.text import read_app_feed
 
@@ -67,6 +67,7 @@ class Options:
     renumber_permissions: bool = False  # True: source renumbering of PERMISSION
     dedupe_bridge: bool = True       # enforce the (app, permission) key
     incremental_app: bool = True     # upsert APP instead of replacing it
+    app_buckets: int | None = None   # store APP hash-bucketed; loads rewrite touched buckets
 
 
 NAMES = LakeNames()
@@ -282,6 +283,11 @@ def load_app_records(spark: SparkSession, records: DataFrame, root: str,
         for name, frame in app_dimensions(records, old).items():
             published[name] = publish_table(frame, _path(root, name))
         dims = {n: spark.read.parquet(_path(root, n)) for n in names}
+        if opts.app_buckets and opts.incremental_app:
+            published[NAMES.app] = upsert_in_place(
+                spark, _path(root, NAMES.app), app_detail(records, dims, opts), "App_Id",
+                buckets=opts.app_buckets)
+            return published
         app = app_detail(records, dims, opts, read_if_exists(spark, _path(root, NAMES.app)))
         published[NAMES.app] = publish_table(app, _path(root, NAMES.app))
         return published
