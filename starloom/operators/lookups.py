@@ -87,11 +87,14 @@ def build_lookups(df: DataFrame, specs: list[tuple[str, str, str]],
     matters when the source is a parsed text feed. Values are compared as
     strings (non-string sources are cast).
     """
-    pairs = None
-    for i, (src, _, _) in enumerate(specs):
-        part = df.where(usable_value(df, src, keep)).select(
-            F.lit(i).alias("_sl_lk"), F.col(src).cast("string").alias("_sl_v"))
-        pairs = part if pairs is None else pairs.unionByName(part)
+    # one scan: each row yields one (lookup, value) pair per column; values
+    # that may not enter their lookup become NULL and are dropped
+    entries = [F.struct(F.lit(i).alias("_sl_lk"),
+                        F.when(usable_value(df, src, keep), F.col(src).cast("string"))
+                        .alias("_sl_v"))
+               for i, (src, _, _) in enumerate(specs)]
+    pairs = (df.select(F.explode(F.array(*entries)).alias("_sl_e")).select("_sl_e.*")
+               .where(F.col("_sl_v").isNotNull()))
     ided = dense_ids(pairs.distinct(), ["_sl_lk", "_sl_v"], "_sl_gid", id_type="long")
     # one row per lookup: first global id and size
     bounds = {r["_sl_lk"]: (r["first"], r["n"]) for r in ided.groupBy("_sl_lk").agg(

@@ -12,7 +12,7 @@ from starloom.operators.dimensions import (build_child_dimension, extend_child_d
 from starloom.operators.facts import rollup_fact
 from starloom.operators.ids import dense_ids, global_rank
 from starloom.operators.joins import broadcast_if_small, join_null_safe
-from starloom.operators.lookups import build_lookup, extend_lookup
+from starloom.operators.lookups import build_lookup, build_lookups, extend_lookup
 from starloom.operators.quality import (assert_checks, check_not_empty, check_unique,
                                         profile_table, run_checks)
 
@@ -212,3 +212,13 @@ def test_join_helpers(spark):
     assert got == sorted([(None, 1, 10), ("x", 2, 20)], key=repr)
     assert broadcast_if_small(a, 1) is a
     assert broadcast_if_small(a, 2) is not a
+
+
+def test_build_lookups_one_pass_equals_separate_builds(spark):
+    df = spark.createDataFrame([("Tools", "USD", 3), ("Art", " ", 3), (None, "EUR", None),
+                                ("Tools", "", 1)], "cat string, cur string, n int")
+    many = build_lookups(df, [("cat", "cid", "cd"), ("cur", "uid", "ud"), ("n", "nid", "nd")])
+    for src, id_col, desc in [("cat", "cid", "cd"), ("cur", "uid", "ud")]:
+        one = sorted(map(tuple, build_lookup(df, src, id_col, desc).collect()))
+        assert sorted(map(tuple, many[src].collect())) == one
+    assert sorted(map(tuple, many["n"].collect())) == [(1, "1"), (2, "3")]
