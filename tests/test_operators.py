@@ -222,3 +222,12 @@ def test_build_lookups_one_pass_equals_separate_builds(spark):
         one = sorted(map(tuple, build_lookup(df, src, id_col, desc).collect()))
         assert sorted(map(tuple, many[src].collect())) == one
     assert sorted(map(tuple, many["n"].collect())) == [(1, "1"), (2, "3")]
+
+
+def test_profile_table_approx(spark):
+    df = spark.range(0, 5000).select((F.col("id") % 97).alias("a"),
+                                     (F.col("id") % 1000).alias("b"))
+    exact = {r.col: r.distincts for r in profile_table(df).collect()}
+    approx = {r.col: r.distincts for r in profile_table(df, approx=True).collect()}
+    assert exact == {"a": 97, "b": 1000}
+    assert all(abs(approx[c] - exact[c]) <= 0.05 * exact[c] for c in exact)
