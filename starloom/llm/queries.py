@@ -10,9 +10,8 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from . import tokenize
+from . import decontaminate, tokenize
 from .common import table
 
 #: Folder of the public vocabulary files; they are read, never copied.
@@ -29,13 +28,21 @@ def model_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.hit_digests(decontaminate.find_hits(docs, items))
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return tokenize.token_digests(tokenize.encode_documents(docs, model_path(PIECE_MODEL)))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_decontaminate": op2_decontaminate,
     "op6_sentencepiece": op6_sentencepiece,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_decontaminate": decontaminate.ORACLE,
+}
