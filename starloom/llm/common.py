@@ -74,3 +74,18 @@ def one_label(labels: DataFrame, label: str) -> DataFrame:
     rows count once, and of conflicting rows the more frequent label holds (1 in a tie)."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
     return known.groupBy("doc_id").agg((F.avg(F.col(label).cast("double")) >= 0.5).cast("int").alias("label"))
+
+
+def training_texts(docs: DataFrame, labels: DataFrame, label: str, fold: tuple[int, int], rows: int) -> DataFrame:
+    """(text, label) of a bounded sample of labelled rows.
+
+    Rows whose ``fold_of(doc_id, fold[0])`` is ``fold[1]`` are held out. Of the
+    others the ``rows`` with the smallest hash of the id are taken: the same
+    ids whatever the partitions, and as good as random. The ids (at most
+    ``rows``) are broadcast, so the texts are not shuffled. Of documents that
+    repeat a doc_id every row comes.
+    """
+    known = one_label(labels, label).where(fold_of("doc_id", fold[0]) != fold[1])
+    some = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    texts = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"))
+    return texts.join(F.broadcast(some), "doc_id").select("doc_id", "text", "label")

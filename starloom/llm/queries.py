@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, simhash, tokenize
+from . import decontaminate, quality, simhash, tokenize
 from .common import table
 
 #: Folder of the public vocabulary files; they are read, never copied.
@@ -33,6 +33,10 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.hit_digests(decontaminate.find_hits(docs, items))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return simhash.digests(simhash.near_duplicates(docs, shingle=4, max_bits=4))
@@ -45,6 +49,7 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": op2_decontaminate,
+    "op4_quality": op4_quality,
     "op5_simhash": op5_simhash,
     "op6_sentencepiece": op6_sentencepiece,
 }
