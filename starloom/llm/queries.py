@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, quality, simhash, tokenize
+from . import decontaminate, quality, simhash, tokenize, toxicity
 from .common import table
 
 #: Folder of the public vocabulary files; they are read, never copied.
@@ -47,11 +47,16 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenize.token_digests(tokenize.encode_documents(docs, model_path(PIECE_MODEL)))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": op2_decontaminate,
     "op4_quality": op4_quality,
     "op5_simhash": op5_simhash,
     "op6_sentencepiece": op6_sentencepiece,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {
