@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, quality, simhash, tokenize, toxicity
+from . import decontaminate, quality, secrets, simhash, tokenize, toxicity
 from .common import table
 
 #: Folder of the public vocabulary files; they are read, never copied.
@@ -33,6 +33,10 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.hit_digests(decontaminate.find_hits(docs, items))
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(secrets.scan_documents(table(spark, sf_dir, "documents")))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -53,6 +57,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": op2_decontaminate,
+    "op3_secrets": op3_secrets,
     "op4_quality": op4_quality,
     "op5_simhash": op5_simhash,
     "op6_sentencepiece": op6_sentencepiece,
@@ -61,4 +66,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op2_decontaminate": decontaminate.ORACLE,
+    "op3_secrets": secrets.ORACLE,
 }
