@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, quality, secrets, simhash, tokenize, toxicity
+from . import chat, decontaminate, quality, secrets, simhash, tokenize, toxicity
 from .common import table
 
 #: Folder of the public vocabulary files; they are read, never copied.
@@ -51,6 +51,11 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenize.token_digests(tokenize.encode_documents(docs, model_path(PIECE_MODEL)))
 
 
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = chat.with_probe(table(spark, sf_dir, "conversations"), spark)
+    return chat.digests(chat.format_windows(turns))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -61,10 +66,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality": op4_quality,
     "op5_simhash": op5_simhash,
     "op6_sentencepiece": op6_sentencepiece,
+    "op8_chat": op8_chat,
     "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_decontaminate": decontaminate.ORACLE,
     "op3_secrets": secrets.ORACLE,
+    "op8_chat": chat.ORACLE,
 }
