@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, quality, secrets, simhash, tokenize, toxicity
+from . import chat, decontaminate, html_text, quality, secrets, simhash, tokenize, toxicity
 from .common import table
 
 #: Folder of the public vocabulary files; they are read, never copied.
@@ -51,6 +51,10 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenize.token_digests(tokenize.encode_documents(docs, model_path(PIECE_MODEL)))
 
 
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = chat.with_probe(table(spark, sf_dir, "conversations"), spark)
     return chat.digests(chat.format_windows(turns))
@@ -66,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality": op4_quality,
     "op5_simhash": op5_simhash,
     "op6_sentencepiece": op6_sentencepiece,
+    "op7_html": op7_html,
     "op8_chat": op8_chat,
     "op10_toxicity": op10_toxicity,
 }
