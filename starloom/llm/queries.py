@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, html_text, neighbours, quality, secrets, simhash, tokenize, toxicity
+from . import chat, decontaminate, html_text, neighbours, passages, quality, secrets, simhash, tokenize, toxicity
 from .common import table
 
 #: Folder of the public vocabulary files; they are read, never copied.
@@ -29,6 +29,10 @@ def model_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.passages(table(spark, sf_dir, "documents"))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontaminate.hit_digests(decontaminate.find_hits(docs, items))
@@ -70,6 +74,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_passages": op1_passages,
     "op2_decontaminate": op2_decontaminate,
     "op3_secrets": op3_secrets,
     "op4_quality": op4_quality,
