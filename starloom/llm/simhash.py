@@ -61,16 +61,17 @@ def fingerprint(text: str | None, shingle: int) -> int:
     return int.from_bytes(np.packbits(ones * 2 > len(parts)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, shingle: int, keep: tuple = ("doc_id",), text: str = "text") -> DataFrame:
-    """The ``keep`` columns and ``fp``, the fingerprint as a signed 64-bit integer."""
+def fingerprints(docs: DataFrame, shingle: int, keep: tuple = ("doc_id",), text: str = "text",
+                 name: str = "fp") -> DataFrame:
+    """The ``keep`` columns and the fingerprint as a signed 64-bit integer."""
 
     def make():
         def of(texts):
-            return {"fp": pa.array(np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64))}
+            return {name: pa.array(np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64))}
 
         return of
 
-    return by_text(docs, make, "fp bigint", list(keep), text)
+    return by_text(docs, make, f"`{name}` bigint", [c for c in keep if c != name], text)
 
 
 def candidate_keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -208,17 +209,44 @@ def _large_keys(rows: DataFrame, max_bits: int, bucket: int) -> DataFrame:
     return pairs.groupBy("key", "p.i", "p.j").applyInPandas(compare, "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, bucket: int = BUCKET,
-                    text: str = "text") -> DataFrame:
-    """doc_id, fp, component_id (smallest doc_id reachable over links), one row per input row."""
-    marked = checkpoint(fingerprints(docs, shingle, ("doc_id",), text))
+def _classes(marked: DataFrame, max_bits: int, bucket: int) -> DataFrame:
+    """(fp, group, component_id) of every fingerprint in ``marked`` (doc_id, fp)."""
     distinct = checkpoint(marked.groupBy("fp").agg(F.min("doc_id").alias("first")))
     found = connected_components(links(distinct, max_bits, bucket))
     grouped = distinct.join(found, distinct["fp"] == found["node"], "left").select(
         "fp", "first", F.coalesce("component", "fp").alias("group"))
     firsts = grouped.groupBy("group").agg(F.min("first").alias("component_id"))
-    classes = grouped.join(firsts, "group").select("fp", "component_id")
-    return marked.join(classes, "fp").select("doc_id", "fp", "component_id")
+    return grouped.join(firsts, "group").select("fp", "group", "component_id")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, bucket: int = BUCKET,
+                    text: str = "text") -> DataFrame:
+    """doc_id, fp, component_id (smallest doc_id reachable over links), one row per input row."""
+    marked = checkpoint(fingerprints(docs, shingle, ("doc_id",), text))
+    return marked.join(_classes(marked, max_bits, bucket), "fp").select("doc_id", "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4, bucket: int = BUCKET) -> DataFrame:
+    """``docs`` (same columns) with one row of each group: the one with the smallest doc_id.
+
+    Of rows that repeat that id the one with the smallest fingerprint stays
+    (one of them, if they are equal in that too); in a group without any id,
+    one of its rows. Texts are shuffled once, by id and fingerprint; only rows
+    that repeat both are compared with each other.
+    """
+    marked = checkpoint(fingerprints(docs, shingle, ("doc_id",)))
+    classes = _classes(marked, max_bits, bucket)
+    first = marked.join(classes, "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    chosen = first.groupBy("group").agg(F.min("doc_id").alias("__id"), F.min(F.struct("fp")).alias("k"))
+    counts = marked.groupBy("doc_id", "fp").agg(F.count("*").alias("__n"))
+    chosen = chosen.select("__id", F.col("k.fp").alias("__fp"))
+    chosen = chosen.join(counts, F.col("__id").eqNullSafe(F.col("doc_id")) & (F.col("__fp") == F.col("fp"))).select(
+        "__id", "__fp", "__n")
+    whole = fingerprints(docs, shingle, tuple(docs.columns), name="__own")
+    stay = whole.join(chosen, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__fp")))
+    single = stay.where("__n = 1")
+    repeated = stay.where("__n > 1").dropDuplicates(["__id", "__own"])
+    return single.unionByName(repeated).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def digests(found: DataFrame) -> DataFrame:

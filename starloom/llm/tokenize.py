@@ -133,9 +133,13 @@ def encode_documents(df: DataFrame, model_path: str, text: str = "text", keep: t
     return by_text(df, make, "ids array<int>, decoded string", list(keep), text)
 
 
+def digest_columns() -> list:
+    """n_tokens, ids_sha256 and decoded_sha256 of ``encode_documents``'s columns."""
+    return [F.size("ids").cast("long").alias("n_tokens"),
+            F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+            F.sha2(F.col("decoded"), 256).alias("decoded_sha256")]
+
+
 def token_digests(encoded: DataFrame) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of ``encode_documents``'s result."""
-    return encoded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+    return encoded.select("doc_id", *digest_columns())
