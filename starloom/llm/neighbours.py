@@ -7,9 +7,9 @@ directions give each vector as many single numbers; a block of vectors keeps
 one sorted array per direction. A query's windows in these arrays, centred on
 its own numbers, grow step by step (virtual rehashing: the same arrays at a
 wider radius); a vector that is in
-``collide`` of all windows is a candidate. The windows grow until ``k`` and a
-share ``verify`` of the block are candidates, whose inner products are then
-taken in double precision on the original vectors.
+``collide`` of all windows is a candidate. The windows grow until ``SPARE`` times k
+and a share ``verify`` of the block are candidates, whose inner products are
+then taken in double precision on the original vectors.
 
 Work is dealt out as pairs of a block of vectors and a block of queries, both
 of bounded size, by two small replications on block numbers; no vector passes
@@ -37,6 +37,8 @@ from pyspark.sql import functions as F
 PROJECTIONS = 128
 #: Share of the windows that a candidate is in, and of a block that is verified.
 COLLIDE, VERIFY = 0.62, 0.12
+#: Candidates for each wanted neighbour, beside that share.
+SPARE = 8
 #: First half-width of a window, in standard deviations of the projections, and its growth.
 WIDTH, GROWTH = 0.9, 1.15
 #: Vectors and queries of one task, about.
@@ -91,7 +93,7 @@ def search_block(vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, quer
                  k: int, projections: int = PROJECTIONS, collide: float = COLLIDE, verify: float = VERIFY):
     """The k best found in a block for each query: (query_id, vec_id, score) arrays."""
     index = SortedProjections(vectors, largest, projections)
-    wanted = k + 1 + math.ceil(verify * len(ids))
+    wanted = SPARE * k + 1 + math.ceil(verify * len(ids))
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for q, found in index.candidates(queries, wanted, math.ceil(collide * projections)):
         other = found[ids[found] != query_ids[q]]
