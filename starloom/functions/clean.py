@@ -50,9 +50,14 @@ def clean_flag(col: Column | str, true_text: str = TRUE_TEXT) -> Column:
 def clean_long(col: Column | str) -> Column:
     """Integer text, also ``'10000.0'``, to bigint; bad values -> NULL.
 
-    Goes through double because ``try_cast('10000.0' as bigint)`` is NULL.
+    Integer text is cast as it is, so all its digits stay; text with a
+    fraction goes through a decimal (the fraction is dropped), and only text
+    in another notation (``1e3``) through double.
     """
-    return _c(col).try_cast("double").try_cast("bigint")
+    c = _c(col)
+    return F.coalesce(c.try_cast("bigint"), F.floor(F.abs(c.try_cast("decimal(38,10)"))).try_cast("bigint")
+                      * F.when(F.trim(c).startswith("-"), -1).otherwise(1),
+                      c.try_cast("double").try_cast("bigint"))
 
 
 def clean_int_parity(col: Column | str) -> Column:
@@ -106,15 +111,3 @@ def clean_timestamp(col: Column | str, fmt: str = SCRAPE_TIME_FORMAT, ntz: bool
     c = _c(col)
     ts = F.when(_parsable(c, fmt), F.try_to_timestamp(c, F.lit(fmt)))
     return ts.cast("timestamp_ntz") if ntz else ts
-
-
-def nonblank(col: Column | str) -> Column:
-    """not NULL and not whitespace-only."""
-    c = _c(col)
-    return c.isNotNull() & (F.length(F.trim(c)) > 0)
-
-
-def year_month_fallback(primary: Column | str, fallback: Column | str) -> tuple[Column, Column]:
-    """Year and month of ``coalesce(primary, fallback)`` as int."""
-    d = F.coalesce(_c(primary), _c(fallback))
-    return F.year(d).cast("int"), F.month(d).cast("int")

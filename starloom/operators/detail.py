@@ -8,7 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small, known_rows
+from .joins import BROADCAST_BYTES, is_small, known_bytes, remember_bytes
+from .newest import latest_per_key
 
 UNKNOWN_ID = -1
 
@@ -27,23 +28,30 @@ class KeyMap:
 
 
 def resolve_keys(df: DataFrame, maps: Sequence[KeyMap], unknown: int = UNKNOWN_ID,
-                 broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                 broadcast_bytes: int = BROADCAST_BYTES,
                  drop_source: bool = False) -> DataFrame:
     """Left-join each natural key to its dimension; no match -> ``unknown``.
 
-    A dimension with at most ``broadcast_rows`` rows is broadcast (no shuffle
-    of the detail side); a larger one is a shuffle join, where AQE splits a
-    hot key (e.g. the unknown member) across tasks. NULL and unmatched keys
-    never match and get ``unknown``.
+    A dimension that measures at most ``broadcast_bytes`` is broadcast (no
+    shuffle of the detail side). Before a shuffle join the rows with a NULL
+    key, which can't match, are set apart and united again as ``unknown``, so
+    they don't meet in one task; AQE splits hot values. The key must be unique
+    in the dimension.
     """
     out = df
     for m in maps:
         target = m.out or m.id
         dim = m.dim.select(F.col(m.desc).alias("_sl_k"), F.col(m.id).alias("_sl_v"))
-        dim = broadcast_if_small(dim, broadcast_rows, rows=known_rows(m.dim))
-        out = (out.join(dim, out[m.src] == dim["_sl_k"], "left")
-                  .withColumn(target, F.coalesce(F.col("_sl_v"), F.lit(unknown)))
-                  .drop("_sl_k", "_sl_v"))
+        remember_bytes(dim, known_bytes(m.dim))
+        if is_small(dim, broadcast_bytes):
+            joined = out.join(F.broadcast(dim), out[m.src] == dim["_sl_k"], "left")
+        else:
+            with_key = out.where(F.col(m.src).isNotNull())
+            without = out.where(F.col(m.src).isNull()).select(
+                "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in dim.schema])
+            joined = with_key.join(dim, with_key[m.src] == dim["_sl_k"], "left").unionByName(without)
+        out = (joined.withColumn(target, F.coalesce(F.col("_sl_v"), F.lit(unknown)))
+                     .drop("_sl_k", "_sl_v"))
         if drop_source and m.src != target:
             out = out.drop(m.src)
     return out
@@ -57,18 +65,26 @@ def changed(columns: Sequence[str], left: str = "_t", right: str = "_s") -> Colu
     return cond
 
 
-def upsert_detail(existing: DataFrame, new: DataFrame, key: Sequence[str] | str) -> DataFrame:
+def upsert_detail(existing: DataFrame, new: DataFrame, key: Sequence[str] | str,
+                  order: Sequence[str] = ()) -> DataFrame:
     """C14: the new version of every key in ``new`` plus untouched old rows.
 
     ``new`` rows replace existing rows with the same key (inserted or
-    updated); existing keys absent from ``new`` are kept. One anti join
-    (shuffle on the key, or broadcast of the smaller side by AQE) and a
-    union; no full rewrite join of both sides.
+    updated); existing keys absent from ``new`` are kept. Of several rows of
+    one key in ``new`` one stays (the largest by ``order``, then by all
+    columns), and a NULL key is a key like any other, so running the same
+    upsert again changes nothing. One aggregate over ``new``, one null-safe
+    anti join and a union; no full rewrite join of both sides.
     """
     keys = [key] if isinstance(key, str) else list(key)
     cols = existing.columns
-    kept = existing.join(new.select(*keys), keys, "left_anti")
-    return new.select(*cols).unionByName(kept.select(*cols))
+    rest = [c for c in cols if c not in keys]
+    one = latest_per_key(new, keys, list(order), rest).select(*cols) if rest else new.select(*cols).distinct()
+    e, n = existing.alias("_e"), one.select(*keys).alias("_n")
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(f"_e.{k}").eqNullSafe(F.col(f"_n.{k}"))
+    return one.unionByName(e.join(n, same, "left_anti").select(*cols))
 
 
 def changed_rows(existing: DataFrame, new: DataFrame, key: Sequence[str] | str,
@@ -76,24 +92,24 @@ def changed_rows(existing: DataFrame, new: DataFrame, key: Sequence[str] | str,
     """Rows of ``new`` that are inserts or real changes (NULL-safe compare)."""
     keys = [key] if isinstance(key, str) else list(key)
     compare = list(compare or [c for c in new.columns if c not in keys])
-    t, s = existing.alias("_t"), new.alias("_s")
+    s = new.alias("_s")
     cond = None
     for k in keys:
-        c = F.col(f"_s.{k}") == F.col(f"_t.{k}")
+        c = F.col(f"_s.{k}").eqNullSafe(F.col(f"_t.{k}"))
         cond = c if cond is None else cond & c
-    j = s.join(t, cond, "left")
-    is_new = F.col(f"_t.{keys[0]}").isNull()
+    j = s.join(existing.withColumn("_sl_old", F.lit(True)).alias("_t"), cond, "left")
+    is_new = F.col("_t._sl_old").isNull()
     return j.where(is_new | changed(compare)).select(*[F.col(f"_s.{c}") for c in new.columns])
 
 
 def build_detail(df: DataFrame, maps: Sequence[KeyMap], columns: Sequence[tuple[str, Column]],
                  unknown: int = UNKNOWN_ID,
-                 broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                 broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Resolve natural keys, then build every target column in one
     projection (``columns`` = (name, expression) in output order).
 
     Expressions may use the resolved id columns and the source columns; the
     whole step stays one scan + broadcast joins + one codegen'd projection.
     """
-    resolved = resolve_keys(df, maps, unknown=unknown, broadcast_rows=broadcast_rows)
+    resolved = resolve_keys(df, maps, unknown=unknown, broadcast_bytes=broadcast_bytes)
     return resolved.select(*[e.alias(n) for n, e in columns])

@@ -10,35 +10,9 @@ from pyspark.sql import functions as F
 
 from .detail import UNKNOWN_ID, KeyMap, resolve_keys
 from .ids import dense_ids
-from .joins import DEFAULT_BROADCAST_ROWS, carry_known
+from .joins import BROADCAST_BYTES, carry_known
 from .lookups import max_id, usable_value
-
-
-def _as_list(x: Sequence[str] | str) -> list[str]:
-    return [x] if isinstance(x, str) else list(x)
-
-
-def latest_per_key(df: DataFrame, key: Sequence[str] | str, order: Sequence[str] | str,
-                   cols: Sequence[str], tiebreak: Sequence[str] | None = None) -> DataFrame:
-    """For each key the row that is newest by ``order`` (descending).
-
-    Equivalent to ``row_number() over (partition by key order by o1 desc,
-    o2 desc, ..) = 1`` with NULL order values last. Ties are broken by
-    ``tiebreak`` (default: ``cols``, descending) so the pick is reproducible.
-
-    Implemented as ``max(struct(order.., tiebreak.., cols..))`` per key: an
-    aggregate with map-side partial aggregation, so a key that owns a third
-    of all rows is reduced inside each map task rather than shipped to and
-    sorted by a single reducer as a window would.
-    """
-    keys, order = _as_list(key), _as_list(order)
-    cols = list(cols)
-    tie = list(cols if tiebreak is None else tiebreak)
-    fields = ([F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]
-              + [F.col(c).alias(f"_t{i}") for i, c in enumerate(tie)]
-              + [F.col(c).alias(f"_p{i}") for i, c in enumerate(cols)])
-    best = df.groupBy(*keys).agg(F.max(F.struct(*fields)).alias("_sl_best"))
-    return best.select(*keys, *[F.col(f"_sl_best._p{i}").alias(c) for i, c in enumerate(cols)])
+from .newest import latest_per_key
 
 
 def build_dimension(df: DataFrame, key: str, attrs: Sequence[str], order: Sequence[str] | str,
@@ -94,24 +68,34 @@ def upsert_dimension(existing: DataFrame, df: DataFrame, key: str, attrs: Sequen
 def build_child_dimension(df: DataFrame, child: str, parent: str, parent_dim: DataFrame,
                           parent_desc: str, parent_id: str, id_col: str,
                           child_name: str | None = None, unknown: int = UNKNOWN_ID,
-                          broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Distinct (child, parent value) pairs -> id + parent surrogate id.
-
-    Ids follow (child, parent value) order -- a total order, so a child
-    listed under two parents gets two stable, reproducible ids (the source
-    ordered by the child alone, which leaves such ids to chance).
+                          broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Distinct (child, parent surrogate id) pairs with dense ids.
+
+    The parent is resolved first, so parents without an id (NULL, blank, not
+    in the dimension) are one unknown parent, and a full load keys the table
+    as an incremental one does. Ids follow (child, parent value) order, the
+    smallest parent value standing for the unknown ones -- a total order, so a
+    child listed under two parents gets two stable, reproducible ids (the
+    source ordered by the child alone, which leaves such ids to chance).
     """
-    pairs = df.select(child, parent).distinct()
-    ided = dense_ids(pairs, [child, parent], id_col)
-    out = resolve_keys(ided, [KeyMap(parent, parent_dim, parent_desc, parent_id)],
-                       unknown=unknown, broadcast_rows=broadcast_rows)
-    out = out.select(id_col, child, parent_id)
-    if child_name and child_name != child:
-        out = out.withColumnRenamed(child, child_name)
-    # a left join on a unique dimension key keeps the row count
+    pairs = _child_pairs(df, child, parent, parent_dim, parent_desc, parent_id, unknown, broadcast_bytes)
+    ided = dense_ids(pairs, [child, "_sl_parent", parent_id], id_col)
+    out = ided.select(id_col, F.col(child).alias(child_name or child), parent_id)
     return carry_known(ided, out)
 
 
+def _child_pairs(df: DataFrame, child: str, parent: str, parent_dim: DataFrame, parent_desc: str,
+                 parent_id: str, unknown: int, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Distinct (child, parent id), with the smallest parent value as ``_sl_parent``."""
+    typed = resolve_keys(df.select(child, F.col(parent).alias("_sl_parent")).distinct(),
+                         [KeyMap("_sl_parent", parent_dim, parent_desc, parent_id)],
+                         unknown=unknown, broadcast_bytes=broadcast_bytes)
+    # NULL sorts first, as in the order of ids
+    low = F.min(F.struct(F.col("_sl_parent").isNotNull().alias("v"), F.col("_sl_parent").alias("p")))
+    return typed.groupBy(child, parent_id).agg(low.alias("_sl_low")).select(
+        child, parent_id, F.col("_sl_low.p").alias("_sl_parent"))
+
+
 def extend_child_dimension(existing: DataFrame, df: DataFrame, child: str, parent: str,
                            parent_dim: DataFrame, parent_desc: str, parent_id: str,
                            id_col: str, existing_child: str | None = None,
@@ -125,23 +109,16 @@ def extend_child_dimension(existing: DataFrame, df: DataFrame, child: str, paren
     existing rows are dropped (old bridge rows then dangle).
     """
     ecol = existing_child or child
-    pairs = df.select(child, parent).distinct()
-    pairs = resolve_keys(pairs, [KeyMap(parent, parent_dim, parent_desc, parent_id)],
-                         unknown=unknown)
+    pairs = _child_pairs(df, child, parent, parent_dim, parent_desc, parent_id, unknown)
     start = max_id(existing, id_col) + 1
     id_type = existing.schema[id_col].dataType.simpleString()
     if not keep_existing:
-        added = dense_ids(pairs, [child, parent], id_col, start=start, id_type=id_type)
+        added = dense_ids(pairs, [child, "_sl_parent", parent_id], id_col, start=start, id_type=id_type)
         return added.select(id_col, F.col(child).alias(ecol), parent_id)
     known = existing.select(F.col(ecol).alias(child), parent_id)
     # null-safe: a NULL child already in the table is not "new" again
     fresh = pairs.join(known, pairs[child].eqNullSafe(known[child])
                        & pairs[parent_id].eqNullSafe(known[parent_id]), "left_anti")
-    added = dense_ids(fresh, [child, parent], id_col, start=start, id_type=id_type)
+    added = dense_ids(fresh, [child, "_sl_parent", parent_id], id_col, start=start, id_type=id_type)
     return existing.select(id_col, ecol, parent_id).unionByName(
         added.select(id_col, F.col(child).alias(ecol), parent_id))
-
-
-def dedupe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Distinct rows (hash aggregate with map-side combine)."""
-    return df.dropDuplicates(list(cols)) if cols else df.distinct()

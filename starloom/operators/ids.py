@@ -1,24 +1,17 @@
-"""Gap-free surrogate ids and global ranks without an unbounded
-single-partition window.
+"""Gap-free surrogate ids and global ranks without a single-partition window.
 
 ``row_number() over (order by k)`` plans ``Exchange SinglePartition``: every
-row of the table goes through one task. ``dense_ids`` first persists and
-counts its input (computing it once), then
-
-* a set proven to hold at most ``SMALL_ID_ROWS`` rows (lookup values,
-  categories, report groups) is numbered by that window -- cheap at that
-  size, and deterministic because the order is total -- and checkpointed;
-* a larger set is range-partitioned on the order keys and sorted per
-  partition; that layout is written with a reliable ``checkpoint`` (shared
-  storage), so a lost executor or a retried stage re-reads exactly the same
-  partitions and rows -- ids are deterministic under failures. Rows per
-  partition are counted (one small row per partition), turned into offsets
-  and broadcast (size bound: the number of partitions), and each row gets
-  ``offset(partition) + position in partition``.
-
-Either way the result is fixed data (the small result is checkpointed, the
-large one reads its checkpointed layout), so ids never change between uses
-and lookups that are joined and extended several times are not recomputed.
+row of the table goes through one task. ``dense_ids`` range-partitions its
+input on the order keys, sorts each partition and writes that layout once with
+a reliable ``checkpoint`` (shared storage), so a lost executor or a retried
+stage re-reads exactly the same partitions and rows. Rows and bytes per
+partition are counted on that copy (one small row per partition), turned into
+offsets and broadcast, and each row gets ``offset(partition) + position in
+partition``. There is one path for every size; AQE makes a small set one
+partition.
+
+Ids are fixed data: they never change between uses, and lookups that are
+joined and extended several times are not recomputed.
 
 Rows are ordered by the given columns; give a total order (unique keys or
 explicit tiebreak columns) for reproducible ids.
@@ -28,101 +21,84 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir, shuffle_partitions
-from .joins import remember_max, remember_rows
+from ..session import checkpoint_dir
+from .joins import remember_bytes, remember_max, remember_rows, row_bytes
 
 ColumnOrName = Column | str
 
-# Offsets are broadcast: one row per partition. Refuse absurd partition counts
-# rather than broadcasting something that grows with the data.
-MAX_ID_PARTITIONS = 200_000
-# Largest set numbered by a single-partition window (proven by a count):
-# sorting a million narrow rows in one task takes seconds on any executor.
-SMALL_ID_ROWS = 1_000_000
-
 
 def _order_columns(order_by: Sequence[ColumnOrName]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order_by]
 
 
-def dense_ids(df: DataFrame, order_by: Sequence[ColumnOrName], id_col: str = "id",
-              start: int = 1, id_type: str = "int",
-              num_partitions: int | None = None,
-              small_rows: int = SMALL_ID_ROWS) -> DataFrame:
-    """Attach ``id_col`` = start, start+1, ... in ``order_by`` order.
-
-    Ascending columns sort NULLS FIRST and descending ones NULLS LAST, as in
-    Spark SQL. The result is fixed data (see the module notes) and
-    carries its row count (``joins.known_rows``); its largest id is
-    ``start + rows - 1``.
-    """
+def _positions(df: DataFrame, order_by: Sequence[ColumnOrName], id_col: str, start: int,
+               id_type: str, num_partitions: int | None) -> DataFrame:
+    """``df`` with ``id_col`` and ``_sl_pid``, the partition that holds the row."""
     spark = df.sparkSession
     checkpoint_dir(spark)
     order = _order_columns(order_by)
-    staged = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        rows = staged.count()
-        if rows <= small_rows:
-            numbered = staged.withColumn(
-                id_col, (F.row_number().over(Window.orderBy(*order)) + F.lit(start - 1))
-                .cast(id_type))
-            return remember_max(remember_rows(numbered.checkpoint(eager=True), rows),
-                                start + rows - 1)
-        n = num_partitions or shuffle_partitions(spark)
-        if n > MAX_ID_PARTITIONS:
-            raise ValueError(f"{n} partitions exceed the offset broadcast bound")
-        laid_out = staged.repartitionByRange(n, *order).sortWithinPartitions(*order)
-        # Reliable checkpoint: the partition layout and row order become data.
-        fixed = laid_out.checkpoint(eager=True)
-    finally:
-        staged.unpersist()
-
+    ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
+              else df.repartitionByRange(*order))
+    # Reliable checkpoint: the partition layout and row order become data.
+    fixed = ranged.sortWithinPartitions(*order).checkpoint(eager=True)
     tagged = fixed.withColumns({
         "_sl_pid": F.spark_partition_id(),
         "_sl_row": F.monotonically_increasing_id(),
     })
-    counts = tagged.groupBy("_sl_pid").agg(F.count(F.lit(1)).alias("_sl_n"))
-    # One row per partition: a global window over it is tiny by construction.
-    before = Window.orderBy("_sl_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        "_sl_pid", F.coalesce(F.sum("_sl_n").over(before), F.lit(0)).alias("_sl_off"))
+    # one small row per partition reaches the driver
+    counts = {r["_sl_pid"]: (r["n"], r["b"]) for r in tagged.groupBy("_sl_pid").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(row_bytes(fixed)).alias("b")).collect()}
+    offsets, rows = [], 0
+    for pid in sorted(counts):
+        offsets.append((pid, rows))
+        rows += counts[pid][0]
+    offsets = spark.createDataFrame(offsets, "_sl_pid int, _sl_off long")
     # monotonically_increasing_id = (partition index << 33) + row in partition
     local = F.col("_sl_row") - F.shiftleft(F.col("_sl_pid").cast("long"), 33)
     new_id = (F.col("_sl_off") + local + F.lit(start)).cast(id_type)
     numbered = (tagged.join(F.broadcast(offsets), "_sl_pid")
-                .withColumn(id_col, new_id)
-                .drop("_sl_pid", "_sl_row", "_sl_off"))
-    return remember_max(remember_rows(numbered, rows), start + rows - 1)
+                .withColumn(id_col, new_id).drop("_sl_row", "_sl_off"))
+    known = remember_max(remember_rows(numbered, rows), start + rows - 1)
+    return remember_bytes(known, sum(b for _, b in counts.values()) + 16 * rows)
+
+
+def dense_ids(df: DataFrame, order_by: Sequence[ColumnOrName], id_col: str = "id",
+              start: int = 1, id_type: str = "int",
+              num_partitions: int | None = None) -> DataFrame:
+    """Attach ``id_col`` = start, start+1, ... in ``order_by`` order.
+
+    Ascending columns sort NULLS FIRST and descending ones NULLS LAST, as in
+    Spark SQL. The result is fixed data (see the module notes) and carries
+    its row count, its measured bytes and its largest id (``start + rows - 1``).
+    """
+    from .joins import carry_known
+
+    numbered = _positions(df, order_by, id_col, start, id_type, num_partitions)
+    return carry_known(numbered, numbered.drop("_sl_pid"))
 
 
 def global_rank(df: DataFrame, value: str, rank_col: str = "rnk",
                 descending: bool = True, tiebreak: Sequence[str] = (),
-                rank_type: str = "int", small_rows: int = SMALL_ID_ROWS) -> DataFrame:
+                rank_type: str = "int", num_partitions: int | None = None) -> DataFrame:
     """SQL ``rank()`` over the whole table ordered by ``value``.
 
-    A set proven small by a count is ranked by the window itself. Otherwise
-    positions come from ``dense_ids``; a row's rank is the smallest position
-    among rows with the same value (a partial aggregate, so a value shared by
-    a third of the rows is combined map-side) joined back null-safely.
+    Positions come from the range layout of ``dense_ids``; a row's rank is the
+    smallest position among rows with the same value: the smallest per
+    partition and value first, then over partitions. The way back joins on
+    (partition, value), so a value shared by a third of the rows stays dealt
+    over the partitions that hold it.
     """
     key = F.col(value).desc() if descending else F.col(value).asc()
-    staged = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        rows = staged.count()
-        if rows <= small_rows:
-            ranked = staged.withColumn(
-                rank_col, F.rank().over(Window.orderBy(key)).cast(rank_type))
-            return remember_rows(ranked.checkpoint(eager=True), rows)
-    finally:
-        staged.unpersist()
-    ordered = dense_ids(df, [key, *tiebreak], "_sl_pos", id_type="long", small_rows=small_rows)
-    firsts = ordered.groupBy(value).agg(F.min("_sl_pos").alias("_sl_first"))
-    f = firsts.alias("_f")
-    o = ordered.alias("_o")
-    joined = o.join(f, F.col(f"_o.{value}").eqNullSafe(F.col(f"_f.{value}")))
-    cols = [F.col(f"_o.{c}") for c in df.columns]
-    return joined.select(*cols, F.col("_f._sl_first").cast(rank_type).alias(rank_col))
+    ordered = _positions(df, [key, *tiebreak], "_sl_pos", 1, "long", num_partitions)
+    local = ordered.groupBy("_sl_pid", value).agg(F.min("_sl_pos").alias("_sl_first"))
+    firsts = local.groupBy(value).agg(F.min("_sl_first").alias("_sl_first"))
+    lo, fi = local.alias("_l"), firsts.alias("_f")
+    ranks = lo.join(fi, F.col(f"_l.{value}").eqNullSafe(F.col(f"_f.{value}"))).select(
+        F.col("_l._sl_pid").alias("_sl_p"), F.col(f"_l.{value}").alias("_sl_v"),
+        F.col("_f._sl_first").alias("_sl_first"))
+    joined = ordered.join(ranks, (ordered["_sl_pid"] == ranks["_sl_p"])
+                          & ordered[value].eqNullSafe(ranks["_sl_v"]))
+    return joined.select(*df.columns, F.col("_sl_first").cast(rank_type).alias(rank_col))

@@ -1,20 +1,21 @@
-"""Join helpers: size-checked broadcast and null-safe key joins."""
+"""Join helpers: broadcasts decided by measured bytes."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Dimension sides up to this many rows are broadcast explicitly. Above it the
-# join stays a shuffle join (sort-merge, or AQE's runtime choice).
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
+# A side is broadcast explicitly when its rows measure at most this many bytes
+# (see ``row_bytes``). Beyond it the join stays a shuffle join (sort-merge, or
+# AQE's runtime choice from the measured size of a finished stage).
+BROADCAST_BYTES = 32 * 1024 * 1024
 
 # A frame whose exact row count was established when it was built (a
-# checkpointed id table) carries it here, so later size checks need no job.
+# checkpointed id table) carries it here, so later size checks need no job;
+# likewise its measured bytes and its largest surrogate id.
 _KNOWN_ROWS = "_starloom_rows"
+_KNOWN_BYTES = "_starloom_bytes"
+_KNOWN_MAX = "_starloom_max_id"
 
 
 def remember_rows(df: DataFrame, rows: int) -> DataFrame:
@@ -26,8 +27,14 @@ def known_rows(df: DataFrame) -> int | None:
     return getattr(df, _KNOWN_ROWS, None)
 
 
-# Likewise the largest surrogate id of an id table built by the library.
-_KNOWN_MAX = "_starloom_max_id"
+def remember_bytes(df: DataFrame, size: int | None) -> DataFrame:
+    if size is not None:
+        setattr(df, _KNOWN_BYTES, int(size))
+    return df
+
+
+def known_bytes(df: DataFrame) -> int | None:
+    return getattr(df, _KNOWN_BYTES, None)
 
 
 def remember_max(df: DataFrame, value: int | None) -> DataFrame:
@@ -41,48 +48,42 @@ def known_max(df: DataFrame) -> int | None:
 
 
 def carry_known(src: DataFrame, dst: DataFrame) -> DataFrame:
-    """Copy the known row count / max id to a row-preserving projection."""
+    """Copy the known row count, bytes and max id to a row-preserving projection."""
     if known_rows(src) is not None:
         remember_rows(dst, known_rows(src))
-    return remember_max(dst, known_max(src))
-
-
-def provably_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                   rows: int | None = None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    The proof is ``rows`` (or the count a frame carries), else a probe that
-    reads at most ``max_rows + 1`` rows, so it stays cheap on a big side; the
-    bound is the check, not a cap on the data.
-    """
-    if max_rows <= 0:
-        return False
-    seen = rows if rows is not None else known_rows(df)
-    if seen is None:
-        seen = df.limit(max_rows + 1).count()
-    return seen <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                       rows: int | None = None) -> DataFrame:
-    """Hint a broadcast only when the side provably has at most ``max_rows``."""
-    return F.broadcast(df) if provably_small(df, max_rows, rows) else df
-
-
-def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str],
-                   how: str = "inner") -> DataFrame:
-    """Equi-join on ``keys`` where NULL matches NULL (``<=>``).
-
-    Output has one copy of each key column (left's, or right's when left is
-    absent in an outer join) followed by the remaining columns of both sides.
-    """
-    lt, rt = left.alias("_l"), right.alias("_r")
-    cond = None
-    for k in keys:
-        c = F.col(f"_l.{k}").eqNullSafe(F.col(f"_r.{k}"))
-        cond = c if cond is None else cond & c
-    joined = lt.join(rt, cond, how)
-    key_cols = [F.coalesce(F.col(f"_l.{k}"), F.col(f"_r.{k}")).alias(k) for k in keys]
-    rest = ([F.col(f"_l.{c}") for c in left.columns if c not in keys]
-            + [F.col(f"_r.{c}") for c in right.columns if c not in keys])
-    return joined.select(*key_cols, *rest)
+    return remember_max(remember_bytes(dst, known_bytes(src)), known_max(src))
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row: 16 for each column, and those of its texts and binaries
+    (nested values by their JSON text)."""
+    size = F.lit(16 * len(df.columns))
+    for f in df.schema.fields:
+        kind = f.dataType.simpleString()
+        c = F.col(f"`{f.name}`")
+        if kind in ("string", "binary"):
+            size = size + F.coalesce(F.octet_length(c), F.lit(0))
+        elif kind.startswith(("array", "map", "struct")):
+            size = size + F.coalesce(F.octet_length(F.to_json(c)), F.lit(0))
+    return size.cast("long")
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of a frame: those it carries, else one aggregate over it (partial
+    sums per task, one row to the driver)."""
+    known = known_bytes(df)
+    if known is None:
+        known = df.agg(F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("b")).first()["b"]
+        remember_bytes(df, known)
+    return known
+
+
+def is_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    return max_bytes > 0 and measured_bytes(df) <= max_bytes
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES,
+                       size: int | None = None) -> DataFrame:
+    """Hint a broadcast only when the side measures at most ``max_bytes``."""
+    remember_bytes(df, size)
+    return F.broadcast(df) if is_small(df, max_bytes) else df

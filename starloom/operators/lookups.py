@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from .ids import dense_ids
-from .joins import carry_known, known_max, known_rows, remember_max, remember_rows
+from .joins import (carry_known, known_bytes, known_max, known_rows, remember_bytes, remember_max,
+                    remember_rows)
 
 
 def usable_value(df: DataFrame, col: str, keep: str = "nonblank") -> Column:
@@ -74,6 +75,8 @@ def extend_lookup(existing: DataFrame, df: DataFrame, src: str, id_col: str,
     out = base.unionByName(added.select(id_col, desc_col))
     n_added, n_old = known_rows(added), known_rows(existing)
     out = remember_max(out, start - 1 + n_added)
+    if known_bytes(added) is not None and known_bytes(existing) is not None:
+        remember_bytes(out, known_bytes(added) + known_bytes(existing))
     return remember_rows(out, n_old + n_added) if n_old is not None else out
 
 
@@ -105,5 +108,5 @@ def build_lookups(df: DataFrame, specs: list[tuple[str, str, str]],
         table = ided.where(F.col("_sl_lk") == i).select(
             (F.col("_sl_gid") - F.lit(first - 1)).cast("int").alias(id_col),
             F.col("_sl_v").alias(desc_col))
-        out[src] = remember_max(remember_rows(table, n), n)
+        out[src] = remember_bytes(remember_max(remember_rows(table, n), n), known_bytes(ided))
     return out

@@ -48,6 +48,21 @@ def measure_by_child_count(detail: DataFrame, bridge: DataFrame, item: str, meas
         F.try_divide(F.sum("_sl_m").cast("double"), F.count("_sl_m").cast("double")).alias(avg_name))
 
 
+def measure_by_child(detail: DataFrame, bridge: DataFrame, child: DataFrame, item: str, child_key: str,
+                     measure: Column, by: Sequence[str], bridge_item: str | None = None,
+                     items_name: str = "n_items", avg_name: str = "avg_value") -> DataFrame:
+    """How an item measure (e.g. rating) relates to a child (e.g. one
+    permission) or a group of children (its type): per value of ``by`` the
+    number of items that have it and their mean. An item counts once per value.
+    """
+    bi = bridge_item or item
+    pairs = bridge.select(F.col(bi).alias(item), child_key).join(child.select(child_key, *by), child_key)
+    rows = pairs.select(item, *by).distinct().join(detail.select(item, measure.alias("_sl_m")), item)
+    return rows.groupBy(*by).agg(
+        F.count(F.lit(1)).alias(items_name),
+        F.try_divide(F.sum("_sl_m").cast("double"), F.count("_sl_m").cast("double")).alias(avg_name))
+
+
 def register_views(spark: SparkSession, tables: Mapping[str, DataFrame]) -> list[str]:
     """Expose lake tables to ``spark.sql`` for ad-hoc questions."""
     for name, df in tables.items():

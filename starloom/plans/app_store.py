@@ -9,10 +9,10 @@ previous version of a table it is rewriting (incremental loads).
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, StructField,
@@ -29,9 +29,10 @@ from ..operators.ids import dense_ids
 from ..operators.joins import carry_known
 from ..operators.lookups import build_lookup, build_lookups, extend_lookup
 from ..operators.quality import check_not_empty, check_unique, run_checks
-from ..operators.ranks import measure_by_child_count, rank_by
+from ..operators.ranks import measure_by_child, measure_by_child_count, rank_by
 from ..sources.documents import read_permission_feed
-from ..sources.lake import publish_star, publish_table, read_if_exists, upsert_in_place
+from ..sources.lake import (publish_star, publish_table, read_if_exists, read_table, table_exists,
+                            upsert_in_place)
 from ..session import checkpoint_dir
 from ..sources.text import read_app_feed
 
@@ -48,6 +49,8 @@ class LakeNames:
     permission: str = "PERMISSION"
     permission_type: str = "PERMISSION_TYPE"
     app_fact: str = "APP_FACT"
+    app_rejects: str = "APP_REJECTS"
+    permission_rejects: str = "PERMISSION_REJECTS"
     warehouse: dict = field(default_factory=lambda: {
         "APP_FACT": "APP_FACT",
         "APP_CATEGORY": "APP_CATEGORY_DIM",
@@ -84,6 +87,25 @@ LOOKUPS = [
 PERMISSION_DESC = "Permisison_Desc"
 
 
+# Of several versions of one app in a delivery the newest one is taken.
+APP_NEWEST = ("Last_Update_Dt", "Scrapped_Dttm")
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """``df`` written once as Parquet to the shared folder, and read again."""
+    path = f"{checkpoint_dir(df.sparkSession)}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def unstage(df: DataFrame) -> None:
+    """Delete a staged frame's files once nothing reads it any more."""
+    spark = df.sparkSession
+    for f in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def _path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
@@ -170,36 +192,27 @@ def app_detail(records: DataFrame, dims: dict[str, DataFrame], opts: Options = O
                        "Developer_Id", out="Developer_Key"))
     app = build_detail(records, maps, app_columns(opts))
     if existing is not None and opts.incremental_app:
-        app = upsert_detail(existing, app, "App_Id")
+        app = upsert_detail(existing, app, "App_Id", APP_NEWEST)
     return app
 
 
-def permission_tables(perms: DataFrame, opts: Options = Options(),
-                      existing: dict[str, DataFrame | None] | None = None,
-                      ptype: DataFrame | None = None) -> dict[str, DataFrame]:
-    """PERMISSION_TYPE, PERMISSION and APP_PERMISSION from flattened rows.
+def permission_types(perms: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """PERMISSION_TYPE (C1/C2) from flattened rows."""
+    if existing is None:
+        return build_lookup(perms, "type", "Permission_Type_Id", "Permission_Type_Desc")
+    return extend_lookup(existing, perms, "type", "Permission_Type_Id", "Permission_Type_Desc")
 
-    ``ptype`` lets a caller pass the published type table (re-read after its
-    swap) instead of the frame built here.
-    """
-    existing = existing or {}
-    old_type = existing.get(NAMES.permission_type)
-    if ptype is None:
-        ptype = (build_lookup(perms, "type", "Permission_Type_Id", "Permission_Type_Desc")
-                 if old_type is None else
-                 extend_lookup(old_type, perms, "type", "Permission_Type_Id",
-                               "Permission_Type_Desc"))
-    old_perm = existing.get(NAMES.permission)
-    if old_perm is None:
-        perm = build_child_dimension(perms, "permission", "type", ptype, "Permission_Type_Desc",
-                                     "Permission_Type_Id", "Permission_Id",
-                                     child_name=PERMISSION_DESC)
-    else:
-        perm = extend_child_dimension(old_perm, perms, "permission", "type", ptype,
-                                      "Permission_Type_Desc", "Permission_Type_Id",
-                                      "Permission_Id", existing_child=PERMISSION_DESC,
-                                      keep_existing=not opts.renumber_permissions)
-    return {NAMES.permission_type: ptype, NAMES.permission: perm}
+
+def permissions(perms: DataFrame, ptype: DataFrame, opts: Options = Options(),
+                existing: DataFrame | None = None) -> DataFrame:
+    """PERMISSION (C8/C9) from flattened rows and the type table."""
+    if existing is None:
+        return build_child_dimension(perms, "permission", "type", ptype, "Permission_Type_Desc",
+                                     "Permission_Type_Id", "Permission_Id", child_name=PERMISSION_DESC)
+    return extend_child_dimension(existing, perms, "permission", "type", ptype,
+                                  "Permission_Type_Desc", "Permission_Type_Id", "Permission_Id",
+                                  existing_child=PERMISSION_DESC,
+                                  keep_existing=not opts.renumber_permissions)
 
 
 def app_permission(perms: DataFrame, ptype: DataFrame, perm: DataFrame,
@@ -219,113 +232,112 @@ def app_permission(perms: DataFrame, ptype: DataFrame, perm: DataFrame,
 
 def build_model(records: DataFrame, perms: DataFrame, opts: Options = Options()
                 ) -> dict[str, DataFrame]:
-    """Every lake table plus APP_FACT as frames (initial load, no lake).
+    """Every lake table but APP_FACT as frames (initial load); see ``app_fact``.
 
-    The parsed inputs are persisted while the tables that read them are
-    built; APP and APP_PERMISSION are checkpointed (the in-session stand-in
-    for publishing them), so each feed is parsed once.
+    The parsed and cleaned inputs, APP and APP_PERMISSION are staged as Parquet
+    in the shared folder and read again with the columns each step needs, so
+    each feed is parsed once and a lost executor costs no second parse.
     """
-    checkpoint_dir(records.sparkSession)
-
     def app_side():
-        cleaned = clean_dates(records).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            dims = app_dimensions(cleaned)
-            return dims, app_detail(cleaned, dims, opts).checkpoint(eager=True)
-        finally:
-            cleaned.unpersist()
+        cleaned = stage(clean_dates(records))
+        dims = app_dimensions(cleaned)
+        return dims, stage(app_detail(cleaned, dims, opts))
 
     def permission_side():
-        rows = perms.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            ptabs = permission_tables(rows, opts)
-            bridge = app_permission(rows, ptabs[NAMES.permission_type],
-                                    ptabs[NAMES.permission], opts).checkpoint(eager=True)
-            return ptabs, bridge
-        finally:
-            rows.unpersist()
-
-    # The two sides share nothing until the fact: submit their jobs side by
-    # side (the cluster runs both job streams; results are unchanged).
+        rows = stage(perms)
+        ptype = permission_types(rows)
+        perm = permissions(rows, ptype, opts)
+        return ({NAMES.permission_type: ptype, NAMES.permission: perm},
+                stage(app_permission(rows, ptype, perm, opts)))
+
+    # The two sides share nothing: submit their jobs side by side (the cluster
+    # runs both job streams; results are unchanged).
     with ThreadPoolExecutor(max_workers=2) as pool:
         app_job, perm_job = pool.submit(app_side), pool.submit(permission_side)
         dims, app = app_job.result()
         ptabs, bridge = perm_job.result()
-    fact = app_fact(app, bridge, ptabs[NAMES.permission])
-    return {**dims, NAMES.app: app, **ptabs, NAMES.app_permission: bridge,
-            NAMES.app_fact: fact}
+    return {**dims, NAMES.app: app, **ptabs, NAMES.app_permission: bridge}
+
+
+def model_fact(model: dict[str, DataFrame]) -> DataFrame:
+    """APP_FACT of ``build_model``'s tables."""
+    return app_fact(model[NAMES.app], model[NAMES.app_permission], model[NAMES.permission])
 
 
 def load_app_layer(spark: SparkSession, feed: str, root: str,
                    opts: Options = Options()) -> dict[str, str]:
     """App feed files -> DEVELOPER, APP_CATEGORY, CONTENT_RATING,
     CURRENCY_TYPE, then APP (which resolves its keys against the
-    just-published tables)."""
-    records, _rejects = read_app_feed(spark, feed)
-    return load_app_records(spark, records, root, opts)
+    just-published tables). Lines that don't parse go to APP_REJECTS."""
+    records, rejects = read_app_feed(spark, feed)
+    published = load_app_records(spark, records, root, opts)
+    return {**published, NAMES.app_rejects: keep_rejects(rejects, _path(root, NAMES.app_rejects))}
+
+
+def keep_rejects(rejects: DataFrame, path: str) -> str:
+    """Publish a feed's rejects: those known before and the new ones (each line once)."""
+    old = read_if_exists(rejects.sparkSession, path)
+    rows = rejects if old is None else old.unionByName(rejects)
+    return publish_table(rows.distinct(), path)
 
 
 def load_app_records(spark: SparkSession, records: DataFrame, root: str,
                      opts: Options = Options()) -> dict[str, str]:
     """C22 on already parsed records (24 string columns).
 
-    The records are persisted once and reused by all five tables (a lost
-    block is recomputed from the deterministic parse). Every step extends
-    or upserts, so loading the same records twice changes nothing. Each
-    table is re-read after its swap: the frame that built it may still point
-    at the replaced files.
+    The cleaned records are staged once as Parquet and read by all five
+    tables. Every step extends or upserts, so loading the same records twice
+    changes nothing. Each table is read again after it was published.
     """
-    records = clean_dates(records).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        names = [NAMES.developer] + [getattr(NAMES, attr) for _, attr, _, _ in LOOKUPS]
-        old = {n: read_if_exists(spark, _path(root, n)) for n in names}
-        published = {}
-        for name, frame in app_dimensions(records, old).items():
-            published[name] = publish_table(frame, _path(root, name))
-        dims = {n: spark.read.parquet(_path(root, n)) for n in names}
-        if opts.app_buckets and opts.incremental_app:
-            published[NAMES.app] = upsert_in_place(
-                spark, _path(root, NAMES.app), app_detail(records, dims, opts), "App_Id",
-                buckets=opts.app_buckets)
-            return published
-        app = app_detail(records, dims, opts, read_if_exists(spark, _path(root, NAMES.app)))
-        published[NAMES.app] = publish_table(app, _path(root, NAMES.app))
-        return published
-    finally:
-        records.unpersist()
+    records = stage(clean_dates(records))
+    names = [NAMES.developer] + [getattr(NAMES, attr) for _, attr, _, _ in LOOKUPS]
+    old = {n: read_if_exists(spark, _path(root, n)) for n in names}
+    published = {}
+    for name, frame in app_dimensions(records, old).items():
+        published[name] = publish_table(frame, _path(root, name))
+    dims = {n: read_table(spark, _path(root, n)) for n in names}
+    path = _path(root, NAMES.app)
+    if opts.app_buckets and opts.incremental_app:
+        # of an app's versions in one delivery the last updated one stays, as in the upsert below
+        published[NAMES.app] = upsert_in_place(spark, path, app_detail(records, dims, opts), "App_Id",
+                                               buckets=opts.app_buckets, order=APP_NEWEST)
+    elif table_exists(spark, path) and opts.incremental_app:
+        published[NAMES.app] = publish_table(
+            app_detail(records, dims, opts, read_table(spark, path)), path)
+    else:
+        published[NAMES.app] = publish_table(app_detail(records, dims, opts), path)
+    unstage(records)
+    return published
 
 
 def load_permission_layer(spark: SparkSession, feed: str, root: str,
                           opts: Options = Options(), multiline: bool = True) -> dict[str, str]:
-    """Permission documents -> PERMISSION_TYPE, PERMISSION, APP_PERMISSION."""
-    return load_permission_rows(spark, read_permission_feed(spark, feed, multiline), root, opts)
+    """Permission documents -> PERMISSION_TYPE, PERMISSION, APP_PERMISSION;
+    records that don't parse go to PERMISSION_REJECTS."""
+    perms, rejects = read_permission_feed(spark, feed, multiline)
+    published = load_permission_rows(spark, perms, root, opts)
+    return {**published,
+            NAMES.permission_rejects: keep_rejects(rejects, _path(root, NAMES.permission_rejects))}
 
 
 def load_permission_rows(spark: SparkSession, perms: DataFrame, root: str,
                          opts: Options = Options()) -> dict[str, str]:
     """C23 on flattened (appId, appName, permission, type) rows."""
-    perms = perms.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        def old(name: str) -> DataFrame | None:
-            return read_if_exists(spark, _path(root, name))
-
-        def reread(name: str) -> DataFrame:
-            return spark.read.parquet(_path(root, name))
-
-        published = {}
-        existing = {NAMES.permission_type: old(NAMES.permission_type),
-                    NAMES.permission: old(NAMES.permission)}
-        ptype = permission_tables(perms, opts, existing)[NAMES.permission_type]
-        published[NAMES.permission_type] = publish_table(ptype, _path(root, NAMES.permission_type))
-        ptype = reread(NAMES.permission_type)
-        perm = permission_tables(perms, opts, existing, ptype=ptype)[NAMES.permission]
-        published[NAMES.permission] = publish_table(perm, _path(root, NAMES.permission))
-        bridge = app_permission(perms, ptype, reread(NAMES.permission), opts,
-                                old(NAMES.app_permission))
-        published[NAMES.app_permission] = publish_table(bridge, _path(root, NAMES.app_permission))
-        return published
-    finally:
-        perms.unpersist()
+    perms = stage(perms)
+
+    def old(name: str) -> DataFrame | None:
+        return read_if_exists(spark, _path(root, name))
+
+    def publish(name: str, df: DataFrame) -> DataFrame:
+        published[name] = publish_table(df, _path(root, name))
+        return read_table(spark, _path(root, name))
+
+    published: dict[str, str] = {}
+    ptype = publish(NAMES.permission_type, permission_types(perms, old(NAMES.permission_type)))
+    perm = publish(NAMES.permission, permissions(perms, ptype, opts, old(NAMES.permission)))
+    publish(NAMES.app_permission, app_permission(perms, ptype, perm, opts, old(NAMES.app_permission)))
+    unstage(perms)
+    return published
 
 
 FACT_KEYS = ["Category_Id", "Currency_Type_Id", "Developer_Id", "Release_Year",
@@ -385,7 +397,7 @@ def load_fact_layer(spark: SparkSession, root: str, once_per_app: bool = False,
     on year filters (the partition column then comes last when read back).
     """
     def t(name: str) -> DataFrame:
-        return spark.read.parquet(_path(root, name))
+        return read_table(spark, _path(root, name))
     fact = app_fact(t(NAMES.app), t(NAMES.app_permission), t(NAMES.permission), once_per_app)
     return publish_table(fact, _path(root, NAMES.app_fact), partition_by=partition_by)
 
@@ -413,6 +425,22 @@ def rating_by_permission_count(app: DataFrame, app_permission: DataFrame) -> Dat
                                   avg_name="Average_Rating")
 
 
+def rating_by_permission(app: DataFrame, app_permission: DataFrame, permission: DataFrame) -> DataFrame:
+    """Number of apps and mean rating per permission text."""
+    return measure_by_child(app, app_permission, permission, "App_Id", "Permission_Id", F.col("Rating"),
+                            [PERMISSION_DESC], items_name="Count_Of_Apps", avg_name="Average_Rating")
+
+
+def rating_by_permission_type(app: DataFrame, app_permission: DataFrame, permission: DataFrame,
+                              ptype: DataFrame) -> DataFrame:
+    """Number of apps and mean rating per permission type (apps with
+    several permissions of a type count once; unknown types are NULL)."""
+    by_id = measure_by_child(app, app_permission, permission, "App_Id", "Permission_Id", F.col("Rating"),
+                             ["Permission_Type_Id"], items_name="Count_Of_Apps", avg_name="Average_Rating")
+    return by_id.join(ptype, "Permission_Type_Id", "left").select(
+        "Permission_Type_Desc", "Count_Of_Apps", "Average_Rating")
+
+
 # Declared warehouse schemas (fixed values of the model; K3).
 def _schema(*cols: tuple[str, object]) -> StructType:
     return StructType([StructField(n, t) for n, t in cols])
@@ -456,35 +484,49 @@ def load_warehouse(spark: SparkSession, root: str, warehouse_root: str) -> dict[
     """Conform the lake tables to the warehouse schemas and replace them."""
     tables = {}
     for lake_name, wh_name in NAMES.warehouse.items():
-        tables[wh_name] = (spark.read.parquet(_path(root, lake_name)), WAREHOUSE_SCHEMAS[wh_name])
+        tables[wh_name] = (read_table(spark, _path(root, lake_name)), WAREHOUSE_SCHEMAS[wh_name])
     return publish_star(tables, warehouse_root)
 
 
-def warehouse_checks(spark: SparkSession, warehouse_root: str) -> DataFrame:
+def warehouse_checks(spark: SparkSession, warehouse_root: str, root: str | None = None) -> DataFrame:
     """Fact not empty; every dimension not empty and unique on its
-    natural key. One row (check, passed) per check."""
+    natural key; with the lake's ``root`` also that no feed record was
+    rejected (a warning, the load is whole without them). One row (check,
+    passed) per check."""
     def t(name: str) -> DataFrame:
-        return spark.read.parquet(_path(warehouse_root, name))
+        return read_table(spark, _path(warehouse_root, name))
     checks = {"APP_FACT not empty": check_not_empty(t("APP_FACT"))}
     for name, key in UNIQUE_CHECKS.items():
         checks[f"{name} not empty"] = check_not_empty(t(name))
         checks[f"{name} unique {key}"] = check_unique(t(name), key)
+    if root:
+        for r in (NAMES.app_rejects, NAMES.permission_rejects):
+            checks[f"{r} empty"] = read_table(spark, _path(root, r)).agg(
+                (F.count("*") == 0).alias("ok"))
     return run_checks(checks)
 
 
+def reject_counts(spark: SparkSession, root: str) -> DataFrame:
+    """(table_name, n_rejects) of both feeds."""
+    out = None
+    for name in (NAMES.app_rejects, NAMES.permission_rejects):
+        one = read_table(spark, _path(root, name)).agg(F.count("*").alias("n_rejects")).select(
+            F.lit(name).alias("table_name"), "n_rejects")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def run_all(spark: SparkSession, app_feed: str, permission_feed: str, root: str,
-            warehouse_root: str, opts: Options = Options()) -> DataFrame:
+            warehouse_root: str, opts: Options = Options(), multiline: bool = True) -> DataFrame:
     """Both detail entries, the fact entry, the warehouse load and its checks.
 
     The two detail entries write disjoint tables and run side by side.
     """
     with ThreadPoolExecutor(max_workers=2) as pool:
         done = [pool.submit(load_app_layer, spark, app_feed, root, opts),
-                pool.submit(load_permission_layer, spark, permission_feed, root, opts)]
+                pool.submit(load_permission_layer, spark, permission_feed, root, opts, multiline)]
         for job in done:
             job.result()
     load_fact_layer(spark, root)
     load_warehouse(spark, root, warehouse_root)
-    return warehouse_checks(spark, warehouse_root)
-
-
+    return warehouse_checks(spark, warehouse_root, root)

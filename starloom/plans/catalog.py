@@ -9,6 +9,7 @@ permission = part, permission type = part type. ``oracle_sql()`` in
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -18,18 +19,23 @@ from pyspark.sql import functions as F
 from ..operators.bridge import append_bridge, build_bridge
 from ..operators.detail import KeyMap, resolve_keys, upsert_detail
 from ..operators.dimensions import (build_child_dimension, build_dimension,
-                                    extend_child_dimension, latest_per_key, upsert_dimension)
+                                    extend_child_dimension, upsert_dimension)
 from ..operators.facts import rollup_fact, star_rows
 from ..operators.ids import dense_ids
 from ..operators.lookups import build_lookup, extend_lookup
+from ..operators.newest import latest_per_key
 from ..operators.quality import check_not_empty, check_unique, profile_table, run_checks
 from ..operators.ranks import measure_by_child_count, rank_by, register_views
 from ..functions.clean import (clean_date, clean_double, clean_flag, clean_int_parity,
                                clean_long, clean_size, clean_timestamp)
-from ..sources.documents import PERMISSION_SCHEMA, explode_documents
+from ..session import checkpoint_dir
+from ..sources.documents import PERMISSION_SCHEMA, explode_documents, read_permission_feed
+from ..sources.lake import read_table
 from ..sources.text import APP_COLUMNS, APP_HEADER_PREFIX, parse_quoted_lines, quote_field
-from .app_store import (NAMES, build_model, category_rank, developer_rank,
-                        rating_by_permission_count)
+from .app_store import (NAMES, build_model, category_rank, developer_rank, load_app_layer,
+                        load_permission_layer, model_fact, rating_by_permission,
+                        rating_by_permission_count, rating_by_permission_type, run_all)
+
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -132,10 +138,10 @@ def _from(col: str, ts: str) -> F.Column:
 
 
 def q_extend_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers known from the first quarter, extended by the next quarter."""
+    """Customers known from the first quarter, extended by all later orders."""
     orders = table(spark, sf_dir, "orders")
     q1 = orders.where(_before("o_orderdate", "1995-04-01"))
-    q2 = orders.where(_from("o_orderdate", "1995-04-01") & _before("o_orderdate", "1995-07-01"))
+    q2 = orders.where(_from("o_orderdate", "1995-04-01"))
     existing = build_lookup(q1, "o_custkey", "id", "o_custkey")
     return extend_lookup(existing, q2, "o_custkey", "id", "o_custkey")
 
@@ -155,10 +161,10 @@ def q_build_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_upsert_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customer dimension of the first quarter upserted with the second."""
+    """Customer dimension of the first quarter upserted with all later orders."""
     orders = table(spark, sf_dir, "orders")
     q1 = orders.where(_before("o_orderdate", "1995-04-01"))
-    q2 = orders.where(_from("o_orderdate", "1995-04-01") & _before("o_orderdate", "1995-07-01"))
+    q2 = orders.where(_from("o_orderdate", "1995-04-01"))
     existing = build_dimension(q1, "o_custkey", _ORDER_ATTRS, _NEWEST, "cust_id")
     return upsert_dimension(existing, q2, "o_custkey", _ORDER_ATTRS, _NEWEST, "cust_id")
 
@@ -232,7 +238,7 @@ def q_run_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_profile_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile_table(table(spark, sf_dir, "part"), ["p_brand", "p_size"])
+    return profile_table(table(spark, sf_dir, "part"), with_range=True)
 
 
 def q_rank_by(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -334,7 +340,7 @@ def q_clean_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     and are NULL in the int parity form; rating/price text -> double."""
     li = table(spark, sf_dir, "lineitem")
     qty = F.col("l_quantity").cast("string")
-    big = F.concat(F.col("l_orderkey").cast("string"), F.lit("0000000000"))
+    big = F.concat(F.col("l_orderkey").cast("string"), F.lit("000000000001"))
     return li.select("l_orderkey", "l_linenumber",
                      clean_long(qty).alias("qty"),
                      clean_long(big).alias("big"),
@@ -388,11 +394,10 @@ def app_feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.unionByName(header)
 
 
-def permission_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Permission documents derived from lineitem ⋈ part (permission = part
-    name, type = part type), serialised to JSON, parsed with the feed's
-    schema and flattened. A document holds at most four line items, so no
-    group grows with the data."""
+def permission_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Permission documents (JSON text, one a row) derived from lineitem ⋈
+    part (permission = part name, type = part type). A document holds at most
+    four line items, so no group grows with the data."""
     rows = table(spark, sf_dir, "lineitem").join(
         table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
     docs = (rows.groupBy("l_orderkey", F.floor(F.col("l_linenumber") / 4).alias("_chunk"))
@@ -401,7 +406,12 @@ def permission_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
                      .alias("allPermissions"))
                 .select(F.concat(F.lit("app."), F.col("l_orderkey").cast("string")).alias("appId"),
                         F.lit("app").alias("appName"), "allPermissions"))
-    as_json = docs.select(F.to_json(F.struct("appId", "appName", "allPermissions")).alias("doc"))
+    return docs.select(F.to_json(F.struct("appId", "appName", "allPermissions")).alias("doc"))
+
+
+def permission_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived permission documents, parsed with the feed's schema and flattened."""
+    as_json = permission_documents(spark, sf_dir)
     parsed = as_json.select(F.from_json("doc", PERMISSION_SCHEMA).alias("d")).select("d.*")
     return explode_documents(parsed, "allPermissions", ["appId", "appName"])
 
@@ -411,7 +421,111 @@ def q_app_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     quoted lines and JSON documents -> detail snowflake -> APP_FACT."""
     records, _ = parse_quoted_lines(app_feed_lines(spark, sf_dir), APP_COLUMNS,
                                     APP_HEADER_PREFIX)
-    return build_model(records, permission_rows(spark, sf_dir))[NAMES.app_fact]
+    return model_fact(build_model(records, permission_rows(spark, sf_dir)))
+
+
+def q_parse_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that are too short are kept as rejects, none is lost."""
+    customer = table(spark, sf_dir, "customer")
+    head = F.concat_ws(",", F.col("c_custkey").cast("string"), quote_field(F.concat(F.col("c_name"), F.lit(", Inc"))))
+    line = F.when(F.col("c_custkey") % 7 == 0, head).otherwise(F.concat_ws(",", head, F.col("c_mktsegment")))
+    _, rejects = parse_quoted_lines(customer.select(line.alias("value")), ["c_custkey", "c_name", "c_mktsegment"])
+    return rejects
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    """A new folder among the session's shared ones, for derived feeds and tables."""
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def q_corrupt_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON files in which every fifth document is cut off: whole documents
+    are flattened, the others come back as rejects."""
+    key, name = F.col("c_custkey").cast("string"), F.col("c_name")
+    doc = F.concat(F.lit('{"appId":"'), key, F.lit('","appName":"'), name,
+                   F.lit('","allPermissions":[{"permission":"'), F.col("c_mktsegment"), F.lit('","type":"x"}'))
+    doc = F.when(F.col("c_custkey") % 5 == 0, doc).otherwise(F.concat(doc, F.lit("]}")))
+    folder = _scratch(spark, "documents")
+    table(spark, sf_dir, "customer").select(doc.alias("value")).write.text(folder)
+    rows, rejects = read_permission_feed(spark, folder, multiline=False)
+    return rows.select("appId", "permission", F.lit(None).cast("string").alias("line")).unionByName(
+        rejects.select(F.lit(None).cast("string").alias("appId"), F.lit(None).cast("string").alias("permission"), "line"))
+
+
+def _load(spark: SparkSession, sf_dir: str) -> tuple[str, str, DataFrame]:
+    """Derived feeds written as files and loaded in two deliveries (the second
+    one holds everything again and some damaged records): lake root, warehouse
+    root and the checks."""
+    base = _scratch(spark, "load")
+    lines = app_feed_lines(spark, sf_dir)
+    docs = permission_documents(spark, sf_dir).withColumnRenamed("doc", "value")
+    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    bad_lines = nation.select(F.concat(F.lit("cut,"), F.col("n_nationkey").cast("string")).alias("value"))
+    bad_docs = region.select(F.concat(F.lit('{"appId":"'), F.col("r_name")).alias("value"))
+    early = F.regexp_extract("value", r"app\.(\d+)", 1) != ""
+    early = early & (F.substring(F.regexp_extract("value", r"app\.(\d+)", 1), -1, 1) < "5") | ~early
+    feeds = {"apps1": lines.where(early), "apps2": lines.unionByName(bad_lines),
+             "docs1": docs.where(early), "docs2": docs.unionByName(bad_docs)}
+    for name, df in feeds.items():
+        df.write.text(f"{base}/{name}")
+    root, warehouse = f"{base}/lake", f"{base}/warehouse"
+    load_app_layer(spark, f"{base}/apps1", root)
+    load_permission_layer(spark, f"{base}/docs1", root, multiline=False)
+    checks = run_all(spark, f"{base}/apps2", f"{base}/docs2", root, warehouse, multiline=False)
+    return root, warehouse, checks
+
+
+def q_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The load path (S1, S4, S6, K1-K5, C15, C16, C22, C23) from files, two
+    deliveries: rows of every published table, and the checks (1 or 0)."""
+    root, warehouse, checks = _load(spark, sf_dir)
+    out = checks.select(F.col("check").alias("what"), F.col("passed").cast("long").alias("n"))
+    lake = [NAMES.app, NAMES.category, NAMES.content_rating, NAMES.developer, NAMES.currency, NAMES.app_permission,
+            NAMES.permission, NAMES.permission_type, NAMES.app_rejects, NAMES.permission_rejects]
+    for where, names in ((root, lake), (warehouse, list(NAMES.warehouse.values()))):
+        for name in names:
+            label = name if where == root else f"warehouse {name}"
+            out = out.unionByName(read_table(spark, f"{where}/{name}").agg(F.count("*").alias("n")).select(
+                F.lit(label).alias("what"), "n"))
+    return out.where(~F.col("what").isin("warehouse APP_FACT"))
+
+
+def q_load_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """APP_FACT as the warehouse holds it after one delivery of the derived feeds, loaded from files."""
+    base = _scratch(spark, "load")
+    app_feed_lines(spark, sf_dir).write.text(f"{base}/apps")
+    permission_documents(spark, sf_dir).write.text(f"{base}/docs")
+    run_all(spark, f"{base}/apps", f"{base}/docs", f"{base}/lake", f"{base}/warehouse", multiline=False)
+    return read_table(spark, f"{base}/warehouse/APP_FACT")
+
+
+def q_rollup_fact_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C13 on items with many versions: an order counts once per group with its
+    largest quantity, under each flag that one of its rows has."""
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", "l_linestatus", "l_quantity")
+    fact = rollup_fact(rows, keys=[("k", F.col("l_returnflag"))], item="l_orderkey",
+                       sums=[("total", F.col("l_quantity").cast("decimal(18,2)"))],
+                       flags=[("n_open", F.col("l_linestatus") == "O"), ("n_done", F.col("l_linestatus") == "F")],
+                       ratios=[("mean", "total")], once_per_item=True)
+    return fact.withColumn("total", F.col("total").cast("double"))
+
+
+def q_child_dimension_blank_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C8 where a third of the parents are NULL and a third are empty."""
+    part = table(spark, sf_dir, "part")
+    parent = F.when(F.col("p_size") % 3 == 0, F.lit(None)).when(F.col("p_size") % 3 == 1, F.lit("")).otherwise(F.col("p_brand"))
+    rows = part.select("p_name", parent.alias("brand"))
+    return build_child_dimension(rows, "p_name", "brand", _brands(part), "brand_desc", "brand_id", "id")
+
+
+def q_upsert_detail_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C14 with a NULL key on both sides and keys that repeat in the delivery,
+    run twice."""
+    old = table(spark, sf_dir, "customer").select(
+        F.expr("nullif(c_custkey, 7)").alias("k"), F.lit(0).cast("long").alias("v"))
+    new = table(spark, sf_dir, "orders").select(
+        F.when(F.col("o_orderkey") % 10 != 0, F.col("o_custkey")).alias("k"), F.col("o_orderkey").alias("v"))
+    return upsert_detail(upsert_detail(old, new, "k"), new, "k")
 
 
 def _app_model(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -438,6 +552,19 @@ def q_app_rating_by_permissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rating_by_permission_count(m[NAMES.app], m[NAMES.app_permission])
 
 
+def q_app_rating_by_permission(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R3 on the model: rating per permission."""
+    m = _app_model(spark, sf_dir)
+    return rating_by_permission(m[NAMES.app], m[NAMES.app_permission], m[NAMES.permission])
+
+
+def q_app_rating_by_permission_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R3 on the model: rating per permission type."""
+    m = _app_model(spark, sf_dir)
+    return rating_by_permission_type(m[NAMES.app], m[NAMES.app_permission], m[NAMES.permission],
+                                     m[NAMES.permission_type])
+
+
 QUERIES: dict[str, Query] = {
     "star_fact": q_star_fact,
     "rollup_fact": q_rollup_fact,
@@ -472,4 +599,13 @@ QUERIES: dict[str, Query] = {
     "app_category_rank": q_app_category_rank,
     "app_developer_rank": q_app_developer_rank,
     "app_rating_by_permissions": q_app_rating_by_permissions,
+    "app_rating_by_permission": q_app_rating_by_permission,
+    "app_rating_by_permission_type": q_app_rating_by_permission_type,
+    "parse_rejects": q_parse_rejects,
+    "corrupt_documents": q_corrupt_documents,
+    "load_counts": q_load_counts,
+    "load_fact": q_load_fact,
+    "rollup_fact_versions": q_rollup_fact_versions,
+    "child_dimension_blank_parents": q_child_dimension_blank_parents,
+    "upsert_detail_keys": q_upsert_detail_keys,
 }

@@ -73,8 +73,7 @@ with e as (select cast(row_number() over (order by o_custkey) as int) id, o_cust
            from (select distinct o_custkey from orders
                  where o_orderdate < timestamp '1995-04-01' and o_custkey is not null) x),
 n as (select distinct o_custkey from orders
-      where o_orderdate >= timestamp '1995-04-01' and o_orderdate < timestamp '1995-07-01'
-        and o_custkey is not null)
+      where o_orderdate >= timestamp '1995-04-01' and o_custkey is not null)
 select id, o_custkey from e
 union all
 select cast(row_number() over (order by n.o_custkey) + (select max(id) from e) as int), n.o_custkey
@@ -103,8 +102,7 @@ ORACLE_SQL["build_dimension"] = (
 ORACLE_SQL["upsert_dimension"] = (
     "with t as (select cast(row_number() over (order by o_custkey) as int) cust_id, * from ("
     + _LATEST_ORDER.format(cond="o_orderdate < timestamp '1995-04-01'") + ") d), s as ("
-    + _LATEST_ORDER.format(cond="o_orderdate >= timestamp '1995-04-01' "
-                                "and o_orderdate < timestamp '1995-07-01'")
+    + _LATEST_ORDER.format(cond="o_orderdate >= timestamp '1995-04-01'")
     + """)
 select cust_id, o_custkey, o_orderstatus, o_totalprice from t
 where o_custkey not in (select o_custkey from s)
@@ -186,12 +184,10 @@ select 'part_key_unique', (select count(*) from part) <> 0
                                   having count(*) > 1) d) = 0
 """
 
-ORACLE_SQL["profile_table"] = """
-select 'p_brand' col, count(*) n, count(*) - count(p_brand) nulls, count(distinct p_brand) distincts
-from part
-union all
-select 'p_size', count(*), count(*) - count(p_size), count(distinct p_size) from part
-"""
+ORACLE_SQL["profile_table"] = " union all ".join(
+    f"""select '{c}' col, count(*) n, count(*) - count({c}) nulls, count(distinct {c}) distincts,
+       cast(min({c}) as varchar) min_value, cast(max({c}) as varchar) max_value from part"""
+    for c in ("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"))
 
 ORACLE_SQL["rank_by"] = """
 select p_brand, cast(sum(cast(l_quantity as decimal(18,2))) as double) total,
@@ -250,10 +246,10 @@ from part
 
 ORACLE_SQL["clean_numbers"] = """
 select l_orderkey, l_linenumber, cast(trunc(l_quantity) as bigint) qty,
-       cast(concat(cast(l_orderkey as varchar), '0000000000') as bigint) big,
-       case when cast(concat(cast(l_orderkey as varchar), '0000000000') as bigint) > 2147483647
+       cast(concat(cast(l_orderkey as varchar), '000000000001') as bigint) big,
+       case when cast(concat(cast(l_orderkey as varchar), '000000000001') as bigint) > 2147483647
             then null
-            else cast(concat(cast(l_orderkey as varchar), '0000000000') as integer) end big_int,
+            else cast(concat(cast(l_orderkey as varchar), '000000000001') as integer) end big_int,
        l_discount disc
 from lineitem
 """
@@ -347,3 +343,92 @@ select Num_Permissions, count(*) Count_Of_Apps, sum(rating) / count(rating) Aver
 from src join c on src.app_id = c.app_id
 group by Num_Permissions
 """
+
+_APP_PL = _APP_SRC + """,
+pl as (select distinct 'app.' || cast(l_orderkey as varchar) app_id, p_name, p_type
+       from lineitem join part on l_partkey = p_partkey)"""
+
+ORACLE_SQL["app_rating_by_permission"] = _APP_PL + """
+select p_name Permisison_Desc, count(*) Count_Of_Apps, sum(rating) / count(rating) Average_Rating
+from src join (select distinct app_id, p_name from pl) p on src.app_id = p.app_id
+group by p_name
+"""
+
+ORACLE_SQL["app_rating_by_permission_type"] = _APP_PL + """
+select p_type Permission_Type_Desc, count(*) Count_Of_Apps, sum(rating) / count(rating) Average_Rating
+from src join (select distinct app_id, p_type from pl) p on src.app_id = p.app_id
+group by p_type
+"""
+
+ORACLE_SQL["parse_rejects"] = """
+select cast(c_custkey as varchar) || ',"' || c_name || ', Inc"' line, 2 n_fields
+from customer where c_custkey % 7 = 0
+"""
+
+ORACLE_SQL["corrupt_documents"] = """
+select cast(c_custkey as varchar) "appId", c_mktsegment permission, cast(null as varchar) line
+from customer where c_custkey % 5 <> 0
+union all
+select null, null, '{"appId":"' || c_custkey || '","appName":"' || c_name
+  || '","allPermissions":[{"permission":"' || c_mktsegment || '","type":"x"}'
+from customer where c_custkey % 5 = 0
+"""
+
+ORACLE_SQL["load_fact"] = ORACLE_SQL["app_fact"]
+
+ORACLE_SQL["load_counts"] = """
+with app as (select o_orderpriority, o_orderstatus, c_mktsegment, c_nationkey
+             from orders join customer on o_custkey = c_custkey),
+pl as (select distinct l_orderkey, p_name, p_type from lineitem join part on l_partkey = p_partkey),
+counts as (
+  select 'APP' what, count(*) n from app
+  union all select 'APP_CATEGORY', count(distinct o_orderpriority) from app
+  union all select 'CONTENT_RATING', count(distinct o_orderstatus) from app
+  union all select 'DEVELOPER', count(distinct c_nationkey) from app
+  union all select 'CURRENCY_TYPE', count(distinct c_mktsegment) from app
+  union all select 'APP_PERMISSION', count(*) from pl
+  union all select 'PERMISSION', count(*) from (select distinct p_name, p_type from pl) x
+  union all select 'PERMISSION_TYPE', count(distinct p_type) from pl),
+checks(what, n) as (values
+  ('APP_FACT not empty', 1), ('APP_CATEGORY_DIM not empty', 1), ('APP_CATEGORY_DIM unique Category_Desc', 1),
+  ('CURRENCY_TYPE_DIM not empty', 1), ('CURRENCY_TYPE_DIM unique Currency_Type_Desc', 1),
+  ('DEVELOPER_DIM not empty', 1), ('DEVELOPER_DIM unique Developer_Name', 1),
+  ('CONTENT_RATING_DIM not empty', 1), ('CONTENT_RATING_DIM unique Cont_Rating_Desc', 1),
+  ('PERMISSION_TYPE_DIM not empty', 1), ('PERMISSION_TYPE_DIM unique Permission_Type_Desc', 1),
+  ('APP_REJECTS empty', 0), ('PERMISSION_REJECTS empty', 0))
+select what, cast(n as bigint) n from counts
+union all select 'warehouse ' || what || '_DIM', cast(n as bigint) from counts
+  where what not in ('APP', 'APP_PERMISSION', 'PERMISSION')
+union all select what, cast(n as bigint) from checks
+union all select 'APP_REJECTS', count(*) from nation
+union all select 'PERMISSION_REJECTS', count(*) from region
+"""
+
+ORACLE_SQL["rollup_fact_versions"] = """
+select l_returnflag k, count(distinct l_orderkey) n_items,
+  (select cast(sum(m) as double) from (select max(cast(l_quantity as decimal(18,2))) m from lineitem b
+     where b.l_returnflag = a.l_returnflag group by b.l_orderkey) x) total,
+  (select cast(sum(m) as double) from (select max(cast(l_quantity as decimal(18,2))) m from lineitem b
+     where b.l_returnflag = a.l_returnflag group by b.l_orderkey) x) / count(distinct l_orderkey) mean,
+  count(distinct case when l_linestatus = 'O' then l_orderkey end) n_open,
+  count(distinct case when l_linestatus = 'F' then l_orderkey end) n_done
+from lineitem a group by l_returnflag
+"""
+
+ORACLE_SQL["child_dimension_blank_parents"] = "with " + _BRANDS + """,
+typed as (
+  select p_name, brand, coalesce(brand_id, -1) brand_id from (
+    select distinct p_name, case when p_size % 3 = 0 then null when p_size % 3 = 1 then '' else p_brand end brand from part) x
+  left join par on brand_desc = brand),
+pairs as (select p_name, brand_id, case when count(*) > count(brand) then null else min(brand) end low
+          from typed group by p_name, brand_id)
+select cast(row_number() over (order by p_name nulls first, low nulls first, brand_id) as int) id, p_name, brand_id from pairs
+"""
+
+ORACLE_SQL["upsert_detail_keys"] = """
+with old as (select nullif(c_custkey, 7) k, cast(0 as bigint) v from customer),
+new as (select case when o_orderkey % 10 <> 0 then o_custkey end k, o_orderkey v from orders)
+select k, max(v) v from new group by k
+union all
+select k, v from old where not exists (select 1 from new where new.k is not distinct from old.k)
+"""

@@ -22,15 +22,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.app_store import (NAMES, Options, load_app_records, load_fact_layer,
+from ..plans.app_store import (NAMES, Options, keep_rejects, load_app_records, load_fact_layer,
                                load_permission_rows)
 from ..sources.lake import table_exists
-from ..sources.documents import PERMISSION_SCHEMA, explode_documents
+from pyspark.sql.types import StringType, StructField, StructType
+
+from ..sources.documents import CORRUPT, PERMISSION_SCHEMA, explode_documents, split_corrupt
 from ..sources.text import APP_COLUMNS, APP_HEADER_PREFIX, parse_quoted_lines
 
 
 def _refresh_fact(spark: SparkSession, root: str) -> None:
-    """Rebuild APP_FACT once all three of its inputs exist."""
+    """Rebuild APP_FACT once all three of its inputs exist.
+
+    One stream should refresh it: of two that publish the fact at once, one
+    fails (and its batch runs again)."""
     inputs = (NAMES.app, NAMES.app_permission, NAMES.permission)
     if all(table_exists(spark, f"{root.rstrip('/')}/{n}") for n in inputs):
         load_fact_layer(spark, root)
@@ -57,8 +62,9 @@ def stream_app_feed(spark: SparkSession, feed_dir: str, root: str, checkpoint: s
     lines = reader.load(feed_dir)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        records, _ = parse_quoted_lines(batch, APP_COLUMNS, APP_HEADER_PREFIX)
+        records, rejects = parse_quoted_lines(batch, APP_COLUMNS, APP_HEADER_PREFIX)
         load_app_records(batch.sparkSession, records, root, opts)
+        keep_rejects(rejects, f"{root.rstrip('/')}/{NAMES.app_rejects}")
         if refresh_fact:
             _refresh_fact(batch.sparkSession, root)
 
@@ -70,12 +76,15 @@ def stream_permission_feed(spark: SparkSession, feed_dir: str, root: str, checkp
                            available_now: bool = True, interval: str | None = None,
                            multiline: bool = True) -> StreamingQuery:
     """Incrementally load permission documents (JSON) into the lake."""
-    docs = (spark.readStream.schema(PERMISSION_SCHEMA).option("multiLine", multiline)
-            .json(feed_dir))
+    whole = StructType([*PERMISSION_SCHEMA.fields, StructField(CORRUPT, StringType())])
+    docs = (spark.readStream.schema(whole).option("multiLine", multiline)
+            .option("columnNameOfCorruptRecord", CORRUPT).json(feed_dir))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        perms = explode_documents(batch, "allPermissions", ["appId", "appName"])
+        whole, rejects = split_corrupt(batch)
+        perms = explode_documents(whole, "allPermissions", ["appId", "appName"])
         load_permission_rows(batch.sparkSession, perms, root, opts)
+        keep_rejects(rejects, f"{root.rstrip('/')}/{NAMES.permission_rejects}")
         if refresh_fact:
             _refresh_fact(batch.sparkSession, root)
 

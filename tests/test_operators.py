@@ -8,44 +8,45 @@ from pyspark.sql import functions as F
 from starloom.operators.bridge import append_bridge, build_bridge
 from starloom.operators.detail import KeyMap, changed_rows, resolve_keys, upsert_detail
 from starloom.operators.dimensions import (build_child_dimension, extend_child_dimension,
-                                           latest_per_key, upsert_dimension)
+                                           upsert_dimension)
 from starloom.operators.facts import rollup_fact
 from starloom.operators.ids import dense_ids, global_rank
-from starloom.operators.joins import broadcast_if_small, join_null_safe
+from starloom.operators.joins import broadcast_if_small, known_bytes, measured_bytes
 from starloom.operators.lookups import build_lookup, build_lookups, extend_lookup
+from starloom.operators.newest import latest_per_key
 from starloom.operators.quality import (assert_checks, check_not_empty, check_unique,
                                         profile_table, run_checks)
 
 
-@pytest.mark.parametrize("small_rows", [0, 10_000_000])
-def test_dense_ids_equal_row_number(spark, small_rows):
+@pytest.mark.parametrize("parts", [5, None])
+def test_dense_ids_equal_row_number(spark, parts):
     rnd = random.Random(7)
     keys = rnd.sample(range(10_000_000), 5000)
     df = spark.createDataFrame([(k, f"v{k % 13}") for k in keys], "k long, v string") \
         .repartition(7)
-    got = dense_ids(df, ["v", "k"], "id", small_rows=small_rows, num_partitions=5)
+    got = dense_ids(df, ["v", "k"], "id", num_partitions=parts)
     expected = sorted(((f"v{k % 13}", k) for k in keys))
     rows = sorted(((r.v, r.k), r.id) for r in got.collect())
     assert [r[1] for r in rows] == list(range(1, 5001))
     assert [r[0] for r in rows] == expected
 
 
-@pytest.mark.parametrize("small_rows", [0, 10_000_000])
-def test_dense_ids_start_nulls_first_and_desc(spark, small_rows):
+@pytest.mark.parametrize("parts", [3, None])
+def test_dense_ids_start_nulls_first_and_desc(spark, parts):
     df = spark.createDataFrame([(None,), (3,), (1,), (2,)], "k int")
-    asc = {r.k: r.id for r in dense_ids(df, ["k"], start=10, small_rows=small_rows).collect()}
+    asc = {r.k: r.id for r in dense_ids(df, ["k"], start=10, num_partitions=parts).collect()}
     assert asc == {None: 10, 1: 11, 2: 12, 3: 13}
     desc = {r.k: r.id for r in dense_ids(df, [F.col("k").desc()],
-                                          small_rows=small_rows).collect()}
+                                          num_partitions=parts).collect()}
     assert desc == {3: 1, 2: 2, 1: 3, None: 4}
 
 
-@pytest.mark.parametrize("small_rows", [0, 10_000_000])
-def test_global_rank_ties(spark, small_rows):
+@pytest.mark.parametrize("parts", [4, None])
+def test_global_rank_ties(spark, parts):
     df = spark.createDataFrame([("a", 5), ("b", 7), ("c", 5), ("d", None), ("e", 1)],
                                "g string, x int")
     got = {r.g: r.rnk for r in global_rank(df, "x", tiebreak=["g"],
-                                           small_rows=small_rows).collect()}
+                                           num_partitions=parts).collect()}
     assert got == {"b": 1, "a": 2, "c": 2, "e": 4, "d": 5}
 
 
@@ -102,8 +103,8 @@ def test_upsert_dimension_scd1(spark):
 def test_resolve_keys_unknown_member(spark):
     dim = spark.createDataFrame([(1, "USD"), (2, "EUR")], "id int, d string")
     df = spark.createDataFrame([("USD",), ("GBP",), (None,), ("EUR",)], "cur string")
-    for rows in (0, 100):  # shuffle join and broadcast join
-        out = resolve_keys(df, [KeyMap("cur", dim, "d", "id", out="cur_id")], broadcast_rows=rows)
+    for size in (0, 10_000):  # shuffle join and broadcast join
+        out = resolve_keys(df, [KeyMap("cur", dim, "d", "id", out="cur_id")], broadcast_bytes=size)
         assert sorted((r.cur or "", r.cur_id) for r in out.collect()) == \
             [("", -1), ("EUR", 2), ("GBP", -1), ("USD", 1)]
 
@@ -206,12 +207,74 @@ def test_profile_table(spark):
 
 
 def test_join_helpers(spark):
-    a = spark.createDataFrame([(None, 1), ("x", 2)], "k string, a int")
-    b = spark.createDataFrame([(None, 10), ("x", 20)], "k string, b int")
-    got = sorted((tuple(r) for r in join_null_safe(a, b, ["k"]).collect()), key=repr)
-    assert got == sorted([(None, 1, 10), ("x", 2, 20)], key=repr)
-    assert broadcast_if_small(a, 1) is a
-    assert broadcast_if_small(a, 2) is not a
+    a = spark.createDataFrame([(None, 1), ("x" * 100, 2)], "k string, a int")
+    assert measured_bytes(a) == 2 * 32 + 100
+    assert broadcast_if_small(a, 163) is a
+    assert broadcast_if_small(a, 164) is not a
+    ids = dense_ids(a, ["k"])  # measured when it was built
+    assert known_bytes(ids) == 2 * 32 + 100 + 2 * 16
+
+
+def test_global_rank_of_one_value_over_many_partitions(spark):
+    """A value that fills several range partitions keeps one rank."""
+    df = spark.range(3000).select(F.col("id").alias("g"), F.when(F.col("id") < 2500, 7).otherwise(F.col("id") % 5).alias("x"))
+    got = {(r.x, r.rnk) for r in global_rank(df, "x", tiebreak=["g"], num_partitions=6).collect()}
+    assert got == {(7, 1), (4, 2501), (3, 2601), (2, 2701), (1, 2801), (0, 2901)}
+
+
+def test_ids_plan_no_single_partition_exchange(spark):
+    """No row of the data goes through a single partition."""
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        global_rank(spark.range(100), "id").explain("formatted")
+    assert "SinglePartition" not in buf.getvalue()
+
+
+def test_once_per_item_takes_one_version(spark):
+    """Items a (v = 10 and 20, flag on one version) and b (v = 5): two items."""
+    df = spark.createDataFrame([("g", "a", 1, 10.0, "Y"), ("g", "a", 2, 20.0, "N"), ("g", "b", 1, 5.0, "N"),
+                                ("g", None, 1, 100.0, "Y")], "g string, app string, perm int, v double, f string")
+    for child in ("perm", None):
+        got = rollup_fact(df, [("g", F.col("g"))], "app", child, sums=[("t", F.col("v"))],
+                          flags=[("n_y", F.col("f") == "Y")], ratios=[("avg", "t")], once_per_item=True).first()
+        assert (got.n_items, got.t, got.n_y, got.avg) == (2, 25.0, 1, 12.5)
+
+
+def test_child_dimension_has_one_row_per_resolved_parent(spark):
+    types = spark.createDataFrame([(1, "Photos")], "tid int, t string")
+    rows = spark.createDataFrame([("a", "camera", None), ("b", "camera", ""), ("c", "camera", "Photos"), ("d", "camera", "?")],
+                                 "app string, p string, t string")
+    dim = build_child_dimension(rows, "p", "t", types, "t", "tid", "id")
+    assert sorted(map(tuple, dim.collect())) == [(1, "camera", -1), (2, "camera", 1)]
+    more = spark.createDataFrame([("a", "mic", None), ("b", "mic", ""), ("b", "camera", "  ")], "app string, p string, t string")
+    grown = extend_child_dimension(dim, more, "p", "t", types, "t", "tid", "id")
+    assert sorted(map(tuple, grown.collect())) == [(1, "camera", -1), (2, "camera", 1), (3, "mic", -1)]
+    renumbered = extend_child_dimension(dim, more, "p", "t", types, "t", "tid", "id", keep_existing=False)
+    assert sorted(map(tuple, renumbered.collect())) == [(3, "camera", -1), (4, "mic", -1)]
+
+
+def test_upsert_detail_is_keyed_and_idempotent(spark):
+    old = spark.createDataFrame([(1, "a"), (None, "n")], "k int, v string")
+    new = spark.createDataFrame([(1, "b"), (1, "c"), (None, "m"), (2, "x")], "k int, v string")
+    once = upsert_detail(old, new, "k")
+    assert sorted(map(tuple, once.collect()), key=repr) == sorted([(1, "c"), (2, "x"), (None, "m")], key=repr)
+    again = upsert_detail(once, new, "k")
+    assert sorted(map(tuple, again.collect()), key=repr) == sorted(map(tuple, once.collect()), key=repr)
+    assert changed_rows(once, new.where("v <> 'b'"), "k").count() == 0
+
+
+def test_measure_by_child(spark):
+    from starloom.operators.ranks import measure_by_child
+
+    detail = spark.createDataFrame([("a", 4.0), ("b", 2.0), ("c", None)], "app string, r double")
+    bridge = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1), ("c", 1), ("a", 1)], "app string, pid int")
+    child = spark.createDataFrame([(1, "x", 9), (2, "y", 9)], "pid int, p string, tid int")
+    by = lambda cols: sorted(map(tuple, measure_by_child(detail, bridge, child, "app", "pid", F.col("r"), cols).collect()))
+    assert by(["p"]) == [("x", 3, 3.0), ("y", 1, 4.0)]
+    assert by(["tid"]) == [(9, 3, 3.0)]
 
 
 def test_build_lookups_one_pass_equals_separate_builds(spark):

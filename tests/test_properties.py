@@ -38,7 +38,7 @@ def test_lookup_ids_dense_unique_and_stable(spark, vals, more, small):
        parts=st.integers(1, 6))
 def test_dense_ids_paths_agree(spark, keys, parts):
     df = spark.createDataFrame([(k,) for k in keys], "k int").repartition(parts)
-    a = {r.k: r.id for r in dense_ids(df, ["k"], small_rows=0, num_partitions=parts).collect()}
+    a = {r.k: r.id for r in dense_ids(df, ["k"], num_partitions=parts).collect()}
     b = {r.k: r.id for r in dense_ids(df, ["k"]).collect()}
     assert a == b == {k: i + 1 for i, k in enumerate(sorted(keys))}
 
