@@ -12,11 +12,14 @@ them that chose that suffix, and a window that stands in two documents is a
 match. Overlapping and touching matches of a document are one span. Windows
 are compared by a 64-bit polynomial hash of 64-bit word hashes.
 
-On Spark: suffixes, candidates and windows are aggregates with partial sums,
-so a passage that a third of all documents share is folded before the shuffle;
+On Spark: suffixes, contexts and windows are aggregates with partial sums, so
+a passage that a third of all documents share is folded before the shuffle;
 the joins back are ordinary ones whose large partitions Spark's skew handling
-splits. The texts of documents with candidates are read a second time and
-joined by document; nothing is collected.
+splits. A suffix whose whole context (all its windows) stands in two documents
+is settled by one hash; single windows are compared only where contexts of a
+shared suffix differ, at the edges of matches, one row per different context.
+The texts of documents with candidates are read a second time and joined by
+document; nothing is collected.
 
 Special cases: null and empty texts, and texts of fewer than ``length`` words,
 have no passage; a repeat within one document only is none, nor are rows that
@@ -27,13 +30,16 @@ not read.
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpoint, small_batches
+from ..session import checkpoint_dir
+from .common import small_batches
 from .decontaminate import words_of
 
 LENGTH, GRAM = 50, 20
@@ -94,10 +100,22 @@ def _array(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64) if x.dtype == np.uint64 else x)
 
 
-def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """(doc, row, window, start, first): each window that stands in another document as well.
+def _staged(df: DataFrame) -> DataFrame:
+    """``df`` written once as Parquet to the shared folder: columns that repeat cost next to nothing there."""
+    path = f"{checkpoint_dir(df.sparkSession)}/passages-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+CONTEXT = "doc bigint, row bigint, suffix bigint, context bigint, start bigint, windows array<bigint>"
+
+
+def contexts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """(doc, row, suffix, context, start, windows): the retained suffixes that another document shares.
 
-    ``row`` tells texts of one doc_id apart; ``first``: no smaller doc_id has the window.
+    ``row`` tells texts of one doc_id apart; ``windows`` are the hashes of the
+    windows from ``start`` on that chose the suffix, ``context`` is the hash of
+    all the words under them.
     """
     if not 0 < gram < length:
         raise ValueError("a suffix's beginning must be shorter than a passage")
@@ -120,42 +138,71 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
         made = Windows(length, gram)
         for batch in small_batches(batches, "text"):
             cols = [batch.column(c).to_pylist() for c in ("doc", "row", "text")]
-            out = []
+            out, lists = {c: [] for c in ("doc", "row", "suffix", "context", "start")}, []
             for doc, row, text, keep in zip(*cols, batch.column("suffixes").to_pylist()):
-                window, _, key = made.of(text)
-                at = np.flatnonzero(np.isin(key, np.array(keep, np.int64).view(np.uint64)))
-                out.append((np.full(len(at), doc, np.int64), np.full(len(at), row, np.int64), window[at], at))
-                if sum(len(x[0]) for x in out) > 200_000:
-                    yield _batch(out)
-                    out = []
-            if out:
-                yield _batch(out)
-
-    def _batch(out):
-        d, r, w, s = (np.concatenate(x) for x in zip(*out))
-        return pa.RecordBatch.from_pydict({"doc": pa.array(d), "row": pa.array(r), "window": _array(w), "start": pa.array(s)})
-
-    found = texts.select("doc", "text").mapInArrow(suffixes, "suffix bigint, doc bigint")
+                window, chosen, key = made.of(text)
+                if not len(window):
+                    continue
+                # runs of windows that chose one suffix, and those of shared suffixes
+                cut = np.flatnonzero(np.diff(chosen)) + 1
+                lo, hi = np.r_[0, cut], np.r_[cut, len(chosen)]
+                own = np.isin(key[lo], np.array(keep, np.int64).view(np.uint64))
+                for a, b in zip(lo[own].tolist(), hi[own].tolist()):
+                    w = window[a:b].view(np.int64)
+                    out["doc"].append(doc)
+                    out["row"].append(row)
+                    out["suffix"].append(int(key[a].view(np.int64)))
+                    # equal windows one after the other are equal words; where the suffix stands tells shifts apart
+                    out["context"].append(int(np.uint64(xxhash.xxh64_intdigest(w.tobytes(), int(chosen[a] - a))).view(np.int64)))
+                    out["start"].append(a)
+                    lists.append(w)
+            if lists:
+                offsets = pa.array(np.cumsum([0] + [len(w) for w in lists]), pa.int32())
+                yield pa.RecordBatch.from_pydict({**{c: pa.array(v, pa.int64()) for c, v in out.items()},
+                                                  "windows": pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(lists)))})
+
+    found = _staged(texts.select("doc", "text").mapInArrow(suffixes, "suffix bigint, doc bigint"))
     # suffixes with an equal neighbour from another document
     shared = found.groupBy("suffix").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).where("a <> b").select("suffix")
     per_doc = found.join(shared, "suffix", "left_semi").groupBy("doc").agg(F.collect_set("suffix").alias("suffixes"))
-    windows = checkpoint(texts.join(per_doc, "doc").mapInArrow(
-        extended, "doc bigint, row bigint, window bigint, start bigint"))
-    twice = windows.groupBy("window").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low <> high")
-    return windows.join(twice.select("window", "low"), "window").select(
-        "doc", "row", "window", "start", (F.col("doc") == F.col("low")).alias("first"))
+    return _staged(texts.join(per_doc, "doc").mapInArrow(extended, CONTEXT))
+
+
+def matches(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """(doc, row, start, end, low): runs of words that stand in another document as well.
+
+    ``low``: a smallest doc_id that has the run, as far as whole contexts and
+    single windows tell (it may be doc itself).
+    """
+    found = contexts(docs, length, gram)
+    by_context = found.groupBy("context").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
+    known = found.join(by_context, "context")
+    whole = known.where("low <> high").select(
+        "doc", "row", "start", (F.col("start") + F.size("windows") - 1 + length).alias("end"), "low")
+    # one row per different context is enough to know which windows stand where
+    single = known.where("doc = low").dropDuplicates(["context"]).select("suffix", "windows", "low", "high")
+    open_ = known.where("low = high")
+    mixed = open_.select("suffix").distinct()
+    windows = single.join(mixed, "suffix", "left_semi").select(F.explode("windows").alias("window"), "low", "high")
+    twice = windows.groupBy("window").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low <> high")
+    edges = open_.select("doc", "row", "start", F.posexplode("windows").alias("i", "window")).join(
+        twice.select("window", F.col("low").alias("least")), "window").select(
+        "doc", "row", (F.col("start") + F.col("i")).alias("start"), (F.col("start") + F.col("i") + length).alias("end"),
+        F.col("least").alias("low"))
+    return whole.unionByName(edges)
 
 
 def passages(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """doc_id, start, end (in words, end exclusive), n_words, n_first: one row per repeated span.
+    """doc_id, start, end (in words, end exclusive), n_words, first_doc: one row per repeated span.
 
-    ``n_first`` counts the span's windows that no smaller doc_id has: a span
-    with none can be removed and still stands elsewhere.
+    ``first_doc`` is the smallest doc_id found to share a part of the span: of
+    whole copies the one with its own id as first_doc can stay.
     """
-    found = repeated_windows(docs, length, gram).distinct()
-    by_text = Window.partitionBy("doc", "row").orderBy("start")
-    fresh = F.coalesce(F.col("start") > F.lag("start").over(by_text) + length, F.lit(True)).cast("int")
-    spans = found.withColumn("fresh", fresh).withColumn("n", F.sum("fresh").over(by_text))
-    spans = spans.groupBy("doc", "row", "n").agg(F.min("start").alias("start"), (F.max("start") + length).alias("end"),
-                                                 F.sum(F.col("first").cast("long")).alias("n_first"))
-    return spans.select(F.col("doc").alias("doc_id"), "start", "end", (F.col("end") - F.col("start")).alias("n_words"), "n_first")
+    by_text = Window.partitionBy("doc", "row").orderBy("start", "end")
+    before = by_text.rowsBetween(Window.unboundedPreceding, -1)
+    fresh = F.coalesce(F.col("start") > F.max("end").over(before), F.lit(True)).cast("int")
+    spans = matches(docs, length, gram).withColumn("fresh", fresh).withColumn("n", F.sum("fresh").over(
+        by_text.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    spans = spans.groupBy("doc", "row", "n").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min("low").alias("low"))
+    return spans.select(F.col("doc").alias("doc_id"), "start", "end", (F.col("end") - F.col("start")).alias("n_words"),
+                        F.col("low").alias("first_doc"))

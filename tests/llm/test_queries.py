@@ -57,13 +57,12 @@ def brute_passages(docs, length=50):
         w, last = words_of(t), None
         for i in range(len(w) - length + 1):
             if len(where[tuple(w[i:i + length])]) > 1:
-                first = min(where[tuple(w[i:i + length])]) == d
                 if last and i <= last[2]:
-                    last[2], last[3] = i + length, last[3] + first
+                    last[2] = i + length
                 else:
                     if last:
                         spans.add(tuple(last))
-                    last = [d, i, i + length, int(first)]
+                    last = [d, i, i + length]
         if last:
             spans.add(tuple(last))
     return spans
@@ -73,8 +72,15 @@ def brute_passages(docs, length=50):
 def test_passages_match_brute_force(spark, edge, where):
     folder = edge if where == "edge" else where
     docs = [(r["doc_id"], r["text"]) for r in table(spark, folder, "documents").collect() if r["doc_id"] is not None]
-    got = {(r["doc_id"], r["start"], r["end"], r["n_first"]) for r in QUERIES["op1_passages"](spark, folder).collect()}
-    assert got == brute_passages(docs) and got
+    rows = QUERIES["op1_passages"](spark, folder).collect()
+    assert {(r["doc_id"], r["start"], r["end"]) for r in rows} == brute_passages(docs) and rows
+    words = collections.defaultdict(list)
+    for d, t in docs:
+        words[d].append(words_of(t))
+    for r in rows:  # the first document really shares a part of the span
+        assert r["first_doc"] <= r["doc_id"] and r["n_words"] == r["end"] - r["start"]
+        own = {tuple(w[i:i + 50]) for w in words[r["doc_id"]] for i in range(r["start"], r["end"] - 49)}
+        assert any(tuple(w[i:i + 50]) in own for w in words[r["first_doc"]] for i in range(len(w) - 49))
 
 
 def brute_fingerprint(text, shingle=4):
