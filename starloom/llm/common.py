@@ -63,6 +63,21 @@ def by_text(df: DataFrame, make: Callable[[], Callable[[list], dict[str, pa.Arra
     return frame.mapInArrow(run, f"{head}, {schema}" if head else schema)
 
 
+#: Tasks over which the rows of one key are dealt in a salted join.
+SALTS = 32
+
+
+def salted_left_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Left join on ``key``, whose rows on the left are dealt over ``SALTS`` tasks.
+
+    ``right`` has one row a key, for few of the left's keys: its rows are
+    repeated ``SALTS`` times.
+    """
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    return left.withColumn("__salt", salt).join(right.withColumn("__salt", every), [key, "__salt"], "left").drop("__salt")
+
+
 def fold_of(doc_id: Column | str, folds: int) -> Column:
     """crc32(doc_id as text) mod ``folds``; a null id counts as the empty text."""
     col = F.col(doc_id) if isinstance(doc_id, str) else doc_id

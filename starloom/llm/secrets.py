@@ -9,7 +9,7 @@ to the ledger; findings are joined back to all paths that hold the blob.
 Text is shuffled once, one row per distinct blob: equal blobs fold in partial
 aggregates before the shuffle, so a blob that a third of all rows hold costs
 no more than one row per task. The way back to the paths is a join on the
-blob without texts, whose large partitions Spark's skew handling splits.
+blob without texts, salted: the paths of one blob are dealt over several tasks.
 
 Positions come from cutting the text at the matches: the start of a match is
 the length of all pieces and matches before it (a running sum per blob).
@@ -27,6 +27,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import salted_left_join
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -108,7 +110,7 @@ def scan(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule
 def report(versions: DataFrame, ledger: DataFrame) -> DataFrame:
     """(path, blob, spans): the ledger's findings on all paths that hold a blob."""
     with_any = ledger.where(F.size("spans") > 0).select("blob", "spans")
-    return versions.select("path", "blob").join(with_any, "blob", "left").select(
+    return salted_left_join(versions.select("path", "blob"), with_any, "blob").select(
         "path", "blob", F.coalesce("spans", F.array().cast(SPAN)).alias("spans"))
 
 
@@ -165,8 +167,8 @@ def redact(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
     """
     found = scan(content_address(docs)).where(F.size("spans") > 0).select("blob", "spans")
     whole = F.coalesce(F.col("text"), F.lit(""))
-    joined = docs.withColumn("__blob", F.sha2(whole, 256)).join(
-        found.select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans")), "__blob", "left")
+    kept = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.sha2(whole, 256).alias("blob"))
+    joined = salted_left_join(kept, found, "blob").select("row.*", F.col("spans").alias("__spans"))
     # spans in order; one that begins inside the last is part of it
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
 
