@@ -1,4 +1,4 @@
-"""Benchmark: headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
+"""Benchmark: the registered catalogue queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Each query is fully materialised with the ``noop`` sink (no driver collect).
 Prints one JSON line: {"metric", "value", "unit", "queries", "sf", ...}.
@@ -20,13 +20,10 @@ sys.path.insert(0, ROOT)
 from starloom.plans.catalog import QUERIES, table  # noqa: E402
 from starloom.session import build_session  # noqa: E402
 
-HEADLINE = [
-    "app_fact", "star_fact", "rollup_fact", "rollup_fact_distinct", "build_lookup", "resolve_keys",
-    "latest_per_key", "build_dimension", "upsert_dimension", "build_child_dimension",
-    "build_bridge", "upsert_detail", "check_unique", "profile_table", "rank_by",
-    "rank_by_average", "measure_by_child_count", "parse_quoted_lines", "explode_documents",
-    "clean_numbers",
-]
+# Every registered catalogue query but the double load, which takes minutes.
+HEADLINE = [q for q in QUERIES if q != "load_counts"]
+# A query whose cold run takes longer than this is not run again.
+WARM_LIMIT = 30.0
 
 # The same fact as ``rollup_fact`` (decimal sums), written as one statement.
 ONE_SHOT_FACT_SQL = """
@@ -64,7 +61,11 @@ def main() -> None:
             t0 = time.perf_counter()
             run(QUERIES[name](spark, sf_dir))
             elapsed = round(time.perf_counter() - t0, 3)
-            (cold if attempt == 0 else times)[name] = elapsed
+            if attempt == 0:
+                cold[name] = elapsed
+            times[name] = elapsed
+            if elapsed > WARM_LIMIT:
+                break
 
     for name in ("orders", "lineitem", "part"):
         table(spark, sf_dir, name).createOrReplaceTempView(name)
