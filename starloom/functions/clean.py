@@ -50,14 +50,15 @@ def clean_flag(col: Column | str, true_text: str = TRUE_TEXT) -> Column:
 def clean_long(col: Column | str) -> Column:
     """Integer text, also ``'10000.0'``, to bigint; bad values -> NULL.
 
-    Integer text is cast as it is, so all its digits stay; text with a
-    fraction goes through a decimal (the fraction is dropped), and only text
-    in another notation (``1e3``) through double.
+    Goes through a decimal with 28 digits before the point, so all digits of a
+    bigint stay, and drops the fraction. (``try_cast('10000.0' as bigint)`` is
+    NULL, at the price of an exception per value; double loses digits beyond
+    2^53 and is left for texts that no such decimal holds.)
     """
     c = _c(col)
-    return F.coalesce(c.try_cast("bigint"), F.floor(F.abs(c.try_cast("decimal(38,10)"))).try_cast("bigint")
-                      * F.when(F.trim(c).startswith("-"), -1).otherwise(1),
-                      c.try_cast("double").try_cast("bigint"))
+    number = c.try_cast("decimal(38,10)")
+    whole = F.when(number < 0, F.ceil(number)).otherwise(F.floor(number)).try_cast("bigint")
+    return F.coalesce(whole, c.try_cast("double").try_cast("bigint"))
 
 
 def clean_int_parity(col: Column | str) -> Column:
