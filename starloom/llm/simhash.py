@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import golay
-from .common import ASCII_LOWER, by_text, checkpoint
+from .common import ASCII_LOWER, by_text, checkpoint, salted_left_join
 from .components import connected_components
 
 SEED = 42
@@ -215,8 +215,10 @@ def _classes(marked: DataFrame, max_bits: int, bucket: int) -> DataFrame:
     found = connected_components(links(distinct, max_bits, bucket))
     grouped = distinct.join(found, distinct["fp"] == found["node"], "left").select(
         "fp", "first", F.coalesce("component", "fp").alias("group"))
-    firsts = grouped.groupBy("group").agg(F.min("first").alias("component_id"))
-    return grouped.join(firsts, "group").select("fp", "group", "component_id")
+    # only groups of several fingerprints need the way back; a large one is salted
+    several = grouped.groupBy("group").agg(F.min("first").alias("low"), F.count("*").alias("n")).where("n > 1")
+    return salted_left_join(grouped, several.select("group", "low"), "group").select(
+        "fp", "group", F.coalesce("low", "first").alias("component_id"))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, bucket: int = BUCKET,
