@@ -69,6 +69,7 @@ def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTO
     rows = conversations.select(
         "conv_id", F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    given = rows
     rows = rows.select("*", tokens(F.col("text")).alias("size"),
                        F.floor(F.coalesce("turn", F.lit(-(1 << 62))) / CHUNK).cast("long").alias("chunk"))
     totals = rows.groupBy("conv_id", "chunk").agg(F.sum("size").alias("size"), F.count("*").alias("n"))
@@ -99,7 +100,10 @@ def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTO
     placed = rows.select("conv_id", "pos", "role", "text", F.explode(copies).alias("at"))
     made = placed.groupBy("conv_id", F.col("at.window").alias("window")).agg(F.array_sort(F.collect_list(
         F.struct("pos", F.col("at.repeated").alias("repeated"), "role", "text"))).alias("turns"))
-    first = rows.where("system").select(F.col("conv_id").alias("c"), "pos", F.lit(1).alias("repeated"), "role", "text")
+    made_first = F.min(F.struct(F.coalesce("turn", F.lit(-(1 << 62))).alias("turn"), "role",
+                                F.when(F.col("role") == "system", F.col("text")).otherwise("").alias("text")))
+    first = given.groupBy("conv_id").agg(made_first.alias("t")).where("t.role = 'system'").select(
+        F.col("conv_id").alias("c"), F.lit(1).cast("long").alias("pos"), F.lit(1).alias("repeated"), "t.role", "t.text")
     made = made.join(first, made["conv_id"].eqNullSafe(first["c"]) & (made["window"] > 0), "left")
     whole = F.when(F.col("pos").isNotNull(), F.concat(F.array(F.struct("pos", "repeated", "role", "text")), "turns"))
     return made.select("conv_id", "window", F.coalesce(whole, "turns").alias("turns"))
