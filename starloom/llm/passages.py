@@ -107,15 +107,16 @@ def _staged(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-CONTEXT = "doc bigint, row bigint, suffix bigint, context bigint, start bigint, windows array<bigint>"
+CONTEXT = "doc bigint, row bigint, suffix bigint, context bigint, start bigint, times bigint, windows array<bigint>"
 
 
 def contexts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """(doc, row, suffix, context, start, windows): the retained suffixes that another document shares.
+    """(doc, row, suffix, context, start, times, windows): the retained suffixes that another document shares.
 
     ``row`` tells texts of one doc_id apart; ``windows`` are the hashes of the
     windows from ``start`` on that chose the suffix, ``context`` is the hash of
-    all the words under them.
+    all the words under them, ``times`` how often they follow each other (a
+    word said a thousand times over is one row).
     """
     if not 0 < gram < length:
         raise ValueError("a suffix's beginning must be shorter than a passage")
@@ -138,7 +139,7 @@ def contexts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFra
         made = Windows(length, gram)
         for batch in small_batches(batches, "text"):
             cols = [batch.column(c).to_pylist() for c in ("doc", "row", "text")]
-            out, lists = {c: [] for c in ("doc", "row", "suffix", "context", "start")}, []
+            out, lists = {c: [] for c in ("doc", "row", "suffix", "context", "start", "times")}, []
             for doc, row, text, keep in zip(*cols, batch.column("suffixes").to_pylist()):
                 window, chosen, key = made.of(text)
                 if not len(window):
@@ -147,15 +148,19 @@ def contexts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFra
                 cut = np.flatnonzero(np.diff(chosen)) + 1
                 lo, hi = np.r_[0, cut], np.r_[cut, len(chosen)]
                 own = np.isin(key[lo], np.array(keep, np.int64).view(np.uint64))
+                last, after = None, -1
                 for a, b in zip(lo[own].tolist(), hi[own].tolist()):
                     w = window[a:b].view(np.int64)
-                    out["doc"].append(doc)
-                    out["row"].append(row)
-                    out["suffix"].append(int(key[a].view(np.int64)))
                     # equal windows one after the other are equal words; where the suffix stands tells shifts apart
-                    out["context"].append(int(np.uint64(xxhash.xxh64_intdigest(w.tobytes(), int(chosen[a] - a))).view(np.int64)))
-                    out["start"].append(a)
-                    lists.append(w)
+                    context = int(np.uint64(xxhash.xxh64_intdigest(w.tobytes(), int(chosen[a] - a))).view(np.int64))
+                    if context == last and a == after:
+                        out["times"][-1] += 1
+                    else:
+                        for c, v in (("doc", doc), ("row", row), ("suffix", int(key[a].view(np.int64))),
+                                     ("context", context), ("start", a), ("times", 1)):
+                            out[c].append(v)
+                        lists.append(w)
+                    last, after = context, b
             if lists:
                 offsets = pa.array(np.cumsum([0] + [len(w) for w in lists]), pa.int32())
                 yield pa.RecordBatch.from_pydict({**{c: pa.array(v, pa.int64()) for c, v in out.items()},
@@ -175,20 +180,26 @@ def matches(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
     single windows tell (it may be doc itself).
     """
     found = contexts(docs, length, gram)
-    by_context = found.groupBy("context").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
-    known = found.join(by_context, "context")
+    # grouped by one column more than joined on: the join then shuffles both sides, and Spark can split a
+    # context (below: a window) that very many documents share
+    by_context = found.groupBy("context", "suffix").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
+    known = found.join(by_context.drop("suffix"), "context")
     whole = known.where("low <> high").select(
-        "doc", "row", "start", (F.col("start") + F.size("windows") - 1 + length).alias("end"), "low")
+        "doc", "row", "start", (F.col("start") + F.col("times") * F.size("windows") - 1 + length).alias("end"), "low")
     # one row per different context is enough to know which windows stand where
     single = known.where("doc = low").dropDuplicates(["context"]).select("suffix", "windows", "low", "high")
     open_ = known.where("low = high")
     mixed = open_.select("suffix").distinct()
     windows = single.join(mixed, "suffix", "left_semi").select(F.explode("windows").alias("window"), "low", "high")
-    twice = windows.groupBy("window").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low <> high")
-    edges = open_.select("doc", "row", "start", F.posexplode("windows").alias("i", "window")).join(
-        twice.select("window", F.col("low").alias("least")), "window").select(
-        "doc", "row", (F.col("start") + F.col("i")).alias("start"), (F.col("start") + F.col("i") + length).alias("end"),
-        F.col("least").alias("low"))
+    twice = windows.groupBy("window", F.pmod("window", F.lit(64)).alias("part")).agg(
+        F.min("low").alias("low"), F.max("high").alias("high")).where("low <> high")
+    edges = open_.select("doc", "row", "start", "times", F.size("windows").alias("step"),
+                         F.posexplode("windows").alias("i", "window")).join(
+        twice.select("window", F.col("low").alias("least")), "window")
+    edges = edges.select("doc", "row", F.explode(F.transform(
+        F.sequence(F.lit(0).cast("long"), F.col("times") - 1),
+        lambda k: F.col("start") + F.col("i") + k * F.col("step"))).alias("start"), F.col("least").alias("low")).select(
+        "doc", "row", "start", (F.col("start") + length).alias("end"), "low")
     return whole.unionByName(edges)
 
 
