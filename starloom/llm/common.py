@@ -92,15 +92,25 @@ def one_label(labels: DataFrame, label: str) -> DataFrame:
 
 
 def training_texts(docs: DataFrame, labels: DataFrame, label: str, fold: tuple[int, int], rows: int) -> DataFrame:
-    """(text, label) of a bounded sample of labelled rows.
+    """(doc_id, text_hash, text, label) of a bounded sample of labelled rows.
 
     Rows whose ``fold_of(doc_id, fold[0])`` is ``fold[1]`` are held out. Of the
-    others the ``rows`` with the smallest hash of the id are taken: the same
-    ids whatever the partitions, and as good as random. The ids (at most
-    ``rows``) are broadcast, so the texts are not shuffled. Of documents that
-    repeat a doc_id every row comes.
+    others the ``rows`` ids with the smallest hash are taken: the same ids
+    whatever the partitions, and as good as random. Rows count once per
+    (doc_id, text_hash): every id has its text of the smallest hash in the
+    sample, and what is left of ``rows`` goes to the smallest hashes of the
+    ids' other texts, whatever their label. These keys (at most ``rows``) are
+    chosen once and broadcast, so the texts are not shuffled. Equal rows of a
+    key all come: a caller groups what it makes of them by the key.
     """
     known = one_label(labels, label).where(fold_of("doc_id", fold[0]) != fold[1])
     some = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    texts = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.join(F.broadcast(some), "doc_id").select("doc_id", "text", "label")
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
+    keys = texts.select("doc_id", "text_hash").join(F.broadcast(some), "doc_id").distinct().withColumn(
+        "order", F.xxhash64("doc_id", "text_hash"))
+    first = keys.groupBy("doc_id").agg(F.min(F.struct("order", "text_hash")).alias("first"))
+    keys = keys.join(F.broadcast(first), "doc_id").orderBy(
+        F.struct("order", "text_hash") != F.col("first"), "order", "doc_id", "text_hash").limit(rows)
+    keys = keys.select("doc_id", "text_hash", "label")
+    chosen = docs.sparkSession.createDataFrame(keys.collect(), keys.schema)  # at most ``rows`` rows
+    return texts.join(F.broadcast(chosen), ["doc_id", "text_hash"]).select("doc_id", "text_hash", "text", "label")

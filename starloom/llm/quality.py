@@ -177,8 +177,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", fold: tuple[
         return of
 
     sample = training_texts(docs, labels, label, fold, rows)
-    got = by_text(sample, make, "at binary, x binary", ["doc_id", "label"]).collect()  # at most ``rows`` rows
-    got = sorted(got, key=lambda r: (r["doc_id"], bytes(r["at"]), bytes(r["x"])))[:rows]
+    got = by_text(sample, make, "at binary, x binary", ["doc_id", "text_hash", "label"])
+    got = got.groupBy("doc_id", "text_hash", "label").agg(F.first("at").alias("at"), F.first("x").alias("x"))
+    got = sorted(got.collect(), key=lambda r: (r["doc_id"], bytes(r["at"]), bytes(r["x"])))  # at most ``rows`` rows
     vectors = [(np.frombuffer(r["at"], np.int32), np.frombuffer(r["x"], np.float32)) for r in got]
     model = FactorisationMachine(BUCKETS + len(STRUCTURE))
     return model.fit(vectors, np.array([r["label"] for r in got], np.float64))

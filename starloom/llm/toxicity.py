@@ -322,8 +322,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", fold: tuple[in
 
         return of
 
-    got = by_text(sample, make, "m0 double, m1 double, m2 double", ["label"]).collect()  # at most ``rows`` rows
-    got = np.array(sorted(tuple(r) for r in got), np.float64)[:rows]
+    got = by_text(sample, make, "m0 double, m1 double, m2 double", ["doc_id", "text_hash", "label"])
+    got = got.groupBy("doc_id", "text_hash", "label").agg(*[F.max(m).alias(m) for m in ("m0", "m1", "m2")])
+    got = got.select("label", "m0", "m1", "m2").collect()  # at most ``rows`` rows
+    got = np.array(sorted(tuple(r) for r in got), np.float64)
     return {"weights": weights, "bias": bias, "calibration": logistic(got[:, 1:], got[:, 0])}
 
 

@@ -212,6 +212,35 @@ def test_pairwise_part_equals_the_double_sum():
         assert abs(want - got) < 1e-3
 
 
+def repeated_ids():
+    """Clean and toxic ids of one row each, and a clean id with many rows, some of them equal."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice(["ba", "do", "ke", "li", "mo", "ru", "ta"]) for _ in range(rng.randint(2, 6)))
+    text = lambda *more: " ".join([word() for _ in range(30)] + list(more))
+    docs = [(i, text("idiot") if i % 2 else text()) for i in range(120)] + [(1000, text()) for _ in range(200)]
+    labels = [(i, i % 2, i % 2) for i in range(120)] + [(1000, 0, 0)]
+    return docs + docs[-3:] * 40, labels
+
+
+def test_training_sample_has_every_id_within_the_bound(spark):
+    from starloom.llm.common import training_texts
+
+    docs, labels = repeated_ids()
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    got = training_texts(frame, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), "toxic", (1, 1), 150)
+    keys = {(r["doc_id"], r["text"]) for r in got.collect()}
+    assert len(keys) == 150 and {i for i, _ in keys} == {i for i, _, _ in labels}
+
+
+def test_repeated_ids_push_no_toxic_row_out_of_the_calibration(spark, monkeypatch):
+    docs, labels = repeated_ids()
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    seen, logistic = [], toxicity.logistic
+    monkeypatch.setattr(toxicity, "logistic", lambda x, y: seen.append(y) or logistic(x, y))
+    toxicity.fit(frame, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), fold=(1, 1), rows=150)
+    assert len(seen[0]) == 150 and seen[0].sum() == 60
+
+
 def test_kernel_counts_common_subsequences():
     of = toxicity.Subsequences()
 
