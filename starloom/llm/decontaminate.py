@@ -12,8 +12,8 @@ stand in no occurrence, so it ends a run, and runs shorter than the shortest
 phrase are left out of the index; nothing else is.
 
 The benchmark is read in blocks of at most ``BLOCK_BYTES`` of text; each block
-is one pass of the same stage over the documents, so what a task holds at once
-is bounded however large the benchmark is. Nothing is shuffled.
+is one pass of the same stage over the documents (``remove_spans``: over each
+batch of them, as a text is cut at the spans of all blocks). Nothing is shuffled.
 
 Special cases: a null text has no words; items without words (or null) match
 nothing; repeated items count once per item_id, an item with a null item_id
@@ -193,42 +193,49 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", n_ch
                  width: int = WIDTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` (same columns) with the benchmark's spans cut out of the text.
 
-    A cut can bring the words of another window together, so a text that was
-    cut is searched again until no window occurs. Texts without a hit stay as
-    they are; a text may become empty. ``n_chars`` follows the new text where
-    the table has that column.
+    A text is cut at the merged spans of all blocks of the benchmark. A cut can
+    bring the words of another window together, so a text that was cut is
+    searched again for all blocks until no window occurs. Texts without a hit
+    stay as they are; a text may become empty. ``n_chars`` follows the new text
+    where the table has that column. Of several blocks a task holds the phrases
+    of one at a time and builds them again for each round of a batch.
     """
     sc = docs.sparkSession.sparkContext
     kinds = dict(docs.dtypes)
-    frame, schema = docs, docs.schema
-    for items in blocks_of(benchmark, "item_id", "text", block_bytes):
-        shared = sc.broadcast(items)
-
-        def run(batches, shared=shared):
-            phrases = Phrases(shared.value, width)
-            for batch in small_batches(batches, text):
-                at = batch.schema.get_field_index(text)
-                texts = batch.column(at).to_pylist()
-                hits = search([words_of(t) for t in texts], phrases)
-                changed = {}
-                while hits:
-                    todo = list(hits)
-                    for i in todo:
-                        changed[i] = texts[i] = cut(texts[i], merge(hits[i][0]))
-                    again = search([words_of(texts[i]) for i in todo], phrases)
-                    hits = {todo[k]: v for k, v in again.items()}
-                if changed:
-                    batch = batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
-                    if n_chars and kinds.get(n_chars) in ("bigint", "int"):
-                        c = batch.schema.get_field_index(n_chars)
-                        count = batch.column(c).to_pylist()
-                        for i, t in changed.items():
-                            count[i] = len(t)
-                        batch = batch.set_column(c, batch.schema.field(c), pa.array(count, batch.schema.field(c).type))
-                yield batch
-
-        frame = frame.mapInArrow(run, schema)
-    return frame
+    blocks = [sc.broadcast(items) for items in blocks_of(benchmark, "item_id", "text", block_bytes)]
+
+    def run(batches):
+        only = Phrases(blocks[0].value, width) if len(blocks) == 1 else None
+
+        def find(texts):
+            words, found = [words_of(t) for t in texts], {}
+            for shared in blocks:
+                for i, (spans, _) in search(words, only or Phrases(shared.value, width)).items():
+                    found[i] = merge(found.get(i, []) + spans)
+            return found
+
+        for batch in small_batches(batches, text):
+            at = batch.schema.get_field_index(text)
+            texts = batch.column(at).to_pylist()
+            hits = find(texts)
+            changed = {}
+            while hits:
+                todo = list(hits)
+                for i in todo:
+                    changed[i] = texts[i] = cut(texts[i], hits[i])
+                again = find([texts[i] for i in todo])
+                hits = {todo[k]: v for k, v in again.items()}
+            if changed:
+                batch = batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
+                if n_chars and kinds.get(n_chars) in ("bigint", "int"):
+                    c = batch.schema.get_field_index(n_chars)
+                    count = batch.column(c).to_pylist()
+                    for i, t in changed.items():
+                        count[i] = len(t)
+                    batch = batch.set_column(c, batch.schema.field(c), pa.array(count, batch.schema.field(c).type))
+            yield batch
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def hit_digests(hits: DataFrame) -> DataFrame:

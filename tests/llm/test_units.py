@@ -142,6 +142,18 @@ def test_benchmark_blocks_give_the_same_hits(spark, edge, limit):
     assert sorted(map(str, got.collect())) == want
 
 
+def test_benchmark_blocks_cut_the_same_spans(spark):
+    w = [f"w{i}" for i in range(1, 16)]
+    # of the third text the cut of item 3 brings a window of item 1 together
+    texts = [" ".join(w), "a " + " ".join(w) + " z", "a " + " ".join(w[:5]) + " xx yy " + " ".join(w[5:10]) + " z", None, "clean"]
+    docs = spark.createDataFrame([(i, t, len(t or "")) for i, t in enumerate(texts)], "doc_id long, text string, n_chars long")
+    bench = spark.createDataFrame([(1, " ".join(w[:10])), (2, " ".join(w[5:])), (3, "xx yy")], "item_id long, text string").coalesce(1)
+    want = sorted(map(str, decontaminate.remove_spans(docs, bench).collect()))
+    got = decontaminate.remove_spans(docs, bench, block_bytes=40).collect()
+    assert sorted(map(str, got)) == want
+    assert [r["text"] for r in sorted(got, key=lambda r: r["doc_id"])] == ["", "a  z", "a  z", None, "clean"]
+
+
 def test_ledger_scans_unseen_pairs_only(spark, scratch):
     kind = "doc_id string, text string"
     key = "api_key=abcdef12345"
