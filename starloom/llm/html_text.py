@@ -4,7 +4,12 @@ The standard library's parser streams a page's events; block tags cut it into
 lines. A line's ratio is the number of its characters outside links per tag in
 it; lines inside elements that never hold the article (menus, headers,
 footers, sidebars, notices, adverts, forms, reader comments: by element, or by
-the words of class, id and role) have ratio zero. The ratios are smoothed with
+the words of class, id and role) have ratio zero. A word or a form excludes no
+element that holds the article or main element (of several, those under the
+fewest such words), and a word none that holds most of the page's text and, if
+the page has article or main elements, one of them (comments excepted). If
+that leaves no line, the words and forms don't count, and then only hidden
+elements are left out. The ratios are smoothed with
 a Gaussian and cut at their standard deviation; the lines above are the
 content cluster. The content region is the innermost element that holds nearly
 all of the cluster's characters (an article or main element that holds most of
@@ -13,8 +18,9 @@ elements are the text: short paragraphs of an article fall under the threshold
 but stand in its region.
 
 Special cases: null, empty and white-space pages give the empty text, and so
-do pages without text outside excluded elements; broken, unclosed and cut-off
-markup is read as the parser reads it; repeated rows each get their own
+do pages whose excluded elements hold links only; broken, unclosed and cut-off
+markup is read as the parser reads it, and a silent element without its end
+tag ends at the first block in it or with its parent; repeated rows each get their own
 result; an empty table gives an empty result; only the kept columns and the
 page are read. A page is handled whole, one at a time.
 """
@@ -38,13 +44,16 @@ REGION, ARTICLE = 0.9, 0.5
 
 #: Fixed lists of HTML elements: whose text is never shown as text, that never hold the article,
 #: that hold others, and that only end a line.
-SILENT = frozenset("script style noscript template iframe object svg canvas head title select textarea button option "
+SILENT = frozenset("script style noscript template iframe object svg canvas title select textarea button option "
                    "datalist audio video map math".split())
 BOILERPLATE = frozenset("nav footer aside form dialog menu".split())
 CONTAINERS = frozenset("html body div section article main header nav footer aside form dialog menu ul ol dl table tbody "
                        "thead tfoot tr td th blockquote figure fieldset details center".split())
 LINES = CONTAINERS | frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre br hr address caption figcaption summary legend "
                                "hgroup label".split())
+#: Elements without an end, and those of them that a head may hold.
+VOID = frozenset("br hr img input meta link base area col embed param source track wbr".split())
+HEAD = frozenset(("meta", "link", "base"))
 
 #: Words of class, id and role that mark what is not the article: whole words, and beginnings of words.
 MARK_WORDS = frozenset("ad ads adv nav menu aside footer header banner cookie cookies notice alert popup modal social "
@@ -52,7 +61,9 @@ MARK_WORDS = frozenset("ad ads adv nav menu aside footer header banner cookie co
                        "copyright toc widget reply replies respond skip navigation complementary contentinfo".split())
 MARK_STARTS = ("advert", "sponsor", "promo", "sidebar", "navbar", "comment", "disqus", "newsletter", "subscri", "consent",
                "gdpr", "recommend", "navig", "footer", "masthead")
-#: Of those, what an article may have inside it as its own head.
+#: Of those, the beginnings of words that mark readers' own texts.
+READERS = ("comment", "disqus", "repl", "respond")
+#: Of the marks, what an article may have inside it as its own head.
 OWN_HEAD = frozenset(("header",))
 
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -76,65 +87,143 @@ def hidden(attrs: list[tuple[str, str | None]]) -> bool:
                for n, v in attrs)
 
 
-class Lines(HTMLParser):
-    """A page as lines: text, characters outside links, tags, container; and the containers' parents."""
+class Events(HTMLParser):
+    """A page's events, and for each silent element the event that its silence ends before.
+
+    That is its own end tag or, where that is missing, the first block inside
+    it or else the end of its parent. Silence without its own end tag hides no
+    block.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, int]] = []
-        self.parent, self.name, self.excluded = [-1], ["html"], [False]
+        self.events: list[tuple] = []
+        self.ends: dict[int, int] = {}
+        #: Open blocks and silent elements: tag, event, first block inside.
+        self.open: list[list] = []
+
+    def handle_starttag(self, tag, attrs):
+        here = len(self.events)
+        self.events.append((tag, attrs))
+        if tag in VOID or not (tag in LINES or tag in SILENT):
+            return
+        if self.open and (self.open[-1][0] == tag == "option" or tag in LINES and self.open[-1][0] == "p"):
+            self.leave(len(self.open) - 1, here)
+        if tag in LINES:
+            for k in range(len(self.open) - 1, -1, -1):
+                if self.open[k][0] not in SILENT or self.open[k][2] is not None:
+                    break
+                self.open[k][2] = here
+        self.open.append([tag, here, None])
+
+    def handle_startendtag(self, tag, attrs):
+        if tag not in SILENT:
+            self.events.append((tag, attrs))
+            if tag in CONTAINERS:
+                self.events.append((tag,))
+
+    def handle_endtag(self, tag):
+        here = len(self.events)
+        self.events.append((tag,))
+        if tag in LINES or tag in SILENT:
+            for k in range(len(self.open) - 1, -1, -1):
+                if self.open[k][0] == tag:
+                    own = self.open[k][1] if tag in SILENT else None
+                    self.leave(k, here)
+                    if own is not None:
+                        self.ends[own] = here + 1
+                    break
+                if self.open[k][0] in CONTAINERS and tag not in CONTAINERS and tag not in SILENT:
+                    break
+
+    def handle_data(self, data):
+        self.events.append((None, data))
+
+    def unknown_decl(self, data):
+        """Marked sections are no text."""
+
+    def leave(self, k: int, here: int) -> None:
+        """Elements from the ``k``-th open one end before event ``here``."""
+        for tag, at, block in self.open[k:]:
+            if tag in SILENT:
+                self.ends[at] = here if block is None else block
+        del self.open[k:]
+
+    def close(self):
+        super().close()
+        self.leave(0, len(self.events))
+
+
+class Lines:
+    """A page as lines: text, characters outside links, tags, container, why dropped; and the containers' parents.
+
+    Why a container or line is left out: MARK by a word (or a form, which may
+    hold the whole page), PART by its element, HIDDEN by its style; 0 if it isn't.
+    """
+
+    MARK, PART, HIDDEN = 1, 2, 3
+
+    def __init__(self):
+        self.lines: list[tuple[str, int, int, int, int]] = []
+        self.parent, self.name, self.why, self.readers = [-1], ["html"], [0], [False]
         self.open: list[int] = [0]
-        self.silent: list[str] = []
+        self.head = False
         self.links = 0
         self.parts: list[str] = []
         self.chars = self.tags = 0
-        self.dropped = False
+        self.dropped = 0
+
+    def read(self, page: Events) -> None:
+        at = 0
+        while at < len(page.events):
+            event = page.events[at]
+            if event[0] is None:
+                self.data(event[1])
+            elif len(event) == 1:
+                self.end(event[0])
+            elif event[0] in SILENT and at in page.ends:
+                at = page.ends[at]
+                continue
+            else:
+                self.start(*event)
+            at += 1
+        self.end_line()
 
     def end_line(self) -> None:
         text = _SPACE.sub(" ", "".join(self.parts)).strip()
-        if text and not self.dropped:
-            self.lines.append((text, self.chars, self.tags, self.open[-1]))
-        self.parts, self.chars, self.tags, self.dropped = [], 0, 0, False
+        if text:
+            self.lines.append((text, self.chars, self.tags, self.open[-1], self.dropped))
+        self.parts, self.chars, self.tags, self.dropped = [], 0, 0, 0
 
-    def handle_starttag(self, tag, attrs):
-        if self.silent:
-            if tag == self.silent[-1]:
-                self.silent.append(tag)
-            return
-        if tag in SILENT:
-            self.silent.append(tag)
+    def start(self, tag, attrs):
+        if tag == "head" or self.head and tag in HEAD:
+            self.head = True
             return
+        self.head = False
         if tag in LINES:
             self.end_line()
         self.tags += 1
         if tag == "a":
             self.links = 1
         if tag in LINES and tag not in CONTAINERS:
-            self.dropped = bool(marks(attrs) - OWN_HEAD) or hidden(attrs)
+            self.dropped = self.HIDDEN if hidden(attrs) else self.MARK if marks(attrs) - OWN_HEAD else 0
         elif tag in CONTAINERS and tag != "html":
             at = self.open[-1]
             inside = self.within(at, ("article", "main"))
-            out = self.excluded[at] or tag in BOILERPLATE or hidden(attrs) or tag == "header" and not inside
             words = marks(attrs)
-            out = out or bool(words - OWN_HEAD if inside else words) and tag not in ("body", "main")
+            why = (self.HIDDEN if hidden(attrs) else
+                   self.PART if tag in BOILERPLATE and tag != "form" or tag == "header" and not inside else
+                   self.MARK if tag == "form" or (words - OWN_HEAD if inside else words) and tag not in ("body", "main")
+                   else 0)
             self.parent.append(at)
             self.name.append(tag)
-            self.excluded.append(out)
+            self.why.append(why)
+            self.readers.append(any(w.startswith(READERS) for w in words))
             self.open.append(len(self.name) - 1)
 
-    def handle_startendtag(self, tag, attrs):
-        if tag in SILENT:
-            return
-        self.handle_starttag(tag, attrs)
-        if tag in CONTAINERS:
-            self.handle_endtag(tag)
-
-    def handle_endtag(self, tag):
-        if self.silent:
-            if tag == self.silent[-1]:
-                self.silent.pop()
-            elif tag in ("head", "body", "html"):
-                self.silent.clear()
+    def end(self, tag):
+        if tag == "head":
+            self.head = False
             return
         if tag in LINES:
             self.end_line()
@@ -146,11 +235,10 @@ class Lines(HTMLParser):
                     del self.open[k:]
                     break
 
-    def handle_data(self, data):
-        if not self.silent:
-            self.parts.append(data)
-            if not self.links:
-                self.chars += len(data) - data.count(" ")
+    def data(self, data):
+        self.parts.append(data)
+        if not self.links:
+            self.chars += len(data) - data.count(" ")
 
     def within(self, at: int, names: tuple[str, ...]) -> bool:
         while at >= 0:
@@ -159,8 +247,43 @@ class Lines(HTMLParser):
             at = self.parent[at]
         return False
 
-    def unknown_decl(self, data):
-        """Marked sections are no text."""
+    def below(self, own: np.ndarray) -> np.ndarray:
+        """Sums over each container and all in it."""
+        own = own.copy()
+        for k in range(len(own) - 1, 0, -1):  # a container comes after its parent
+            own[self.parent[k]] += own[k]
+        return own
+
+    def out(self, least: int) -> np.ndarray:
+        """Which containers are left out for reason ``least`` or a stronger one, with all below them."""
+        found = np.array(self.why) >= least
+        for k in range(1, len(found)):
+            found[k] |= found[self.parent[k]]
+        return found
+
+    def excused(self) -> None:
+        """Take the marks off containers that hold the article or most of the page's text."""
+        hard, n = self.out(self.PART), len(self.name)
+        chars = np.zeros(n)
+        for _, c, _, at, dropped in self.lines:
+            if not hard[at] and dropped < self.PART:
+                chars[at] += c
+        chars = self.below(chars)
+        depth = np.zeros(n, int)  # marks on the way to a container
+        for k in range(n):
+            depth[k] = (self.why[k] == self.MARK) + (depth[self.parent[k]] if k else 0)
+        articles = [k for k in range(n) if self.name[k] in ("article", "main") and chars[k] > 0]
+        least = min((depth[k] for k in articles), default=0)
+        some, held = np.zeros(n), np.zeros(n)
+        some[articles] = 1
+        held[[k for k in articles if depth[k] == least]] = 1
+        some, held = self.below(some), self.below(held)
+        for k in range(n):
+            most = chars[k] > chars[0] / 2 and self.name[k] != "form"
+            if self.why[k] == self.MARK and (held[k] or most and (not articles or some[k] and not self.readers[k])):
+                self.why[k] = 0
+        if not articles:
+            self.lines = [x[:4] + (0,) if x[4] == self.MARK and x[1] > chars[0] / 2 else x for x in self.lines]
 
 
 def smooth(x: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -169,27 +292,20 @@ def smooth(x: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     return np.convolve(np.pad(x, radius, mode="edge"), kernel / kernel.sum(), mode="valid")
 
 
-def main_text(html: str | None) -> str:
-    """The article's text of a page, blocks joined by one space."""
-    if not html or not html.strip():
-        return ""
-    page = Lines()
-    # a marked section's content is no text; the parser stops at kinds that it doesn't know
-    page.feed(html.replace("<![", "<!x["))
-    page.close()
-    page.end_line()
-    lines = [x for x in page.lines if not page.excluded[x[3]]]
-    if not lines:
-        return ""
-    chars = np.array([c if not page.excluded[at] else 0 for _, c, _, at in page.lines], float)
-    ratio = smooth(chars / np.maximum([t for _, _, t, _ in page.lines], 1))
-    shown = np.array([not page.excluded[at] for _, _, _, at in page.lines])
-    content = (ratio >= min(ratio.std(), ratio[shown].max())) & shown
+def content(page: Lines, least: int) -> str | None:
+    """The text of a page without what is left out for reason ``least`` or a stronger one; None if nothing is shown."""
+    excluded = page.out(least)
+    lines = [x for x in page.lines if x[4] < least]
+    shown = np.array([not excluded[x[3]] for x in lines], bool)
+    if not any(x[1] or least == page.MARK for x, s in zip(lines, shown) if s):
+        return None
+    chars = np.array([x[1] for x in lines], float) * shown
+    ratio = smooth(chars / np.maximum([x[2] for x in lines], 1))
+    cluster = (ratio >= min(ratio.std(), ratio[shown].max())) & shown
     mass = np.zeros(len(page.name))
-    for k in np.flatnonzero(content):
-        mass[page.lines[k][3]] += len(page.lines[k][0])
-    for k in range(len(mass) - 1, 0, -1):  # a container comes after its parent
-        mass[page.parent[k]] += mass[k]
+    for k in np.flatnonzero(cluster):
+        mass[lines[k][3]] += len(lines[k][0])
+    mass = page.below(mass)
     article = [k for k, n in enumerate(page.name) if n in ("article", "main") and mass[k] >= ARTICLE * mass[0]]
     holding = article or [k for k in range(len(mass)) if mass[k] >= REGION * mass[0]]
     region = min(holding, key=lambda k: (mass[k], -k)) if not article else max(holding, key=lambda k: (mass[k], k))
@@ -197,7 +313,25 @@ def main_text(html: str | None) -> str:
     inside[region] = True
     for k in range(region + 1, len(page.name)):
         inside[k] = inside[page.parent[k]]
-    return " ".join([text for text, _, _, at in lines if inside[at]])
+    return " ".join([x[0] for x, s in zip(lines, shown) if s and inside[x[3]]])
+
+
+def main_text(html: str | None) -> str:
+    """The article's text of a page, blocks joined by one space."""
+    if not html or not html.strip():
+        return ""
+    events = Events()
+    # a marked section's content is no text; the parser stops at kinds that it doesn't know
+    events.feed(html.replace("<![", "<!x["))
+    events.close()
+    page = Lines()
+    page.read(events)
+    page.excused()
+    for least in (page.MARK, page.PART, page.HIDDEN):
+        text = content(page, least)
+        if text is not None:
+            return text
+    return ""
 
 
 def extract(pages: DataFrame, keep: tuple = ("page_id", "url"), html: str = "html") -> DataFrame:

@@ -298,6 +298,27 @@ def test_main_text(page, text):
     assert html_text.main_text(page) == text
 
 
+LONG = "<p>Words of the text are here and there, and many more of them follow.</p>" * 6
+SAID = " ".join(["Words of the text are here and there, and many more of them follow."] * 6)
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<html><head><title>T</title><meta name=x><body>" + LONG + "</body></html>", SAID),
+    ("<html><head><title>T</title>" + LONG, SAID),
+    ("<div><button>Menu</div>" + LONG, SAID), ("<button>Menu" + LONG, SAID), ("<div><select><option>A<option>B</div>" + LONG, SAID),
+    ("<object data=x>" + LONG, SAID), (LONG + "<button><div>Menu</div></button><select><option>A<option>B</select>", SAID),
+    ("<div class='content no-sidebar'><article>" + LONG + "</article><div class='sidebar'>side</div></div>", SAID),
+    ("<div class='has-header-image'>" + LONG + "</div><div class='promo'>Buy</div>", SAID),
+    ("<nav>menu</nav><article class='post category-social'>" + LONG + "</article><div id='comments'><article class='comment'>"
+     + "<p>A reader has much to say about this text.</p>" * 30 + "</article></div>", SAID),
+    ("<form id='aspnetForm'><nav><a href=x>menu</a></nav>" + LONG + "</form>", SAID), ("<aside>" + LONG + "</aside>", SAID),
+    ("<nav><a href=x>menu</a></nav><p hidden>secret</p>", ""),
+    ("<div class='ad'>Buy this and that, and more of it.</div><article><h1>Short.</h1></article>", "Short."),
+])
+def test_main_text_is_not_lost_to_marks_and_open_elements(page, text):
+    assert html_text.main_text(page) == text
+
+
 def test_small_blocks_find_the_same_neighbours(spark, edge):
     from starloom.llm.common import table
 
