@@ -11,11 +11,11 @@ the page has article or main elements, one of them (comments excepted). If
 that leaves no line, the words and forms don't count, and then only hidden
 elements are left out. The ratios are smoothed with
 a Gaussian and cut at their standard deviation; the lines above are the
-content cluster. The content region is the innermost element that holds nearly
-all of the cluster's characters (an article or main element that holds most of
-them, if there is one). All its lines that are not inside such excluded
-elements are the text: short paragraphs of an article fall under the threshold
-but stand in its region.
+content cluster. The content region is the innermost element that holds all
+lines of the cluster (those of links alone don't count) and all article and
+main elements with text; lists, tables, quotations and sections are no regions.
+All its lines that are not inside excluded elements are the text: short
+paragraphs of an article fall under the threshold but stand in its region.
 
 Special cases: null, empty and white-space pages give the empty text, and so
 do pages whose excluded elements hold links only; broken, unclosed and cut-off
@@ -39,8 +39,6 @@ from pyspark.sql import functions as F
 from .common import by_text
 
 SIGMA = 1.0
-#: Share of the content cluster that the region holds, and that an article element needs.
-REGION, ARTICLE = 0.9, 0.5
 
 #: Fixed lists of HTML elements: whose text is never shown as text, that never hold the article,
 #: that hold others, and that only end a line.
@@ -49,6 +47,8 @@ SILENT = frozenset("script style noscript template iframe object svg canvas titl
 BOILERPLATE = frozenset("nav footer aside form dialog menu".split())
 CONTAINERS = frozenset("html body div section article main header nav footer aside form dialog menu ul ol dl table tbody "
                        "thead tfoot tr td th blockquote figure fieldset details center".split())
+#: Containers inside a text, which are no region of their own.
+FLOW = frozenset("section ul ol dl table tbody thead tfoot tr td th blockquote figure".split())
 LINES = CONTAINERS | frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre br hr address caption figcaption summary legend "
                                "hgroup label".split())
 #: Elements without an end, and those of them that a head may hold.
@@ -302,13 +302,18 @@ def content(page: Lines, least: int) -> str | None:
     chars = np.array([x[1] for x in lines], float) * shown
     ratio = smooth(chars / np.maximum([x[2] for x in lines], 1))
     cluster = (ratio >= min(ratio.std(), ratio[shown].max())) & shown
-    mass = np.zeros(len(page.name))
-    for k in np.flatnonzero(cluster):
-        mass[lines[k][3]] += len(lines[k][0])
-    mass = page.below(mass)
-    article = [k for k, n in enumerate(page.name) if n in ("article", "main") and mass[k] >= ARTICLE * mass[0]]
-    holding = article or [k for k in range(len(mass)) if mass[k] >= REGION * mass[0]]
-    region = min(holding, key=lambda k: (mass[k], -k)) if not article else max(holding, key=lambda k: (mass[k], k))
+    # what the region holds: the cluster's lines with text outside links, and the articles with such text
+    anchor = cluster & (chars > 0) if chars.any() else cluster
+    own, text = np.zeros(len(page.name)), np.zeros(len(page.name))
+    for k in np.flatnonzero(shown):
+        own[lines[k][3]] += anchor[k]
+        text[lines[k][3]] += chars[k]
+    text = page.below(text)
+    own += [n in ("article", "main") and t > 0 and not out for n, t, out in zip(page.name, text, excluded)]
+    own = page.below(own)
+    region = max(np.flatnonzero(own == own[0]).tolist())  # the innermost, as a container comes after its parent
+    while page.name[region] in FLOW:
+        region = page.parent[region]
     inside = np.zeros(len(page.name), bool)
     inside[region] = True
     for k in range(region + 1, len(page.name)):

@@ -319,6 +319,25 @@ def test_main_text_is_not_lost_to_marks_and_open_elements(page, text):
     assert html_text.main_text(page) == text
 
 
+ITEMS = [f"Item {i} of the list is a sentence of some words, like the others." for i in range(40)]
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<nav><a href=x>menu</a></nav><div><p>These words come before the list that follows them.</p><ul>"
+     + "".join(f"<li>{x}" for x in ITEMS) + "</ul><p>These words come behind the list.</p></div><footer>foot</footer>",
+     " ".join(["These words come before the list that follows them.", *ITEMS, "These words come behind the list."])),
+    ("<table><tr><td><blockquote>" + "".join(f"<p>{x}</p>" for x in ITEMS) + "</blockquote></td></tr></table><p>Short end.</p>",
+     " ".join([*ITEMS, "Short end."])),
+    ("<article>" + LONG + "</article><article>" + LONG + "</article>", SAID + " " + SAID),
+    ("<article>" + LONG * 9 + "</article><article><p>Brief.</p></article>", " ".join([SAID] * 9 + ["Brief."])),
+    ("<div><p>A standfirst says in some words what the whole text is about.</p></div><div><article>" + LONG + "</article></div>",
+     "A standfirst says in some words what the whole text is about. " + SAID),
+    ("<div><div><h1>A headline over it</h1></div><div>" + LONG + "</div></div>", "A headline over it " + SAID),
+])
+def test_main_text_has_all_content(page, text):
+    assert html_text.main_text(page) == text
+
+
 def test_small_blocks_find_the_same_neighbours(spark, edge):
     from starloom.llm.common import table
 
