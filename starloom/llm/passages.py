@@ -4,12 +4,11 @@ A passage is a run of at least ``length`` words (A-Z lower-cased) that stands
 in two or more documents. Of a document's suffixes only those at minimiser
 positions are retained: in every window of ``length`` words, the ``gram``-word
 beginning with the smallest hash (the last of equal ones), so equal windows
-retain the same suffix. The retained suffixes are sorted by their first
-``gram`` words; a suffix without an equal neighbour from another document is
-dropped, which drops nearly all text that repeats nowhere. The matches of the
-others are extended left and right, to every window of ``length`` words around
-them that chose that suffix, and a window that stands in two documents is a
-match. Overlapping and touching matches of a document are one span. Windows
+retain the same suffix. The retained suffixes are grouped by the hash of their
+first ``gram`` words (nothing is sorted); a suffix without an equal one from
+another document is dropped, which drops nearly all text that repeats nowhere.
+Of the others every window of ``length`` words around them that chose that
+suffix is taken, and a window that stands in two documents is a match. Overlapping and touching matches of a document are one span. Windows
 are compared by a 64-bit polynomial hash of 64-bit word hashes.
 
 On Spark: suffixes, contexts and windows are aggregates with partial sums, so
