@@ -28,12 +28,12 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def small_batches(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
+def small_batches(batches: Iterator[pa.RecordBatch], text: str, chars: int = BATCH_CHARS) -> Iterator[pa.RecordBatch]:
     """Re-cut Arrow batches so that one holds a bounded amount of text."""
     for batch in batches:
         n = batch.num_rows
         size = batch.column(batch.schema.get_field_index(text)).nbytes
-        step = max(1, int(n * BATCH_CHARS / size)) if size > BATCH_CHARS else max(n, 1)
+        step = max(1, int(n * chars / size)) if size > chars else max(n, 1)
         for at in range(0, n, step):
             yield batch.slice(at, step)
 

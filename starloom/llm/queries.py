@@ -12,7 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, html_text, neighbours, passages, quality, secrets, simhash, tokenize, toxicity
+from . import (chat, decontaminate, divergence, fim, html_text, neighbours, passages, quality, secrets, simhash, tokenize,
+               toxicity)
 from .common import table
 
 #: Folder of the public vocabulary files; they are read, never copied.
@@ -73,6 +74,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(fim.transform(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_passages": op1_passages,
     "op2_decontaminate": op2_decontaminate,
@@ -84,10 +93,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat": op8_chat,
     "op9_neighbours": op9_neighbours,
     "op10_toxicity": op10_toxicity,
+    "op11_divergence": op11_divergence,
+    "op13_fim": op13_fim,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_decontaminate": decontaminate.ORACLE,
     "op3_secrets": secrets.ORACLE,
     "op8_chat": chat.ORACLE,
+    "op11_divergence": divergence.ORACLE,
+    "op13_fim": fim.ORACLE,
 }
