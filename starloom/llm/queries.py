@@ -12,8 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat, decontaminate, divergence, fim, html_text, neighbours, passages, quality, secrets, simhash, tokenize,
-               toxicity)
+from . import (chat, decontaminate, divergence, fim, html_text, mixing, neighbours, passages, quality, secrets, simhash,
+               tokenize, toxicity)
 from .common import table
 
 #: Folder of the public vocabulary files; they are read, never copied.
@@ -78,6 +78,10 @@ def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
 
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
+
+
 def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.digests(fim.transform(table(spark, sf_dir, "documents")))
 
@@ -94,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_neighbours": op9_neighbours,
     "op10_toxicity": op10_toxicity,
     "op11_divergence": op11_divergence,
+    "op12_mixing": op12_mixing,
     "op13_fim": op13_fim,
 }
 
@@ -102,5 +107,6 @@ ORACLE_SQL: dict[str, str] = {
     "op3_secrets": secrets.ORACLE,
     "op8_chat": chat.ORACLE,
     "op11_divergence": divergence.ORACLE,
+    "op12_mixing": mixing.ORACLE,
     "op13_fim": fim.ORACLE,
 }
