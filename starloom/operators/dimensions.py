@@ -8,7 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .detail import UNKNOWN_ID, KeyMap, resolve_keys
+from ..session import checkpoint_dir
+from .detail import UNKNOWN_ID, KeyMap, changed, resolve_keys
 from .ids import dense_ids
 from .joins import BROADCAST_BYTES, carry_known
 from .lookups import max_id, usable_value
@@ -34,9 +35,28 @@ def build_dimension(df: DataFrame, key: str, attrs: Sequence[str], order: Sequen
     return carry_known(ided, ided.select(id_col, out_key, *attrs))
 
 
+def classify(existing: DataFrame, latest: DataFrame, key: str, attrs: Sequence[str], id_col: str,
+             class_col: str = "class") -> DataFrame:
+    """Both sides of an upsert in one full outer join, each row once.
+
+    ``class_col`` is ``new`` (only in ``latest``; its id is NULL), ``changed``,
+    ``same`` (both; NULL-safe compare) or ``gone`` (only in ``existing``). The
+    attributes are those of ``latest`` where it has the key. Keys are unique
+    on either side; a NULL key matches nothing.
+    """
+    t = existing.select(id_col, key, *attrs, F.lit(True).alias("_sl_old")).alias("_t")
+    s = latest.select(key, *attrs, F.lit(True).alias("_sl_hit")).alias("_s")
+    is_new, hit = F.col("_t._sl_old").isNull(), F.col("_s._sl_hit").isNotNull()
+    differs = changed(list(attrs))
+    return t.join(s, F.col(f"_t.{key}") == F.col(f"_s.{key}"), "full").select(
+        F.col(f"_t.{id_col}"), F.coalesce(F.col(f"_s.{key}"), F.col(f"_t.{key}")).alias(key),
+        *[F.when(hit, F.col(f"_s.{a}")).otherwise(F.col(f"_t.{a}")).alias(a) for a in attrs],
+        F.when(is_new, "new").when(~hit, "gone").when(differs, "changed").otherwise("same").alias(class_col))
+
+
 def upsert_dimension(existing: DataFrame, df: DataFrame, key: str, attrs: Sequence[str],
                      order: Sequence[str] | str, id_col: str, source_key: str | None = None,
-                     keep: str = "nonblank") -> DataFrame:
+                     keep: str = "nonblank", class_col: str | None = None) -> DataFrame:
     """SCD type 1.
 
     * key in both: same id, attributes from the newest source row
@@ -44,7 +64,9 @@ def upsert_dimension(existing: DataFrame, df: DataFrame, key: str, attrs: Sequen
     * key only in ``existing``: kept unchanged;
     * key only in the source: new id ``max(id) + 1..`` in key order.
 
-    Running it twice with the same source gives the same table.
+    The two sides meet once (``classify``); that join is kept as a checkpoint,
+    from which the kept rows and the new ones are taken. ``class_col`` adds
+    each row's class. Running it twice with the same source gives the same table.
     """
     skey = source_key or key
     attrs = list(attrs)
@@ -52,17 +74,13 @@ def upsert_dimension(existing: DataFrame, df: DataFrame, key: str, attrs: Sequen
     latest = latest_per_key(src, skey, order, attrs)
     if skey != key:
         latest = latest.withColumnRenamed(skey, key)
-    s = latest.withColumn("_sl_hit", F.lit(True)).alias("_s")
-    t = existing.select(id_col, key, *attrs).alias("_t")
-    kept = t.join(s, F.col(f"_t.{key}") == F.col(f"_s.{key}"), "left").select(
-        F.col(f"_t.{id_col}"), F.col(f"_t.{key}"),
-        *[F.when(F.col("_s._sl_hit"), F.col(f"_s.{a}")).otherwise(F.col(f"_t.{a}")).alias(a)
-          for a in attrs])
-    fresh = latest.join(existing.select(key), key, "left_anti")
-    start = max_id(existing, id_col) + 1
-    added = dense_ids(fresh, [key], id_col, start=start,
+    checkpoint_dir(existing.sparkSession)
+    named = class_col or "_sl_class"
+    rows = classify(existing, latest, key, attrs, id_col, named).checkpoint(eager=True)
+    out = [id_col, key, *attrs, *([class_col] if class_col else [])]
+    added = dense_ids(rows.where(F.col(named) == "new").drop(id_col), [key], id_col, start=max_id(existing, id_col) + 1,
                       id_type=existing.schema[id_col].dataType.simpleString())
-    return kept.unionByName(added.select(id_col, key, *attrs))
+    return rows.where(F.col(named) != "new").select(*out).unionByName(added.select(*out))
 
 
 def build_child_dimension(df: DataFrame, child: str, parent: str, parent_dim: DataFrame,

@@ -10,8 +10,10 @@ previous version of a table it is rewriting (incremental loads).
 from __future__ import annotations
 
 import uuid
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from threading import RLock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,8 +33,8 @@ from ..operators.lookups import build_lookup, build_lookups, extend_lookup
 from ..operators.quality import check_not_empty, check_unique, run_checks
 from ..operators.ranks import measure_by_child, measure_by_child_count, rank_by
 from ..sources.documents import read_permission_feed
-from ..sources.lake import (publish_star, publish_table, read_if_exists, read_table, table_exists,
-                            upsert_in_place)
+from ..sources.lake import (StarReport, append_rows, publish_star, publish_table, read_if_exists, read_star,
+                            read_table, table_exists, upsert_buckets)
 from ..session import checkpoint_dir
 from ..sources.text import read_app_feed
 
@@ -182,15 +184,21 @@ def app_dimensions(records: DataFrame, existing: dict[str, DataFrame | None] | N
         return {NAMES.developer: dev_job.result(), **lookup_job.result()}
 
 
+def key_maps(dims: Mapping[str, DataFrame]) -> list[KeyMap]:
+    """How APP's keys resolve, for the dimensions given."""
+    maps = [KeyMap(col, dims[getattr(NAMES, attr)], desc_col, id_col)
+            for col, attr, id_col, desc_col in LOOKUPS if getattr(NAMES, attr) in dims]
+    if NAMES.developer in dims:
+        maps.append(KeyMap("Developer_Id", dims[NAMES.developer], "Developer_Name",
+                           "Developer_Id", out="Developer_Key"))
+    return maps
+
+
 def app_detail(records: DataFrame, dims: dict[str, DataFrame], opts: Options = Options(),
                existing: DataFrame | None = None) -> DataFrame:
     """APP (C7) from cleaned records and the dimensions; upserted into
     ``existing`` by ``App_Id`` when given."""
-    maps = [KeyMap(col, dims[getattr(NAMES, attr)], desc_col, id_col)
-            for col, attr, id_col, desc_col in LOOKUPS]
-    maps.append(KeyMap("Developer_Id", dims[NAMES.developer], "Developer_Name",
-                       "Developer_Id", out="Developer_Key"))
-    app = build_detail(records, maps, app_columns(opts))
+    app = build_detail(records, key_maps(dims), app_columns(opts))
     if existing is not None and opts.incremental_app:
         app = upsert_detail(existing, app, "App_Id", APP_NEWEST)
     return app
@@ -230,36 +238,103 @@ def app_permission(perms: DataFrame, ptype: DataFrame, perm: DataFrame,
     return bridge.distinct() if opts.dedupe_bridge else bridge
 
 
-def build_model(records: DataFrame, perms: DataFrame, opts: Options = Options()
-                ) -> dict[str, DataFrame]:
-    """Every lake table but APP_FACT as frames (initial load); see ``app_fact``.
+# Where an APP column's key comes from: (dimension, its source column); the others copy or clean one column.
+KEY_DIMENSIONS = {id_col: (getattr(NAMES, attr), col) for col, attr, id_col, _ in LOOKUPS} | {
+    "Developer_Id": (NAMES.developer, "Developer_Id")}
 
-    The parsed and cleaned inputs, APP and APP_PERMISSION are staged as Parquet
-    in the shared folder and read again with the columns each step needs, so
-    each feed is parsed once and a lost executor costs no second parse.
-    """
-    def app_side():
-        cleaned = stage(clean_dates(records))
-        dims = app_dimensions(cleaned)
-        return dims, stage(app_detail(cleaned, dims, opts))
-
-    def permission_side():
-        rows = stage(perms)
-        ptype = permission_types(rows)
-        perm = permissions(rows, ptype, opts)
-        return ({NAMES.permission_type: ptype, NAMES.permission: perm},
-                stage(app_permission(rows, ptype, perm, opts)))
-
-    # The two sides share nothing: submit their jobs side by side (the cluster
-    # runs both job streams; results are unchanged).
-    with ThreadPoolExecutor(max_workers=2) as pool:
-        app_job, perm_job = pool.submit(app_side), pool.submit(permission_side)
-        dims, app = app_job.result()
-        ptabs, bridge = perm_job.result()
-    return {**dims, NAMES.app: app, **ptabs, NAMES.app_permission: bridge}
 
+class Model(Mapping):
+    """The lake tables but APP_FACT as frames (initial load), each built when it is first asked for.
+
+    ``app_columns`` names the columns of APP that are wanted (all by default):
+    only the dimensions behind them are built and only their inputs parsed.
+    The parsed inputs, APP and APP_PERMISSION are staged as Parquet in the
+    shared folder and read again with the columns each step needs, so each
+    feed is parsed once and a lost executor costs no second parse.
+    """
 
-def model_fact(model: dict[str, DataFrame]) -> DataFrame:
+    def __init__(self, records: DataFrame, perms: DataFrame, opts: Options = Options(),
+                 app_columns: Sequence[str] | None = None):
+        self.records, self.perms, self.opts, self.app_columns = records, perms, opts, app_columns
+        self._made: dict[str, DataFrame] = {}
+        self._locks = {name: RLock() for name in (*self, "records", "perms")}
+
+    def __iter__(self):
+        return iter([NAMES.developer, *[getattr(NAMES, attr) for _, attr, _, _ in LOOKUPS], NAMES.app,
+                     NAMES.permission_type, NAMES.permission, NAMES.app_permission])
+
+    def __len__(self):
+        return len(list(iter(self)))
+
+    def _once(self, name: str, make) -> DataFrame:
+        with self._locks[name]:
+            if name not in self._made:
+                self._made[name] = make()
+            return self._made[name]
+
+    def _cleaned(self) -> DataFrame:
+        def make():
+            if self.app_columns is None:
+                return stage(clean_dates(self.records))
+            # keys stay text until they are resolved, the other columns' rules apply at once
+            keys = [KEY_DIMENSIONS[c][1] for c in self.app_columns if c in KEY_DIMENSIONS]
+            rules = dict(app_columns(self.opts))
+            plain = [rules[c].alias(c) for c in self.app_columns if c not in KEY_DIMENSIONS]
+            return stage(clean_dates(self.records).select(*dict.fromkeys(keys), *plain))
+        return self._once("records", make)
+
+    def _dims(self) -> list[str]:
+        return list(dict.fromkeys(KEY_DIMENSIONS[c][0] for c in self.app_columns if c in KEY_DIMENSIONS))
+
+    def _app(self) -> DataFrame:
+        if self.app_columns is None:
+            return stage(app_detail(self._cleaned(), self, self.opts))
+        resolved = resolve_keys(self._cleaned(), key_maps({n: self[n] for n in self._dims()}))
+        return resolved.select(*["Developer_Key" if c == "Developer_Id" else c for c in self.app_columns]).withColumnsRenamed(
+            {"Developer_Key": "Developer_Id"})
+
+    def _dimension(self, name: str) -> DataFrame:
+        if self.app_columns is None:
+            self._made.update(app_dimensions(self._cleaned()))
+            return self._made[name]
+        for col, attr, id_col, desc_col in LOOKUPS:
+            if getattr(NAMES, attr) == name:
+                return build_lookup(self._cleaned(), col, id_col, desc_col)
+        # a report reads the developers' names and ids, which no attribute changes
+        return build_lookup(self._cleaned(), "Developer_Id", "Developer_Id", "Developer_Name")
+
+    def _rows(self) -> DataFrame:
+        return self._once("perms", lambda: stage(self.perms))
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name == NAMES.app:
+            return self._once(name, self._app)
+        if name == NAMES.permission_type:
+            return self._once(name, lambda: permission_types(self._rows()))
+        if name == NAMES.permission:
+            return self._once(name, lambda: permissions(self._rows(), self[NAMES.permission_type], self.opts))
+        if name == NAMES.app_permission:
+            return self._once(name, lambda: stage(app_permission(
+                self._rows(), self[NAMES.permission_type], self[NAMES.permission], self.opts)))
+        if name not in self._locks:
+            raise KeyError(name)
+        with self._locks[NAMES.developer]:  # with all columns one pass builds every dimension
+            return self._once(name, lambda: self._dimension(name))
+
+    def side_by_side(self, *names: str) -> list[DataFrame]:
+        """Several tables, built at the same time where they don't need each other."""
+        with ThreadPoolExecutor(max_workers=len(names)) as pool:
+            return list(pool.map(self.__getitem__, names))
+
+
+def build_model(records: DataFrame, perms: DataFrame, opts: Options = Options()) -> Model:
+    """Every lake table but APP_FACT (initial load), both feeds' sides built at once."""
+    model = Model(records, perms, opts)
+    model.side_by_side(NAMES.app, NAMES.app_permission)
+    return model
+
+
+def model_fact(model: Mapping[str, DataFrame]) -> DataFrame:
     """APP_FACT of ``build_model``'s tables."""
     return app_fact(model[NAMES.app], model[NAMES.app_permission], model[NAMES.permission])
 
@@ -275,10 +350,20 @@ def load_app_layer(spark: SparkSession, feed: str, root: str,
 
 
 def keep_rejects(rejects: DataFrame, path: str) -> str:
-    """Publish a feed's rejects: those known before and the new ones (each line once)."""
-    old = read_if_exists(rejects.sparkSession, path)
-    rows = rejects if old is None else old.unionByName(rejects)
-    return publish_table(rows.distinct(), path)
+    """Append a delivery's rejects: (line, n_fields, file, n_lines), one row per
+    file and different line. Rows of files known before are not added again, so
+    a delivery that is repeated changes nothing; no earlier delivery is rewritten."""
+    spark = rejects.sparkSession
+    if "file" not in rejects.columns:
+        rejects = rejects.withColumn("file", F.lit(None).cast("string"))
+    new = rejects.groupBy("line", "n_fields", "file").agg(F.count(F.lit(1)).alias("n_lines"))
+    if table_exists(spark, path):
+        old = read_table(spark, path)
+        same = new["line"].eqNullSafe(old["line"]) & new["file"].eqNullSafe(old["file"])
+        new = new.join(old, same, "left_anti")
+        if new.isEmpty():
+            return path
+    return append_rows(spark, path, new)
 
 
 def load_app_records(spark: SparkSession, records: DataFrame, root: str,
@@ -292,15 +377,15 @@ def load_app_records(spark: SparkSession, records: DataFrame, root: str,
     records = stage(clean_dates(records))
     names = [NAMES.developer] + [getattr(NAMES, attr) for _, attr, _, _ in LOOKUPS]
     old = {n: read_if_exists(spark, _path(root, n)) for n in names}
-    published = {}
-    for name, frame in app_dimensions(records, old).items():
-        published[name] = publish_table(frame, _path(root, name))
+    frames = app_dimensions(records, old)
+    with ThreadPoolExecutor(max_workers=len(frames)) as pool:  # independent tables
+        published = dict(zip(frames, pool.map(lambda n: publish_table(frames[n], _path(root, n)), frames)))
     dims = {n: read_table(spark, _path(root, n)) for n in names}
     path = _path(root, NAMES.app)
     if opts.app_buckets and opts.incremental_app:
         # of an app's versions in one delivery the last updated one stays, as in the upsert below
-        published[NAMES.app] = upsert_in_place(spark, path, app_detail(records, dims, opts), "App_Id",
-                                               buckets=opts.app_buckets, order=APP_NEWEST)
+        published[NAMES.app] = upsert_buckets(spark, path, app_detail(records, dims, opts), "App_Id",
+                                              buckets=opts.app_buckets, order=APP_NEWEST)
     elif table_exists(spark, path) and opts.incremental_app:
         published[NAMES.app] = publish_table(
             app_detail(records, dims, opts, read_table(spark, path)), path)
@@ -480,30 +565,43 @@ UNIQUE_CHECKS = {
 }
 
 
-def load_warehouse(spark: SparkSession, root: str, warehouse_root: str) -> dict[str, str]:
-    """Conform the lake tables to the warehouse schemas and replace them."""
+def star_checks(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Fact not empty; every dimension not empty and unique on its natural key."""
+    checks = {"APP_FACT not empty": check_not_empty(tables["APP_FACT"])}
+    for name, key in UNIQUE_CHECKS.items():
+        checks[f"{name} not empty"] = check_not_empty(tables[name])
+        checks[f"{name} unique {key}"] = check_unique(tables[name], key)
+    return checks
+
+
+def load_warehouse(spark: SparkSession, root: str, warehouse_root: str,
+                   report: StarReport | None = None) -> dict[str, str]:
+    """Conform the lake tables to the warehouse schemas and replace them,
+    all in one snapshot and only if ``star_checks`` pass on it (``CheckFailed``)."""
     tables = {}
     for lake_name, wh_name in NAMES.warehouse.items():
         tables[wh_name] = (read_table(spark, _path(root, lake_name)), WAREHOUSE_SCHEMAS[wh_name])
-    return publish_star(tables, warehouse_root)
-
-
-def warehouse_checks(spark: SparkSession, warehouse_root: str, root: str | None = None) -> DataFrame:
-    """Fact not empty; every dimension not empty and unique on its
-    natural key; with the lake's ``root`` also that no feed record was
-    rejected (a warning, the load is whole without them). One row (check,
-    passed) per check."""
-    def t(name: str) -> DataFrame:
-        return read_table(spark, _path(warehouse_root, name))
-    checks = {"APP_FACT not empty": check_not_empty(t("APP_FACT"))}
-    for name, key in UNIQUE_CHECKS.items():
-        checks[f"{name} not empty"] = check_not_empty(t(name))
-        checks[f"{name} unique {key}"] = check_unique(t(name), key)
+    return publish_star(tables, warehouse_root, star_checks, report)
+
+
+def warehouse_checks(spark: SparkSession, warehouse_root: str, root: str | None = None,
+                     report: StarReport | None = None) -> DataFrame:
+    """One row (check, passed) per check of ``star_checks``. With the
+    ``report`` of the load they come from it (and were passed before the
+    snapshot was public), with a row per table that no value was lost in its
+    cast; with the lake's ``root`` also that no feed record was rejected. Lost
+    values and rejects are warnings: the load is whole without them."""
+    parts = []
+    if report is None:
+        parts.append(run_checks(star_checks(read_star(spark, warehouse_root))))
+    else:
+        rows = [*report.checks, *[(f"{name} values kept", all(not n for c, n in counts.items() if c != "_rows"))
+                                  for name, counts in sorted(report.lost.items())]]
+        parts.append(spark.createDataFrame(rows, "check string, passed boolean"))
     if root:
-        for r in (NAMES.app_rejects, NAMES.permission_rejects):
-            checks[f"{r} empty"] = read_table(spark, _path(root, r)).agg(
-                (F.count("*") == 0).alias("ok"))
-    return run_checks(checks)
+        parts.append(run_checks({f"{r} empty": read_table(spark, _path(root, r)).agg((F.count("*") == 0).alias("ok"))
+                                 for r in (NAMES.app_rejects, NAMES.permission_rejects)}))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def reject_counts(spark: SparkSession, root: str) -> DataFrame:
@@ -528,5 +626,6 @@ def run_all(spark: SparkSession, app_feed: str, permission_feed: str, root: str,
         for job in done:
             job.result()
     load_fact_layer(spark, root)
-    load_warehouse(spark, root, warehouse_root)
-    return warehouse_checks(spark, warehouse_root, root)
+    report = StarReport()
+    load_warehouse(spark, root, warehouse_root, report)
+    return warehouse_checks(spark, warehouse_root, root, report)

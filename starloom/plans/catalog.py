@@ -32,7 +32,7 @@ from ..session import checkpoint_dir
 from ..sources.documents import PERMISSION_SCHEMA, explode_documents, read_permission_feed
 from ..sources.lake import read_table
 from ..sources.text import APP_COLUMNS, APP_HEADER_PREFIX, parse_quoted_lines, quote_field
-from .app_store import (NAMES, build_model, category_rank, developer_rank, load_app_layer,
+from .app_store import (NAMES, Model, build_model, category_rank, developer_rank, load_app_layer,
                         load_permission_layer, model_fact, rating_by_permission,
                         rating_by_permission_count, rating_by_permission_type, run_all)
 
@@ -528,40 +528,41 @@ def q_upsert_detail_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert_detail(upsert_detail(old, new, "k"), new, "k")
 
 
-def _app_model(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def _app_model(spark: SparkSession, sf_dir: str, *columns: str) -> Model:
+    """The model over the derived feeds; a report names the columns of APP that it reads."""
     records, _ = parse_quoted_lines(app_feed_lines(spark, sf_dir), APP_COLUMNS,
                                     APP_HEADER_PREFIX)
-    return build_model(records, permission_rows(spark, sf_dir))
+    return Model(records, permission_rows(spark, sf_dir), app_columns=columns)
 
 
 def q_app_category_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R1 on the model: categories ranked by installs."""
-    m = _app_model(spark, sf_dir)
+    m = _app_model(spark, sf_dir, "Category_Id", "Maximum_Installs")
     return category_rank(m[NAMES.app], m[NAMES.category])
 
 
 def q_app_developer_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R2 on the model: developers ranked by average app rating."""
-    m = _app_model(spark, sf_dir)
+    m = _app_model(spark, sf_dir, "Developer_Id", "Rating")
     return developer_rank(m[NAMES.app], m[NAMES.developer])
 
 
 def q_app_rating_by_permissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R3 on the model: rating against the number of permissions."""
-    m = _app_model(spark, sf_dir)
-    return rating_by_permission_count(m[NAMES.app], m[NAMES.app_permission])
+    m = _app_model(spark, sf_dir, "App_Id", "Rating")
+    return rating_by_permission_count(*m.side_by_side(NAMES.app, NAMES.app_permission))
 
 
 def q_app_rating_by_permission(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R3 on the model: rating per permission."""
-    m = _app_model(spark, sf_dir)
-    return rating_by_permission(m[NAMES.app], m[NAMES.app_permission], m[NAMES.permission])
+    m = _app_model(spark, sf_dir, "App_Id", "Rating")
+    return rating_by_permission(*m.side_by_side(NAMES.app, NAMES.app_permission), m[NAMES.permission])
 
 
 def q_app_rating_by_permission_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R3 on the model: rating per permission type."""
-    m = _app_model(spark, sf_dir)
-    return rating_by_permission_type(m[NAMES.app], m[NAMES.app_permission], m[NAMES.permission],
+    m = _app_model(spark, sf_dir, "App_Id", "Rating")
+    return rating_by_permission_type(*m.side_by_side(NAMES.app, NAMES.app_permission), m[NAMES.permission],
                                      m[NAMES.permission_type])
 
 

@@ -20,6 +20,7 @@ the stream running.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.app_store import (NAMES, Options, keep_rejects, load_app_records, load_fact_layer,
@@ -59,7 +60,7 @@ def stream_app_feed(spark: SparkSession, feed_dir: str, root: str, checkpoint: s
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    lines = reader.load(feed_dir)
+    lines = reader.load(feed_dir).select("value", F.col("_metadata.file_path").alias("file"))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         records, rejects = parse_quoted_lines(batch, APP_COLUMNS, APP_HEADER_PREFIX)
@@ -78,7 +79,8 @@ def stream_permission_feed(spark: SparkSession, feed_dir: str, root: str, checkp
     """Incrementally load permission documents (JSON) into the lake."""
     whole = StructType([*PERMISSION_SCHEMA.fields, StructField(CORRUPT, StringType())])
     docs = (spark.readStream.schema(whole).option("multiLine", multiline)
-            .option("columnNameOfCorruptRecord", CORRUPT).json(feed_dir))
+            .option("columnNameOfCorruptRecord", CORRUPT).json(feed_dir)
+            .select("*", F.col("_metadata.file_path").alias("file")))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         whole, rejects = split_corrupt(batch)

@@ -166,7 +166,7 @@ def test_fact_equals_its_formulas(spark, lake):
 def test_warehouse_checks_pass(spark, lake):
     rows = lake["checks"].collect()
     failed = [r.check for r in rows if not r.passed]
-    assert len(rows) == 13 and failed == ["APP_REJECTS empty"]   # the short line
+    assert len(rows) == 19 and failed == ["APP_REJECTS empty"]   # the short line
     assert [(r.table_name, r.n_rejects) for r in app_store.reject_counts(spark, lake["root"]).collect()] == [
         ("APP_REJECTS", 1), ("PERMISSION_REJECTS", 0)]
     wh_fact = read_table(spark, os.path.join(lake["wh"], "APP_FACT"))
