@@ -26,11 +26,11 @@ from ..operators.bridge import append_bridge, build_bridge
 from ..operators.detail import KeyMap, build_detail, resolve_keys, upsert_detail
 from ..operators.dimensions import (build_child_dimension, build_dimension,
                                     extend_child_dimension, upsert_dimension)
-from ..operators.facts import rollup_fact, star_rows
 from ..operators.ids import dense_ids
 from ..operators.joins import carry_known
 from ..operators.lookups import build_lookup, build_lookups, extend_lookup
 from ..operators.quality import check_not_empty, check_unique, run_checks
+from ..operators.refresh import FactSpec, Refresh, refresh_fact
 from ..operators.ranks import measure_by_child, measure_by_child_count, rank_by
 from ..sources.documents import read_permission_feed
 from ..sources.lake import (StarReport, append_rows, publish_star, publish_table, read_if_exists, read_star,
@@ -72,7 +72,8 @@ class Options:
     renumber_permissions: bool = False  # True: source renumbering of PERMISSION
     dedupe_bridge: bool = True       # enforce the (app, permission) key
     incremental_app: bool = True     # upsert APP instead of replacing it
-    app_buckets: int | None = None   # store APP hash-bucketed; loads rewrite touched buckets
+    app_buckets: int | None = None   # store APP hash-bucketed; loads write changed buckets only
+    fact_buckets: int | None = None  # store APP_FACT hash-bucketed; loads write touched groups only
 
 
 NAMES = LakeNames()
@@ -435,30 +436,24 @@ FACT_COLUMNS = ["Auto_App_Id", *FACT_KEYS, "Total_Num_Permissions", "Count_Of_Ap
                 "Count_In_App_Purchase", "Count_Of_Editor_Choice"]
 
 
-def app_fact(app: DataFrame, app_permission: DataFrame, permission: DataFrame,
-             once_per_app: bool = False) -> DataFrame:
-    """APP_FACT (C12; ``once_per_app`` gives the corrected C13 sums).
-
-    ``Auto_App_Id`` follows (year, month, developer) and then the remaining
-    keys, so ids are reproducible.
-    """
-    rows = star_rows(app, app_permission.select("App_Id", "Permission_Id"),
-                     carry_known(permission,
-                                 permission.select("Permission_Id", "Permission_Type_Id")),
-                     "App_Id", "Permission_Id")
+def fact_spec(once_per_app: bool = False) -> FactSpec:
+    """APP_FACT: its keys, measures and the order of ``Auto_App_Id``."""
     released = F.coalesce(F.col("Release_Dt"), F.col("Last_Update_Dt"))
-    fact = rollup_fact(
-        rows,
-        keys=[("Category_Id", F.col("Category_Id")),
-              ("Currency_Type_Id", F.col("Currency_Type_Id")),
-              ("Developer_Id", F.col("Developer_Id")),
-              ("Release_Year", F.year(released).cast("int")),
-              ("Release_Month", F.month(released).cast("int")),
-              ("Cont_Rating_Id", F.col("Cont_Rating_Id")),
-              ("Permission_Type_Id", F.col("Permission_Type_Id"))],
+    return FactSpec(
+        detail_keys=[("Category_Id", F.col("Category_Id")),
+                     ("Currency_Type_Id", F.col("Currency_Type_Id")),
+                     ("Developer_Id", F.col("Developer_Id")),
+                     ("Release_Year", F.year(released).cast("int")),
+                     ("Release_Month", F.month(released).cast("int")),
+                     ("Cont_Rating_Id", F.col("Cont_Rating_Id"))],
+        child_keys=[("Permission_Type_Id", F.col("Permission_Type_Id"))],
         item="App_Id", child="Permission_Id",
+        detail_columns=("Category_Id", "Currency_Type_Id", "Developer_Id", "Release_Dt", "Last_Update_Dt", "Cont_Rating_Id",
+                        "Rating", "Rating_Num", "Maximum_Installs", "Price", "Size_In_MB", "Is_Free", "Is_Ad_Supported",
+                        "Is_In_App_Purchase", "Is_Editor_Choice"),
+        child_columns=("Permission_Type_Id",),
         sums=[("_rating", F.col("Rating")),
-              ("Total_Rating_Num", F.col("Rating_Num")),
+              ("Total_Rating_Num", F.col("Rating_Num").cast("double")),
               ("Total_Installs", F.col("Maximum_Installs")),
               ("Total_Price", F.col("Price")),
               ("Total_Size_In_MB", F.col("Size_In_MB"))],
@@ -469,11 +464,28 @@ def app_fact(app: DataFrame, app_permission: DataFrame, permission: DataFrame,
                ("Count_Of_Editor_Choice", F.col("Is_Editor_Choice") == "Y")],
         ratios=[("Average_Rating", "_rating")],
         items_name="Count_Of_Apps", children_name="Total_Num_Permissions",
-        once_per_item=once_per_app)
-    fact = fact.withColumn("Total_Rating_Num", F.col("Total_Rating_Num").cast("double"))
+        once_per_item=once_per_app, id_col="Auto_App_Id", order=FACT_ORDER)
+
+
+def app_fact(app: DataFrame, app_permission: DataFrame, permission: DataFrame,
+             once_per_app: bool = False) -> DataFrame:
+    """APP_FACT (C12; ``once_per_app`` gives the corrected C13 sums).
+
+    ``Auto_App_Id`` follows (year, month, developer) and then the remaining
+    keys, so ids are reproducible.
+    """
+    spec = fact_spec(once_per_app)
+    fact = spec.rollup(spec.rows(app, app_permission, permission))
     return dense_ids(fact, FACT_ORDER, "Auto_App_Id").select(*FACT_COLUMNS)
 
 
+def refresh_fact_layer(spark: SparkSession, root: str, buckets: int = 64, once_per_app: bool = False) -> Refresh:
+    """Fact entry for repeated loads: recompute and write only the groups of
+    APP_FACT that changes of APP, APP_PERMISSION and PERMISSION touch; groups keep their ids."""
+    return refresh_fact(spark, *[_path(root, n) for n in (NAMES.app_fact, NAMES.app, NAMES.app_permission, NAMES.permission)],
+                        fact_spec(once_per_app), buckets)
+
+
 def load_fact_layer(spark: SparkSession, root: str, once_per_app: bool = False,
                     partition_by: list[str] | None = None) -> str:
     """Fact entry: reads APP, APP_PERMISSION, PERMISSION and publishes APP_FACT.
@@ -625,7 +637,10 @@ def run_all(spark: SparkSession, app_feed: str, permission_feed: str, root: str,
                 pool.submit(load_permission_layer, spark, permission_feed, root, opts, multiline)]
         for job in done:
             job.result()
-    load_fact_layer(spark, root)
+    if opts.fact_buckets:
+        refresh_fact_layer(spark, root, opts.fact_buckets)
+    else:
+        load_fact_layer(spark, root)
     report = StarReport()
     load_warehouse(spark, root, warehouse_root, report)
     return warehouse_checks(spark, warehouse_root, root, report)

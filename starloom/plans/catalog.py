@@ -32,8 +32,7 @@ from ..session import checkpoint_dir
 from ..sources.documents import PERMISSION_SCHEMA, explode_documents, read_permission_feed
 from ..sources.lake import read_table
 from ..sources.text import APP_COLUMNS, APP_HEADER_PREFIX, parse_quoted_lines, quote_field
-from .app_store import (NAMES, Model, build_model, category_rank, developer_rank, load_app_layer,
-                        load_permission_layer, model_fact, rating_by_permission,
+from .app_store import (NAMES, Model, Options, build_model, category_rank, developer_rank, model_fact, rating_by_permission,
                         rating_by_permission_count, rating_by_permission_type, run_all)
 
 
@@ -454,8 +453,8 @@ def q_corrupt_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _load(spark: SparkSession, sf_dir: str) -> tuple[str, str, DataFrame]:
     """Derived feeds written as files and loaded in two deliveries (the second
-    one holds everything again and some damaged records): lake root, warehouse
-    root and the checks."""
+    one holds everything again and some damaged records), APP and the fact
+    hash-bucketed: lake root, warehouse root and the checks."""
     base = _scratch(spark, "load")
     lines = app_feed_lines(spark, sf_dir)
     docs = permission_documents(spark, sf_dir).withColumnRenamed("doc", "value")
@@ -469,9 +468,9 @@ def _load(spark: SparkSession, sf_dir: str) -> tuple[str, str, DataFrame]:
     for name, df in feeds.items():
         df.write.text(f"{base}/{name}")
     root, warehouse = f"{base}/lake", f"{base}/warehouse"
-    load_app_layer(spark, f"{base}/apps1", root)
-    load_permission_layer(spark, f"{base}/docs1", root, multiline=False)
-    checks = run_all(spark, f"{base}/apps2", f"{base}/docs2", root, warehouse, multiline=False)
+    opts = Options(app_buckets=8, fact_buckets=8)
+    for n in ("1", "2"):
+        checks = run_all(spark, f"{base}/apps{n}", f"{base}/docs{n}", root, warehouse, opts, multiline=False)
     return root, warehouse, checks
 
 
@@ -487,7 +486,14 @@ def q_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
             label = name if where == root else f"warehouse {name}"
             out = out.unionByName(read_table(spark, f"{where}/{name}").agg(F.count("*").alias("n")).select(
                 F.lit(label).alias("what"), "n"))
-    return out.where(~F.col("what").isin("warehouse APP_FACT"))
+    return out
+
+
+def q_load_fact_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The warehouse's APP_FACT after the second delivery, of which
+    only the touched groups were computed again (ids follow the deliveries)."""
+    _, warehouse, _ = _load(spark, sf_dir)
+    return read_table(spark, f"{warehouse}/APP_FACT").drop("Auto_App_Id")
 
 
 def q_load_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -606,6 +612,7 @@ QUERIES: dict[str, Query] = {
     "corrupt_documents": q_corrupt_documents,
     "load_counts": q_load_counts,
     "load_fact": q_load_fact,
+    "load_fact_increment": q_load_fact_increment,
     "rollup_fact_versions": q_rollup_fact_versions,
     "child_dimension_blank_parents": q_child_dimension_blank_parents,
     "upsert_detail_keys": q_upsert_detail_keys,

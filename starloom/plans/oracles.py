@@ -395,6 +395,8 @@ checks(what, n) as (values
   ('DEVELOPER_DIM not empty', 1), ('DEVELOPER_DIM unique Developer_Name', 1),
   ('CONTENT_RATING_DIM not empty', 1), ('CONTENT_RATING_DIM unique Cont_Rating_Desc', 1),
   ('PERMISSION_TYPE_DIM not empty', 1), ('PERMISSION_TYPE_DIM unique Permission_Type_Desc', 1),
+  ('APP_FACT values kept', 1), ('APP_CATEGORY_DIM values kept', 1), ('CURRENCY_TYPE_DIM values kept', 1),
+  ('DEVELOPER_DIM values kept', 1), ('CONTENT_RATING_DIM values kept', 1), ('PERMISSION_TYPE_DIM values kept', 1),
   ('APP_REJECTS empty', 0), ('PERMISSION_REJECTS empty', 0))
 select what, cast(n as bigint) n from counts
 union all select 'warehouse ' || what || '_DIM', cast(n as bigint) from counts
@@ -402,8 +404,11 @@ union all select 'warehouse ' || what || '_DIM', cast(n as bigint) from counts
 union all select what, cast(n as bigint) from checks
 union all select 'APP_REJECTS', count(*) from nation
 union all select 'PERMISSION_REJECTS', count(*) from region
+union all select 'warehouse APP_FACT', count(*) from (""" + ORACLE_SQL["app_fact"] + """)
 """
 
+ORACLE_SQL["load_fact_increment"] = "select * exclude (Auto_App_Id) from (" + ORACLE_SQL["app_fact"] + ")"
+
 ORACLE_SQL["rollup_fact_versions"] = """
 select l_returnflag k, count(distinct l_orderkey) n_items,
   (select cast(sum(m) as double) from (select max(cast(l_quantity as decimal(18,2))) m from lineitem b

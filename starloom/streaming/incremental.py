@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.app_store import (NAMES, Options, keep_rejects, load_app_records, load_fact_layer,
-                               load_permission_rows)
+                               load_permission_rows, refresh_fact_layer)
 from ..sources.lake import table_exists
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -32,14 +32,18 @@ from ..sources.documents import CORRUPT, PERMISSION_SCHEMA, explode_documents, s
 from ..sources.text import APP_COLUMNS, APP_HEADER_PREFIX, parse_quoted_lines
 
 
-def _refresh_fact(spark: SparkSession, root: str) -> None:
-    """Rebuild APP_FACT once all three of its inputs exist.
+def _refresh_fact(spark: SparkSession, root: str, opts: Options) -> None:
+    """Bring APP_FACT up to its three inputs once they all exist: the touched
+    groups only with ``opts.fact_buckets``, else the whole fact.
 
     One stream should refresh it: of two that publish the fact at once, one
     fails (and its batch runs again)."""
     inputs = (NAMES.app, NAMES.app_permission, NAMES.permission)
     if all(table_exists(spark, f"{root.rstrip('/')}/{n}") for n in inputs):
-        load_fact_layer(spark, root)
+        if opts.fact_buckets:
+            refresh_fact_layer(spark, root, opts.fact_buckets)
+        else:
+            load_fact_layer(spark, root)
 
 
 def _start(stream: DataFrame, handle, checkpoint: str, available_now: bool,
@@ -67,7 +71,7 @@ def stream_app_feed(spark: SparkSession, feed_dir: str, root: str, checkpoint: s
         load_app_records(batch.sparkSession, records, root, opts)
         keep_rejects(rejects, f"{root.rstrip('/')}/{NAMES.app_rejects}")
         if refresh_fact:
-            _refresh_fact(batch.sparkSession, root)
+            _refresh_fact(batch.sparkSession, root, opts)
 
     return _start(lines, handle, checkpoint, available_now, interval)
 
@@ -88,6 +92,6 @@ def stream_permission_feed(spark: SparkSession, feed_dir: str, root: str, checkp
         load_permission_rows(batch.sparkSession, perms, root, opts)
         keep_rejects(rejects, f"{root.rstrip('/')}/{NAMES.permission_rejects}")
         if refresh_fact:
-            _refresh_fact(batch.sparkSession, root)
+            _refresh_fact(batch.sparkSession, root, opts)
 
     return _start(docs, handle, checkpoint, available_now, interval)
