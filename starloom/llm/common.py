@@ -39,18 +39,19 @@ def small_batches(batches: Iterator[pa.RecordBatch], text: str, chars: int = BAT
 
 
 def by_text(df: DataFrame, make: Callable[[], Callable[[list], dict[str, pa.Array]]], schema: str,
-            keep: list[str], text: str = "text") -> DataFrame:
+            keep: list[str], text: str = "text", chars: int = BATCH_CHARS) -> DataFrame:
     """Apply a per-task function of lists of texts; the ``keep`` columns pass through.
 
     ``make()`` runs once per task (models load there) and returns a function
-    from a list of texts (None for null) to the new columns.
+    from a list of texts (None for null) to the new columns. It gets texts of
+    ``chars`` bytes at once, or a single longer one.
     """
     passed = [c for c in keep if c != text]
     frame = df.select(*[F.col(f"`{c}`") for c in passed], F.col(f"`{text}`").cast("string").alias("__text"))
 
     def run(batches):
         of = make()
-        for batch in small_batches(batches, "__text"):
+        for batch in small_batches(batches, "__text", chars):
             cols = {c: batch.column(i) for i, c in enumerate(passed)}
             texts = batch.column(len(passed)).to_pylist()
             if text in keep:

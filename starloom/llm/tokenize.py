@@ -5,8 +5,9 @@ Method: no piece of the model has a whitespace marker after another character
 markers and the characters up to the next marker, and the ids of a text are
 the ids of its chunks in order. Each task keeps a table of the distinct chunks
 it has met: a chunk is segmented once, and the ids are put back by position
-through the chunk's row in the table. The table is bounded (``TABLE_CHUNKS``);
-when it is full it starts anew, which changes the work and not the result.
+through the chunk's row in the table. Texts come in steps of ``STEP_CHARS`` and
+the table is bounded by bytes (``TABLE_BYTES``); when it is full it starts anew
+with the step's own chunks, which changes the work and not the result.
 A table per task needs no shuffle and is rebuilt with the task when an
 executor is lost; a table over the whole corpus would shuffle every word twice.
 
@@ -28,7 +29,11 @@ from pyspark.sql import functions as F
 from .common import by_text
 
 MARK = "▁"
-TABLE_CHUNKS = 400_000
+#: Text that one step segments, at most (a single longer text is a step alone).
+STEP_CHARS = 1_000_000
+#: Memory of a task's table, about: keys, ids, decoded bytes and ``ROW_BYTES`` an entry.
+TABLE_BYTES = 32_000_000
+ROW_BYTES = 320
 #: Chunks longer than this are segmented each time and not kept.
 KEPT_CHARS = 200
 
@@ -75,8 +80,8 @@ def chunks_of(text: str) -> list[str]:
 class ChunkTable:
     """Distinct chunk -> (its ids as 32-bit integers, the bytes they decode to)."""
 
-    def __init__(self, sp, size: int = TABLE_CHUNKS):
-        self.sp, self.size, self.rows = sp, size, {}
+    def __init__(self, sp, size: int = TABLE_BYTES):
+        self.sp, self.size, self.rows, self.held = sp, size, {}, 0
         self.mark, self.bytes = sp.piece_to_id(MARK), piece_bytes(sp)
 
     def segment(self, chunks: list[str]) -> dict[str, tuple[bytes, bytes]]:
@@ -90,17 +95,24 @@ class ChunkTable:
         return out
 
     def look_up(self, texts: list[list[str]]) -> dict[str, tuple[bytes, bytes]]:
-        """A table that has every chunk of these texts."""
-        new = list(set().union(*texts) - self.rows.keys())
+        """Puts the texts' chunks into the table; returns those that are too long for it."""
+        needed = set().union(*texts)
+        new = [c for c in needed if c not in self.rows]
         if not new:
-            return self.rows
+            return {}
         found = self.segment(new)
-        if len(self.rows) + len(new) > self.size:
-            found = {c: self.rows[c] for c in set().union(*texts) if c in self.rows} | found
-            self.rows = {}
-        kept = {c: r for c, r in found.items() if len(c) <= KEPT_CHARS}
-        self.rows.update(kept)
-        return self.rows if len(kept) == len(found) else self.rows | found
+        long = {c: found.pop(c) for c in new if len(c) > KEPT_CHARS}
+        size = _held(found)
+        if self.held + size > self.size:
+            self.rows = {c: self.rows[c] for c in needed if c in self.rows}
+            self.held = _held(self.rows)
+        self.rows.update(found)
+        self.held += size
+        return long
+
+
+def _held(rows: dict[str, tuple[bytes, bytes]]) -> int:
+    return sum(len(c) + len(ids) + len(text) + ROW_BYTES for c, (ids, text) in rows.items())
 
 
 def encode_documents(df: DataFrame, model_path: str, text: str = "text", keep: tuple = ("doc_id",)) -> DataFrame:
@@ -113,10 +125,11 @@ def encode_documents(df: DataFrame, model_path: str, text: str = "text", keep: t
 
         def of(texts):
             chunked = [chunks_of(t or "") for t in texts]
-            rows = table.look_up(chunked)
+            long = table.look_up(chunked)
+            rows = table.rows
             flat, offsets, decoded = [], [0], []
             for chunks in chunked:
-                got = [rows[c] for c in chunks]
+                got = [rows.get(c) or long[c] for c in chunks]
                 ids = b"".join([r[0] for r in got])
                 flat.append(ids)
                 flat.append(end)
@@ -130,7 +143,7 @@ def encode_documents(df: DataFrame, model_path: str, text: str = "text", keep: t
 
         return of
 
-    return by_text(df, make, "ids array<int>, decoded string", list(keep), text)
+    return by_text(df, make, "ids array<int>, decoded string", list(keep), text, STEP_CHARS)
 
 
 def digest_columns() -> list:
