@@ -23,6 +23,8 @@ from ..operators.lookups import build_lookup
 from ..operators.quality import check_not_empty, check_unique
 from ..operators.refresh import FactSpec, refresh_fact
 from ..session import checkpoint_dir
+from ..sources.documents import PERMISSION_SCHEMA, explode_documents, split_corrupt
+from ..sources.json_array import read_array_documents
 from ..sources.lake import (CheckFailed, publish_star, publish_table, read_star, read_table, upsert_buckets)
 from ..sources.warehouse import create_database, create_table, load_tables, overwrite_table, publish_views
 
@@ -397,3 +399,44 @@ def q_views_follow_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     publish_views(spark, earlier, root, version=1)
     return first.unionByName(spark.sql(ask.format("second", db))).unionByName(spark.sql(ask.format("named", earlier)))
 
+
+
+def array_files(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """Pretty-printed JSON arrays of customers (at most 50,000 in a file), with
+    brackets and quotes inside strings; every 50th document lacks its end."""
+    customer = _table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    key = F.col("c_custkey").cast("string")
+    doc = F.concat(F.lit('  {\n    "appId": "'), key, F.lit('",\n    "appName": "'), F.col("c_name"), F.lit(' \\"]}[{\\\\",\n    "allPermissions": [\n'
+                   '      {\n        "permission": "'), F.col("c_mktsegment"), F.lit('",\n        "type": "{x"\n      }'))
+    doc = F.concat(doc, F.when(F.col("c_custkey") % 50 != 0, F.lit("\n    ]\n  },")).otherwise(F.lit(",")))
+    group = F.floor(F.col("c_custkey") / 50000).cast("int")
+    rows = customer.select(group.alias("g"), F.col("c_custkey").alias("n"), doc.alias("value"))
+    groups = rows.select("g").distinct()
+    ends = groups.select("g", F.lit(-1).cast("long").alias("n"), F.lit("[").alias("value")).unionByName(
+        groups.select("g", F.lit(1 << 62).alias("n"), F.lit(']').alias("value")))
+    (rows.select("g", F.col("n").cast("long").alias("n"), "value").unionByName(ends).repartition("g").sortWithinPartitions("g", "n")
+     .select("g", "value").write.partitionBy("g").text(folder))
+
+
+@query("""
+select cast(c_custkey as varchar) as appId, case when c_custkey % 50 <> 0 then c_name || ' "]}[{\\' end as appName,
+       case when c_custkey % 50 <> 0 then c_mktsegment end as permission, c_custkey % 50 = 0 as rejected
+from customer
+""")
+def q_split_array_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Large pretty-printed arrays read in many tasks (64 kB blocks here);
+    a damaged document is a reject, its neighbours are not."""
+    folder = f"{_scratch(spark)}/arrays"
+    array_files(spark, sf_dir, folder)
+    size = "spark.sql.files.maxPartitionBytes"
+    given = spark.conf.get(size)
+    spark.conf.set(size, str(64 * 1024))
+    try:
+        docs = read_array_documents(spark, folder, PERMISSION_SCHEMA).checkpoint(eager=True)
+    finally:
+        spark.conf.set(size, given)
+    good, rejects = split_corrupt(docs)
+    flat = explode_documents(good, "allPermissions", ["appId", "appName"]).select("appId", "appName", "permission", F.lit(False).alias("rejected"))
+    none = F.lit(None).cast("string")
+    return flat.unionByName(rejects.select(F.regexp_extract("line", r'"appId": "(\d+)"', 1).alias("appId"), none.alias("appName"),
+                                           none.alias("permission"), F.lit(True).alias("rejected")))
