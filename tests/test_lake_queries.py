@@ -161,3 +161,64 @@ def test_declared_tables(spark, tmp_path):
     assert [tuple(map(str, r)) for r in spark.table(f"{db}.t").collect()] == [("1", "2020-01-05")]
     with pytest.raises(ValueError, match="no column"):
         overwrite_table(df.drop("day"), f"{db}.t")
+
+
+def test_merged_sketches_stay_within_their_error(spark):
+    from starloom.operators.profiles import merge_profiles, profile_part, read_profile
+    df = spark.range(60000).select(F.col("id").alias("a"), (F.col("id") % 700).alias("b"), F.lit(None).cast("int").alias("c"),
+                                   F.sha2(F.col("id").cast("string"), 256).alias("d"))
+    parts = [profile_part(df.where(f"a % 5 = {k}")) for k in range(5)] + [profile_part(df.limit(0))]
+    one = parts[0]
+    for p in parts[1:]:
+        one = one.unionByName(p)
+    got = {r.col: r for r in read_profile(merge_profiles(one)).collect()}
+    assert [got[c].n for c in "abcd"] == [60000] * 4 and got["c"].nulls == 60000
+    for c, n in (("a", 60000), ("b", 700), ("d", 60000)):
+        assert abs(got[c].distincts - n) <= 0.05 * n              # three standard errors
+    assert got["c"].distincts == 0 and got["c"].quantiles is None and got["d"].quantiles is None
+    for q, value in zip((0.25, 0.5, 0.75), got["a"].quantiles):
+        assert abs(value - q * 60000) <= 0.02 * 60000
+    assert (got["a"].min_number, got["a"].max_number) == (0, 59999) and got["d"].min_number is None
+
+
+@pytest.mark.parametrize("indent", [1, 4])
+@pytest.mark.parametrize("block", [150, 4000])
+def test_array_files_split_anywhere(spark, tmp_path, indent, block):
+    import json
+    import random
+
+    from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+    from starloom.sources.json_array import read_array_documents
+    rng = random.Random(block + indent)
+    texts = ['x', '{"a": [', ']}', '\\"', '\n  {', '"', 'é' * 30, 'z' * 900]
+    docs = [{"n": i, "t": rng.choice(texts), "in": [{"n": -1, "t": rng.choice(texts)} for _ in range(rng.randint(0, 3))]} for i in range(120)]
+    for name, some in (("a", docs[:80]), ("b", docs[80:]), ("c", [])):
+        (tmp_path / f"{name}.json").write_text(json.dumps(some, indent=indent, ensure_ascii=False))
+    # elements that are cut off, and an open string: only they are rejects
+    broken = json.dumps([{"n": i, "t": "ok"} for i in range(1000, 1005)], indent=indent).split("\n")
+    del broken[3]                                                   # the second line's value and the first end
+    broken[6] = broken[6][:-1]
+    (tmp_path / "d.json").write_text("\n".join(broken))
+    schema = StructType([StructField("n", LongType()), StructField("t", StringType())])
+    for conf, value in (("spark.sql.files.maxPartitionBytes", str(block)), ("spark.sql.files.openCostInBytes", "0")):
+        spark.conf.set(conf, value)
+    try:
+        rows = read_array_documents(spark, str(tmp_path), schema).collect()
+    finally:
+        for conf in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
+            spark.conf.unset(conf)
+    good = sorted((r.n, r.t) for r in rows if r["_corrupt_record"] is None)
+    assert [g for g in good if g[0] < 1000] == [(d["n"], d["t"]) for d in docs]
+    assert sum(n >= 1000 for n, _ in good) + sum(r["_corrupt_record"] is not None for r in rows) == 5
+    assert sum(n >= 1000 for n, _ in good) == 3
+
+
+def test_array_files_of_compact_elements(spark, tmp_path):
+    from pyspark.sql.types import LongType, StructField, StructType
+
+    from starloom.sources.json_array import read_array_documents
+    (tmp_path / "e.json").write_text('[{"n": 1},\n{"n": 2, "x": [{"n": 5}]},\n{"n": 3]\n, {"n": 9}]')
+    rows = read_array_documents(spark, str(tmp_path), StructType([StructField("n", LongType())])).collect()
+    assert sorted(r.n for r in rows if r["_corrupt_record"] is None) == [1, 2]
+    assert [r["_corrupt_record"][:7] for r in rows if r["_corrupt_record"]] == ['{"n": 3']
