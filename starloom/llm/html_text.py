@@ -7,8 +7,11 @@ footers, sidebars, notices, adverts, forms, reader comments: by element, or by
 the words of class, id and role) have ratio zero. A word or a form excludes no
 element that holds the article or main element (of several, those under the
 fewest such words), and a word none that holds most of the page's text and, if
-the page has article or main elements, one of them (comments excepted). If
-that leaves no line, the words and forms don't count, and then only hidden
+the page has article or main elements, one of them (comments excepted). Inside
+the article, headings are never left out for a word, blocks only if the whole
+class, id or role names a part that is no text (``ad-slot``, ``comments``), and
+for a word among others (``share-note``) only if most of the block's characters
+stand in links. If that leaves no line, the words and forms don't count, and then only hidden
 elements are left out. The ratios are smoothed with
 a Gaussian and cut at their standard deviation; the lines above are the
 content cluster. The content region is the innermost element that holds all
@@ -29,6 +32,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
@@ -58,11 +62,19 @@ HEAD = frozenset(("meta", "link", "base"))
 #: Words of class, id and role that mark what is not the article: whole words, and beginnings of words.
 MARK_WORDS = frozenset("ad ads adv nav menu aside footer header banner cookie cookies notice alert popup modal social "
                        "share sharing related search login signup breadcrumb breadcrumbs pagination pager toolbar "
-                       "copyright toc widget reply replies respond skip navigation complementary contentinfo".split())
+                       "copyright toc widget reply replies respond skip navigation complementary contentinfo "
+                       "legal disclaimer privacy".split())
+#: Words that stand beside marks in the name of such a part.
+PART_WORDS = frozenset("area bar block body box button buttons column container content cta form group holder icon icons "
+                       "inner item items left link links list module outer panel post posts right row section slot space "
+                       "tags text title top bottom unit wrap wrapper".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 MARK_STARTS = ("advert", "sponsor", "promo", "sidebar", "navbar", "comment", "disqus", "newsletter", "subscri", "consent",
                "gdpr", "recommend", "navig", "footer", "masthead")
 #: Of those, the beginnings of words that mark readers' own texts.
 READERS = ("comment", "disqus", "repl", "respond")
+#: Words with such a beginning that mark nothing.
+OTHER_WORDS = ("commentar", "commentat", "replac", "replic")
 #: Of the marks, what an article may have inside it as its own head.
 OWN_HEAD = frozenset(("header",))
 
@@ -71,15 +83,21 @@ _SPACE = re.compile(r"\s+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
-def marks(attrs: list[tuple[str, str | None]]) -> set[str]:
-    found = set()
+def marks(attrs: list[tuple[str, str | None]]) -> tuple[set[str], set[str]]:
+    """The mark words of an element, and those of them that are its whole name or mark readers' texts."""
+    found, telling = set(), set()
     for name, value in attrs:
-        if name in ("class", "id", "role") and value:
-            for w in _WORDS.findall(value):
-                w = w.lower()
-                if w in MARK_WORDS or w.startswith(MARK_STARTS):
-                    found.add(w)
-    return found
+        if name not in ("class", "id", "role") or not value:
+            continue
+        for token in value.split():
+            words = [w.lower() for w in _WORDS.findall(token)]
+            own = {w for w in words if w in MARK_WORDS or w.startswith(MARK_STARTS) and not w.startswith(OTHER_WORDS)}
+            found |= own
+            if all(w in own or w in PART_WORDS for w in words):
+                telling |= own
+            else:
+                telling |= {w for w in own if w.startswith(READERS)}
+    return found, telling
 
 
 def hidden(attrs: list[tuple[str, str | None]]) -> bool:
@@ -101,6 +119,7 @@ class Events(HTMLParser):
         self.ends: dict[int, int] = {}
         #: Open blocks and silent elements: tag, event, first block inside.
         self.open: list[list] = []
+        self.names: Counter = Counter()
 
     def handle_starttag(self, tag, attrs):
         here = len(self.events)
@@ -115,6 +134,7 @@ class Events(HTMLParser):
                     break
                 self.open[k][2] = here
         self.open.append([tag, here, None])
+        self.names[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         if tag not in SILENT:
@@ -125,7 +145,7 @@ class Events(HTMLParser):
     def handle_endtag(self, tag):
         here = len(self.events)
         self.events.append((tag,))
-        if tag in LINES or tag in SILENT:
+        if self.names[tag]:
             for k in range(len(self.open) - 1, -1, -1):
                 if self.open[k][0] == tag:
                     own = self.open[k][1] if tag in SILENT else None
@@ -145,6 +165,7 @@ class Events(HTMLParser):
     def leave(self, k: int, here: int) -> None:
         """Elements from the ``k``-th open one end before event ``here``."""
         for tag, at, block in self.open[k:]:
+            self.names[tag] -= 1
             if tag in SILENT:
                 self.ends[at] = here if block is None else block
         del self.open[k:]
@@ -158,15 +179,18 @@ class Lines:
     """A page as lines: text, characters outside links, tags, container, why dropped; and the containers' parents.
 
     Why a container or line is left out: MARK by a word (or a form, which may
-    hold the whole page), PART by its element, HIDDEN by its style; 0 if it isn't.
+    hold the whole page), PART by its element, HIDDEN by its style; 0 if it
+    isn't. SOFT ones, in the article, are left out if they are mostly links.
     """
 
-    MARK, PART, HIDDEN = 1, 2, 3
+    SOFT, MARK, PART, HIDDEN = 0.5, 1, 2, 3
 
     def __init__(self):
         self.lines: list[tuple[str, int, int, int, int]] = []
         self.parent, self.name, self.why, self.readers = [-1], ["html"], [0], [False]
+        self.inside = [False]  # whether an article or main element holds it (or it is one)
         self.open: list[int] = [0]
+        self.names: Counter = Counter()
         self.head = False
         self.links = 0
         self.parts: list[str] = []
@@ -205,21 +229,28 @@ class Lines:
         self.tags += 1
         if tag == "a":
             self.links = 1
+        at = self.open[-1]
+        inside = self.inside[at]
         if tag in LINES and tag not in CONTAINERS:
-            self.dropped = self.HIDDEN if hidden(attrs) else self.MARK if marks(attrs) - OWN_HEAD else 0
+            found, _ = marks(attrs)
+            found = found - OWN_HEAD
+            self.dropped = (self.HIDDEN if hidden(attrs) else 0 if not found or inside and tag in HEADINGS else
+                            self.SOFT if inside else self.MARK)
         elif tag in CONTAINERS and tag != "html":
-            at = self.open[-1]
-            inside = self.within(at, ("article", "main"))
-            words = marks(attrs)
+            words, telling = marks(attrs)
+            found = words - OWN_HEAD if inside else words
             why = (self.HIDDEN if hidden(attrs) else
                    self.PART if tag in BOILERPLATE and tag != "form" or tag == "header" and not inside else
-                   self.MARK if tag == "form" or (words - OWN_HEAD if inside else words) and tag not in ("body", "main")
-                   else 0)
+                   self.MARK if tag == "form" else
+                   0 if not found or tag in ("body", "main") else
+                   self.SOFT if inside and not telling - OWN_HEAD else self.MARK)
             self.parent.append(at)
             self.name.append(tag)
             self.why.append(why)
             self.readers.append(any(w.startswith(READERS) for w in words))
+            self.inside.append(inside or tag in ("article", "main"))
             self.open.append(len(self.name) - 1)
+            self.names[tag] += 1
 
     def end(self, tag):
         if tag == "head":
@@ -229,8 +260,9 @@ class Lines:
             self.end_line()
         if tag == "a":
             self.links = 0
-        if tag in CONTAINERS and tag not in ("html", "body"):
+        if tag not in ("html", "body") and self.names[tag]:
             for k in range(len(self.open) - 1, 0, -1):
+                self.names[self.name[self.open[k]]] -= 1
                 if self.name[self.open[k]] == tag:
                     del self.open[k:]
                     break
@@ -240,13 +272,6 @@ class Lines:
         if not self.links:
             self.chars += len(data) - data.count(" ")
 
-    def within(self, at: int, names: tuple[str, ...]) -> bool:
-        while at >= 0:
-            if self.name[at] in names:
-                return True
-            at = self.parent[at]
-        return False
-
     def below(self, own: np.ndarray) -> np.ndarray:
         """Sums over each container and all in it."""
         own = own.copy()
@@ -296,7 +321,15 @@ def content(page: Lines, least: int) -> str | None:
     """The text of a page without what is left out for reason ``least`` or a stronger one; None if nothing is shown."""
     excluded = page.out(least)
     lines = [x for x in page.lines if x[4] < least]
-    shown = np.array([not excluded[x[3]] for x in lines], bool)
+    # soft ones that are mostly links
+    linked, outside, every = [2 * x[1] < len(x[0]) - x[0].count(" ") for x in lines], np.zeros(len(page.name)), np.zeros(len(page.name))
+    for x in lines:
+        outside[x[3]] += x[1]
+        every[x[3]] += len(x[0]) - x[0].count(" ")
+    outside, every = page.below(outside), page.below(every)
+    for k in range(1, len(page.name)):
+        excluded[k] |= excluded[page.parent[k]] or page.why[k] == page.SOFT and 2 * outside[k] < every[k]
+    shown = np.array([not excluded[x[3]] and not (x[4] == page.SOFT and at_links) for x, at_links in zip(lines, linked)], bool)
     if not any(x[1] or least == page.MARK for x, s in zip(lines, shown) if s):
         return None
     chars = np.array([x[1] for x in lines], float) * shown
@@ -321,13 +354,22 @@ def content(page: Lines, least: int) -> str | None:
     return " ".join([x[0] for x, s in zip(lines, shown) if s and inside[x[3]]])
 
 
+def closed(html: str) -> str:
+    """The page without comment marks that no mark ends, and with the signs < that no > follows as text:
+    the parser would look for their ends again and again."""
+    ends = html.rfind("-->") + 1 or html.rfind("--!>") + 1
+    html = html[:ends] + html[ends:].replace("<!--", "")
+    ends = html.rfind(">") + 1
+    return html[:ends] + html[ends:].replace("<", "&lt;")
+
+
 def main_text(html: str | None) -> str:
     """The article's text of a page, blocks joined by one space."""
     if not html or not html.strip():
         return ""
     events = Events()
     # a marked section's content is no text; the parser stops at kinds that it doesn't know
-    events.feed(html.replace("<![", "<!x["))
+    events.feed(closed(html.replace("<![", "<!x[")))
     events.close()
     page = Lines()
     page.read(events)

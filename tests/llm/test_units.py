@@ -345,3 +345,47 @@ def test_small_blocks_find_the_same_neighbours(spark, edge):
     few = neighbours.search(emb, F.col("vec_id") % 20 == 0, 5, block_vectors=40, block_queries=7, verify=1.0).collect()
     one = neighbours.search(emb, F.col("vec_id") % 20 == 0, 5, verify=1.0).collect()
     assert sorted(map(str, few)) == sorted(map(str, one))
+
+
+def article(inside, after=""):
+    return (f"<html><body><nav><a href=x>menu</a></nav><article><h1>Title</h1><p>{'word text here ' * 30}</p>{inside}"
+            f"<p>{'more text there ' * 30}</p></article>{after}<footer>foot</footer></body></html>")
+
+
+@pytest.mark.parametrize("block,text", [
+    ('<h2 id="related-work">Related work</h2>', "Related work"),
+    ('<p class="share-note">Please note this share of it.</p>', "Please note this share of it."),
+    ('<div class="search-results-explained"><p>We explain the results.</p></div>', "We explain the results."),
+    ('<div class="commentary"><p>Our own commentary.</p></div>', "Our own commentary."),
+    ('<header><h2>A second head</h2></header>', "A second head")])
+def test_html_keeps_article_blocks_whose_names_hold_a_mark(block, text):
+    from starloom.llm.html_text import main_text
+    whole = main_text(article(block))
+    assert text in whole and whole.startswith("Title word") and "menu" not in whole and "foot" not in whole
+
+
+@pytest.mark.parametrize("block", [
+    '<div class="ad-slot">Gone now</div>', '<div class="comments"><p>' + "Gone, I liked it " * 20 + "</p></div>",
+    '<div class="comment-thread-x"><p>' + "Gone, I liked it " * 20 + "</p></div>",
+    '<div class="related-posts-here"><a href=a>Gone one</a> <a href=b>Gone two</a></div>',
+    '<ul class="share"><li><a href=x>Gone</a></ul>', "<div class=newsletter>Gone with our letter</div>", "<aside>Gone</aside>"])
+def test_html_leaves_out_parts_of_an_article_that_are_no_text(block):
+    from starloom.llm.html_text import main_text
+    assert "Gone" not in main_text(article(block)) and "more text" in main_text(article(block))
+
+
+def test_html_leaves_out_a_long_legal_notice():
+    from starloom.llm.html_text import main_text
+    assert "reserved" not in main_text(article("", "<div class=legal>" + "all rights are reserved by us " * 20 + "</div>"))
+
+
+@pytest.mark.parametrize("html", ["<a " * 350000, "<!--" * 250000, "<div>" * 200000 + "x", "<div>" * 90000 + "x" + "</div>" * 80000,
+                                  '<a href="' * 110000 + ">", "<" * 1000000, "</" * 500000, "<![CDATA[" * 110000,
+                                  "<div>" * 100000 + "</nav>" * 80000, "<p><li>" * 140000, "<title>" * 140000])
+def test_html_of_a_megabyte_takes_seconds(html):
+    import time
+
+    from starloom.llm.html_text import main_text
+    start = time.process_time()
+    main_text(html)
+    assert time.process_time() - start < 30
