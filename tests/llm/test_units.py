@@ -195,20 +195,34 @@ def test_escaping_is_reversible(spark):
     assert not any(c in r["e"] for r in got for c in ("<s>", "</s>", "[INST]", "[/INST]", "<|", "<<SYS>>", "<</SYS>>"))
 
 
-def test_chat_windows_hold_the_budget(spark):
-    rows = [(1, i, "system" if i == 0 else ("user", "assistant")[i % 2], "x" * (40 + i % 90)) for i in range(2000)]
+@pytest.mark.parametrize("system", ["x" * 40, None, "s" * 1000, "s" * 6016])
+def test_chat_windows_hold_the_budget(spark, system):
+    """``sum <= budget`` with the system turn, history and own turns, unless one own turn can't fit."""
+    roles = [("system" if i == 0 and system else ("user", "assistant")[i % 2]) for i in range(2000)]
+    rows = [(1, i, r, system if r == "system" else "x" * (40 + i % 90) if i % 97 else "long " * 500) for i, r in enumerate(roles)]
+    rows += [(2, 7, "user", "y" * (i % 200)) for i in range(1500)]        # one turn number for all
     conv = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     made = chat.windows(conv, budget=300, history=80).collect()
     size = lambda t: -(-len(t["text"]) // 4) + 4
     assert len(made) > 50
+    repeated = 0
     for r in made:
         own = [t for t in r["turns"] if not t["repeated"]]
-        again = [t for t in r["turns"] if t["repeated"]]
-        assert r["turns"][0]["role"] == "system" and own
-        assert sum(map(size, own)) <= 300 - 80 + max(map(size, own))
-        assert sum(size(t) for t in again if t["role"] != "system") <= 80 + max(map(size, own + again))
+        again = [t for t in r["turns"] if t["repeated"] and t["role"] != "system"]
+        told = [t for t in own if t["role"] != "system"]
+        if r["conv_id"] == 1 and system:
+            assert r["turns"][0]["role"] == "system"
+        assert told and (sum(map(size, r["turns"])) <= 300 or len(told) == 1 and not again)
+        assert sum(map(size, again)) <= 80
+        assert not again or [t["pos"] for t in again] == list(range(told[0]["pos"] - len(again), told[0]["pos"]))
         assert [t["pos"] for t in r["turns"]] == sorted(t["pos"] for t in r["turns"])
-    assert sorted(t["pos"] for r in made for t in r["turns"] if not t["repeated"]) == list(range(1, 2001))
+        repeated += len(again)
+    assert repeated > 20
+    for c, n in ((1, 2000), (2, 1500)):
+        assert sorted(t["pos"] for r in made if r["conv_id"] == c for t in r["turns"] if not t["repeated"]) == list(range(1, n + 1))
+    # a block's edge cuts off no history
+    edge = [r for r in made if r["conv_id"] == 2 and any(t["pos"] == 513 and not t["repeated"] for t in r["turns"])]
+    assert any(t["pos"] == 512 and t["repeated"] for t in edge[0]["turns"])
 
 
 def test_pairwise_part_equals_the_double_sum():
