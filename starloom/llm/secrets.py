@@ -4,7 +4,11 @@ Every version of a file (here: every row) is addressed by the SHA-256 of its
 text, its blob. The ledger has a row per blob with the rule versions it was
 scanned with and the spans found. A scan takes the distinct blobs, leaves out
 every pair of blob and rule version that the ledger knows, and adds the rest
-to the ledger; findings are joined back to all paths that hold the blob.
+to the ledger, a Parquet table; findings are joined back to all paths that hold
+the blob. A span names the rule version that found it, so what an older version
+found is no longer reported once a newer one has taken its place. The query and
+the pipeline's stage keep their ledger in the session's shared folder; where a
+caller names one that stays, later scans read unseen blobs only.
 
 Text is shuffled once, one row per distinct blob: equal blobs fold in partial
 aggregates before the shuffle, so a blob that a third of all rows hold costs
@@ -22,11 +26,13 @@ fails its length test, as it was found (leftmost, non-overlapping).
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
 from .common import salted_left_join
 
 
@@ -53,7 +59,7 @@ RULES = (
     Rule("hex", 1, r"(?<![0-9a-f])[0-9a-f]{24,}", 0, 24),
 )
 
-SPAN = "array<struct<rule:string,start:bigint,end:bigint>>"
+SPAN = "array<struct<rule:string,version:int,start:bigint,end:bigint>>"
 LEDGER = f"blob string, scanned array<string>, spans {SPAN}"
 
 
@@ -100,11 +106,12 @@ def scan(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule
         "base", F.max(F.when(F.col("i") == 0, F.col("upto") - F.col("gap") - F.col("len"))).over(before))
     end = F.col("upto") - F.col("base")
     names = F.create_map(*[x for n, r in enumerate(rules) for x in (F.lit(n), F.lit(r.kind))])
+    numbers = F.create_map(*[x for n, r in enumerate(rules) for x in (F.lit(n), F.lit(r.version))])
     span = F.struct((end - F.col("len")).alias("start"), F.col("rule").alias("n"), end.alias("end"))
     grouped = rows.groupBy("blob").agg(F.first("todo").alias("scanned"),
                                        F.array_sort(F.collect_list(F.when(F.col("ok"), span))).alias("s"))
     return grouped.select("blob", "scanned", F.transform("s", lambda s: F.struct(
-        names[s["n"]].alias("rule"), s["start"].alias("start"), s["end"].alias("end"))).alias("spans"))
+        names[s["n"]].alias("rule"), numbers[s["n"]].alias("version"), s["start"].alias("start"), s["end"].alias("end"))).alias("spans"))
 
 
 def report(versions: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -114,8 +121,9 @@ def report(versions: DataFrame, ledger: DataFrame) -> DataFrame:
         "path", "blob", F.coalesce("spans", F.array().cast(SPAN)).alias("spans"))
 
 
-def load_increment(versions: DataFrame, ledger_path: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """Scan what the ledger at ``ledger_path`` (Parquet) doesn't know, append it, and report all paths.
+def update_ledger(versions: DataFrame, ledger_path: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """Scan what the ledger at ``ledger_path`` (Parquet) doesn't know and append it;
+    (blob, spans) of every blob in it with a finding of these rule versions.
 
     Ledger rows of one blob (from scans with different rules) are united. A run
     that failed halfway leaves no row of its own, as Parquet appends are
@@ -127,12 +135,20 @@ def load_increment(versions: DataFrame, ledger_path: str, rules: tuple[Rule, ...
     if hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
         known = spark.read.schema(LEDGER).parquet(ledger_path)
     scan(versions, known, rules).write.mode("append").parquet(ledger_path)
-    keys = F.array(*[F.lit(r.key) for r in rules])
-    kinds = [r.kind for r in rules]
-    rows = spark.read.schema(LEDGER).parquet(ledger_path).where(F.arrays_overlap("scanned", keys))
-    united = rows.groupBy("blob").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans"))), _by_start).alias("spans"))
-    united = united.select("blob", F.filter("spans", lambda s: s["rule"].isin(kinds)).alias("spans"))
-    return report(versions, united)
+    keys = [r.key for r in rules]
+    current = F.filter("spans", lambda s: F.concat_ws(":", s["rule"], s["version"]).isin(keys))
+    rows = spark.read.schema(LEDGER).parquet(ledger_path).select("blob", current.alias("spans")).where(F.size("spans") > 0)
+    return rows.groupBy("blob").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans"))), _by_start).alias("spans"))
+
+
+def load_increment(versions: DataFrame, ledger_path: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """Bring the ledger up to ``versions`` (``update_ledger``) and report all their paths."""
+    return report(versions, update_ledger(versions, ledger_path, rules))
+
+
+def own_ledger(df: DataFrame) -> str:
+    """A new ledger's place in the session's shared folder."""
+    return f"{checkpoint_dir(df.sparkSession)}/ledger-{uuid.uuid4().hex}"
 
 
 def _by_start(a: Column, b: Column) -> Column:
@@ -153,19 +169,18 @@ def digests(found: DataFrame) -> DataFrame:
                         F.sha2(text, 256).alias("base_sha256"), text.alias("spans"))
 
 
-def scan_documents(docs: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
-    """(path, blob, spans) of every row of ``docs``, with nothing in the ledger before."""
-    versions = content_address(docs)
-    return report(versions, scan(versions, ledger))
+def scan_documents(docs: DataFrame, ledger_path: str | None = None) -> DataFrame:
+    """(path, blob, spans) of every row of ``docs``; without a ledger's place nothing was scanned before."""
+    return load_increment(content_address(docs), ledger_path or own_ledger(docs))
 
 
-def redact(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
+def redact(docs: DataFrame, mask: str = "[SECRET]", ledger_path: str | None = None) -> DataFrame:
     """``docs`` (same columns) with every found secret in the text replaced by ``mask``.
 
     ``n_chars`` follows the new text. The text's findings come from the ledger
     by its content address; texts without a finding stay as they are.
     """
-    found = scan(content_address(docs)).where(F.size("spans") > 0).select("blob", "spans")
+    found = update_ledger(content_address(docs), ledger_path or own_ledger(docs))
     whole = F.coalesce(F.col("text"), F.lit(""))
     kept = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.sha2(whole, 256).alias("blob"))
     joined = salted_left_join(kept, found, "blob").select("row.*", F.col("spans").alias("__spans"))

@@ -175,6 +175,25 @@ def test_ledger_scans_unseen_pairs_only(spark, scratch):
     assert sorted(tuple(r["scanned"]) for r in fresh) == [("hex:2",), ("hex:2",)]
 
 
+def test_ledger_drops_spans_of_old_rule_versions(spark, scratch):
+    docs = spark.createDataFrame([("a", "token=abcdef99 deadbeefdeadbeefdeadbeef01"), ("b", "token=abcdef99"), (None, None)],
+                                 "doc_id string, text string")
+    folder, one = f"{scratch}/ledger", secrets.content_address(docs)
+    kinds = lambda rows: {r["path"]: [(s["rule"], s["version"]) for s in r["spans"]] for r in rows.collect()}
+    assert kinds(secrets.load_increment(one, folder)) == {"a": [("assign", 1), ("hex", 1)], "b": [("assign", 1)], None: []}
+    nothing = tuple(secrets.Rule("assign", 2, "(?!x)x", 0, 1) if r.kind == "assign" else r for r in secrets.RULES)
+    assert kinds(secrets.load_increment(one, folder, nothing)) == {"a": [("hex", 1)], "b": [], None: []}
+    # a second delivery: only the blob that is new is scanned, with every rule
+    more = secrets.content_address(docs.unionByName(spark.createDataFrame([("c", "token=abcdef99"), ("d", "secret: zzzzzz")], docs.schema)))
+    before = spark.read.parquet(folder)
+    fresh = secrets.scan(more, before, nothing).collect()
+    assert [sorted(r["scanned"]) for r in fresh] == [["access:1", "assign:2", "hex:1"]]
+    assert kinds(secrets.load_increment(more, folder))["c"] == [("assign", 1)]     # the older rule again: its blob was scanned with it
+    # the query's way: a ledger that stays serves the next call without a scan
+    found = secrets.scan_documents(docs, folder)
+    assert found.count() == 3 and spark.read.parquet(folder).where("size(scanned) = 0").count() == 0
+
+
 def test_redacted_text_has_no_secret(spark):
     docs = spark.createDataFrame([(1, "é key token=abcdef99 and AKIA" + "C" * 16 + " end", 0, "blob"), (2, None, None, "x"), (3, "ok", 2, "y")],
                                  "doc_id long, text string, n_chars long, blob string")
