@@ -2,8 +2,9 @@
 
 Method: one 256-entry translate table lowers A-Z and turns every separator
 byte into a blank, ``bytes.split`` gives a document's terms and a Counter its
-frequencies; a task adds them up per (lang, source, term), so the shuffle
-carries sparse counts and no words. Terms that enough documents of a language
+frequencies; a task adds them up per (lang, source, term), first in Python and
+then in the map side of the aggregate, so the shuffle carries sparse counts
+and no words. Terms that enough documents of a language
 have are kept, each group gets smoothed whole-number shares of them, and the
 shares are compared between the sources of a language (summed absolute
 differences) and with the language as a whole (telling terms).
@@ -38,9 +39,10 @@ from .common import checkpoint, small_batches
 #: Lowers A-Z, blanks every ASCII byte that is no letter, keeps all other bytes.
 TRANSLATE = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
 #: (lang, source, term) entries a task holds before it hands them on.
-TASK_ENTRIES = 100_000
-#: Cells (terms x sources) of one block's matrix, about.
-BLOCK_CELLS = 1_000_000
+TASK_ENTRIES = 200_000
+#: Cells (terms x sources) of one block's matrix, about; a block has at least as
+#: many terms as sources, so that the sums leaving it are no more than its cells.
+BLOCK_CELLS = 100_000
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
@@ -92,13 +94,8 @@ def _share(n: Column, total: Column, kept: Column, smooth: int, scale: int) -> C
 
 
 def vocabulary(docs: DataFrame, min_docs: int) -> DataFrame:
-    """(lang, source, term, n, n_lang) of each language's kept terms.
-
-    Partial counts meet once, by (lang, term): the sums per source and those
-    over the language share that layout.
-    """
-    counts = (term_counts(docs).repartition("lang", "term").groupBy("lang", "term", "source")
-              .agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")))
+    """(lang, source, term, n, n_lang) of each language's kept terms."""
+    counts = term_counts(docs).groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     over = Window.partitionBy("lang", "term")
     counts = counts.withColumn("n_lang", F.sum("n").over(over)).withColumn("docs_lang", F.sum("docs").over(over))
     return counts.where(F.col("docs_lang") >= min_docs).select("lang", "source", "term", "n", "n_lang")
@@ -124,7 +121,9 @@ def pair_distances(shares: DataFrame, groups: DataFrame) -> DataFrame:
     ``shares`` has (lang, source, term, p) of the terms that a source has,
     ``groups`` the share ``absent`` of those that it lacks.
     """
-    sizes = groups.groupBy("lang").agg((F.max("kept") * F.count(F.lit(1)) / BLOCK_CELLS + 1).cast("int").alias("blocks"))
+    sources = F.count(F.lit(1))
+    cells = F.greatest(F.lit(BLOCK_CELLS), sources * sources)
+    sizes = groups.groupBy("lang").agg((F.max("kept") * sources / cells + 1).cast("int").alias("blocks"))
     sized = groups.join(sizes, "lang")
     lacks = sized.where("kept > 0").select("lang", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
                                            "source", F.lit(None).cast("string").alias("term"), F.col("absent").alias("p"))
