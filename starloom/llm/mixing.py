@@ -4,11 +4,13 @@ Method: the words of all sources are dealt in blocks of equal size. Blocks go
 to sources by the highest quotients target / (2k + 1) (Sainte-Laguë), and a
 source's blocks to its shards by their words in the same way, so every shard
 has a whole-number quota. A shard's documents stand in a seeded order, its
-words are cut into blocks, and the quota is drawn from them by a seeded
-systematic draw: block j is taken ((j+1)q + r) div b - (jq + r) div b times,
-for b blocks, quota q and a seeded r < b. The words taken up to a place in the
-shard are then one formula, and a document's are the difference of its two
-ends: no block is ever a row.
+words are cut into b blocks, and its quota q is drawn from them by a seeded
+place: every block is taken q div b times, and the q mod b blocks from the
+seeded one on (the last block is followed by the first) once more. As the
+documents' order is seeded, that is a random choice which cuts two documents
+of a shard and takes all others whole. The words taken up to a place in the
+shard are one formula, and a document's are the difference of its two ends: no
+block is ever a row.
 
 Sources share ``share`` times all words by weight; a source's target stops at
 ``most`` times its words and the excess is shared again: target = min(most x
@@ -41,7 +43,7 @@ from .common import checkpoint
 #: Weights of the sources in their order, over and over.
 WEIGHTS = (3, 1, 2)
 #: Words of a shard, about: a shard is one sorted window.
-SHARD_WORDS = 4_000_000
+SHARD_WORDS = 500_000
 #: Copies of one document that one row stands for, at most.
 CHUNK_COPIES = 65_536
 #: Blocks of the smallest target.
@@ -129,13 +131,34 @@ def apportion(parties: DataFrame, group: str, party: str, votes: str, seats: str
         width *= 2
 
 
+def _arcs(block: int) -> tuple[Column, Column, Column]:
+    """Places in a shard between which words are taken once more: from the first to the
+    second, and up to the third (columns quota, blocks, turn)."""
+    upto = F.col("turn") + F.col("quota") % F.col("blocks")
+    return F.col("turn") * block, F.least(upto, F.col("blocks")) * block, F.greatest(upto - F.col("blocks"), F.lit(0)) * block
+
+
 def taken_before(at: Column, block: int) -> Column:
-    """Words taken of a shard's first ``at`` words (columns quota, blocks, turn)."""
-    def drawn(j):
-        return _div(j * F.col("quota") + F.col("turn"), F.col("blocks"))
+    """Words taken of a shard's first ``at`` words."""
+    low, high, wrapped = _arcs(block)
+    once_more = F.greatest(F.least(at, high) - low, F.lit(0)) + F.least(at, wrapped)
+    return _div(F.col("quota"), F.col("blocks")) * at + once_more
+
+
+def taken_spans(start: Column, end: Column, block: int) -> Column:
+    """(start, end, times) of the words that are taken between two places, counted from ``start``."""
+    low, high, wrapped = _arcs(block)
+    cuts = F.array_sort(F.array_distinct(F.array(*[F.greatest(start, F.least(end, p)) for p in (start, low, high, wrapped, end)])))
+
+    def span(i):
+        a, b = F.get(cuts, i), F.get(cuts, i + 1)
+        more = ((a >= low) & (a < high)) | (a < wrapped)
+        return F.struct((a - start).alias("start"), (b - start).alias("end"),
+                        (_div(F.col("quota"), F.col("blocks")) + more.cast("long")).alias("times"))
 
-    j = _div(at, F.lit(block))
-    return drawn(j) * block + (drawn(j + 1) - drawn(j)) * (at - j * block)
+    parts = F.when(F.size(cuts) > 1, F.transform(F.sequence(F.lit(0), F.size(cuts) - 2), span)).otherwise(
+        F.array().cast("array<struct<start:bigint,end:bigint,times:bigint>>"))
+    return F.filter(parts, lambda s: s["times"] > 0)
 
 
 def _div(a: Column, b: Column) -> Column:
@@ -148,7 +171,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: Decimal = De
     """Per row: doc_id, source, size, source_size, target (its source's), taken.
 
     With ``spans`` also ``spans``: (start, end, times) of the document's words
-    that the mix takes, one entry per block that the document touches.
+    that the mix takes.
     """
     runs = checkpoint(sizes(docs))
     sources = checkpoint(targets(runs, weights, share, most).drop("cap"))
@@ -159,7 +182,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: Decimal = De
     seats = (2 * whole * total + parts * block) // (2 * parts * block)  # share x total / block, rounded
     size = F.col("source_size")
     dealt = apportion(
-        sources.withColumn("__one", F.lit(0)).withColumn("__seats", F.lit(seats).cast("long"))
+        sources.withColumn("__one", F.pmod("place", F.lit(1))).withColumn("__seats", F.lit(seats).cast("long"))
         .withColumn("__limit", F.lit(most) * _div(size + (block - 1), F.lit(block))),
         "__one", "place", "target", "__seats", "__limit").select(
             F.col("source").alias("of"), "place", "source_size", "target", F.col("quota").alias("source_quota"),
@@ -191,16 +214,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: Decimal = De
     columns = ["doc_id", "source", "size", "source_size", "target",
                (taken_before(end, block) - taken_before(F.col("start"), block)).alias("taken")]
     if spans:
-        def span(j):
-            low, high = F.greatest(j * block, F.col("start")), F.least((j + 1) * block, end)
-            times = _div((j + 1) * F.col("quota") + F.col("turn"), F.col("blocks")) - _div(
-                j * F.col("quota") + F.col("turn"), F.col("blocks"))
-            return F.struct((low - F.col("start")).alias("start"), (high - F.col("start")).alias("end"), times.alias("times"))
-
-        touched = F.sequence(_div(F.col("start"), F.lit(block)), _div(end - 1, F.lit(block)))
-        made = F.filter(F.transform(touched, span), lambda s: s["times"] > 0)
-        columns.append(F.when(F.col("size") > 0, made).otherwise(F.filter(F.array(span(F.lit(0).cast("long"))), lambda s: F.lit(False)))
-                       .alias("spans"))
+        columns.append(taken_spans(F.col("start"), end, block).alias("spans"))
     return one.select(*columns)
 
 
@@ -228,7 +242,7 @@ blocked as (
   select *, cast(greatest(1, coalesce(floor((select min(target) from aimed where target > 0) / 1024), 0)) as bigint) as block from aimed),
 seated as (
   select *, cast((3 * total + block) // (2 * block) as bigint) as seats, cast(2 * ((words + block - 1) // block) as bigint) as most,
-         cast(words // 4000000 + 1 as bigint) as shards
+         cast(words // 500000 + 1 as bigint) as shards
   from blocked),
 source_quotients as (
   select place, seats, row_number() over (order by target / (2 * k + 1) desc, place, k) as spot
@@ -236,7 +250,7 @@ source_quotients as (
 source_quota as (select place, count(*) as quota from source_quotients where spot <= seats group by all),
 chunked as (
   select source, doc_id, size, copies, per, unnest(range((copies - 1) // per + 1)) as chunk
-  from (select *, greatest(least(4000000 // greatest(size, 1), 65536), 1) as per from runs)),
+  from (select *, greatest(least(500000 // greatest(size, 1), 65536), 1) as per from runs)),
 ordered as (
   select source, doc_id, size, chunk, least(copies - chunk * per, per) as copies,
          md5('1:' || coalesce(cast(doc_id as varchar), '') || ':' || size || ':' || chunk) as hash
@@ -263,11 +277,11 @@ drawn as (
 each as (
   select place, shard, doc_id, size, source_size, target, start + unnest(range(copies)) * size as start from laid),
 ends as (
-  select e.*, d.block, d.blocks, d.quota, d.turn, e.start // d.block as a, (e.start + e.size) // d.block as b
+  select e.*, d.quota // d.blocks as q, d.turn * d.block as low, least(d.turn + d.quota % d.blocks, d.blocks) * d.block as high,
+         greatest(d.turn + d.quota % d.blocks - d.blocks, 0) * d.block as wrapped, e.start + e.size as stop
   from each e join drawn d using (place, shard))
 select doc_id, cast(size as bigint) as size, cast(source_size as bigint) as source_size, target, cast(
-    ((b * quota + turn) // blocks) * block + (((b + 1) * quota + turn) // blocks - (b * quota + turn) // blocks) * (start + size - b * block)
-  - ((a * quota + turn) // blocks) * block - (((a + 1) * quota + turn) // blocks - (a * quota + turn) // blocks) * (start - a * block)
-  as bigint) as taken
+    q * size + greatest(least(stop, high) - low, 0) + least(stop, wrapped)
+  - greatest(least(start, high) - low, 0) - least(start, wrapped) as bigint) as taken
 from ends
 """

@@ -16,7 +16,7 @@ from starloom.llm.queries import ORACLE_SQL, QUERIES
 
 SF = "/root/testdata/sf0.01"
 PER_ROW = {"op2": "documents", "op3": "documents", "op4": "documents", "op5": "documents", "op6": "documents",
-           "op7": "pages", "op10": "documents"}
+           "op7": "pages", "op10": "documents", "op12": "documents", "op13": "documents"}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
