@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import is_small
 from ..session import checkpoint_dir
 
 #: A-Z to a-z, every other byte unchanged (UTF-8 bytes of other letters stay).
@@ -79,6 +80,26 @@ def salted_left_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return left.withColumn("__salt", salt).join(right.withColumn("__salt", every), [key, "__salt"], "left").drop("__salt")
 
 
+#: Rows of one key beyond which a join takes the key's rows apart from the others.
+HOT_ROWS = 10_000
+
+
+def hot_split_join(left: DataFrame, right: DataFrame, key: str, rows: str) -> DataFrame:
+    """Inner join of many rows to one row a key, where ``rows`` of ``right`` is the
+    number of the key's rows on the left.
+
+    Keys of more than ``HOT_ROWS`` rows (a ten-thousandth of the left's rows at
+    most) are broadcast where their rows measure small, so a hot key's rows stay
+    where they are; only the others are shuffled by the key.
+    """
+    hot = checkpoint(right.where(F.col(rows) > HOT_ROWS))
+    if not is_small(hot):
+        return left.join(right, key)  # Spark's skew handling splits the large partitions
+    at_home = left.join(F.broadcast(hot), key)
+    others = left.join(F.broadcast(hot.select(key)), key, "left_anti").join(right.where(F.col(rows) <= HOT_ROWS), key)
+    return at_home.unionByName(others)
+
+
 def fold_of(doc_id: Column | str, folds: int) -> Column:
     """crc32(doc_id as text) mod ``folds``; a null id counts as the empty text."""
     col = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -38,14 +38,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import broadcast_if_small
 from . import golay
-from .common import ASCII_LOWER, by_text, checkpoint, salted_left_join
+from .common import ASCII_LOWER, by_text, checkpoint, hot_split_join, salted_left_join
 from .components import connected_components
 
 SEED = 42
 SEGMENTS = ((0, 23), (23, 23), (46, 18))
 #: Members of one key that one task compares; larger keys go on as pairs of blocks.
 BUCKET = 20_000
+#: Fingerprints whose keys one task makes.
+TASK_FINGERPRINTS = 16_000
 
 
 def fingerprint(text: str | None, shingle: int) -> int:
@@ -184,7 +187,9 @@ def links(distinct: DataFrame, max_bits: int = 4, bucket: int = BUCKET) -> DataF
             out = _links(pairs)
             yield pa.RecordBatch.from_pydict({"key": pa.nulls(len(out["a"]), pa.int64()), **out})
 
-    keys = distinct.select("fp").mapInArrow(keyed, "key bigint, fp bigint")
+    # some 180 keys a fingerprint are made, so the few bytes of a fingerprint say nothing about a task's size
+    tasks = -(-distinct.count() // TASK_FINGERPRINTS) or 1
+    keys = distinct.select("fp").repartition(tasks, "fp").mapInArrow(keyed, "key bigint, fp bigint")
     dealt = keys.repartition("key").sortWithinPartitions("key")
     found = checkpoint(dealt.mapInArrow(compared, "key bigint, a bigint, b bigint"))
     small = found.where("key is null").select("a", "b")
@@ -195,7 +200,7 @@ def _large_keys(rows: DataFrame, max_bits: int, bucket: int) -> DataFrame:
     """Keys of more than ``bucket`` members: every pair of blocks of members, each in its own task."""
     counts = rows.groupBy("key").count().where(F.col("count") > 0)
     blocks = F.ceil(F.col("count") * 2 / F.lit(bucket)).cast("int")
-    rows = rows.join(counts.select("key", blocks.alias("n")), "key").withColumn(
+    rows = rows.join(broadcast_if_small(counts.select("key", blocks.alias("n"))), "key").withColumn(
         "i", F.pmod(F.xxhash64("fp"), F.col("n")).cast("int"))
     pairs = rows.select("key", "fp", F.explode(F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda j: F.struct(
         F.least("i", j).alias("i"), F.greatest("i", j).alias("j")))).alias("p"))
@@ -210,22 +215,22 @@ def _large_keys(rows: DataFrame, max_bits: int, bucket: int) -> DataFrame:
 
 
 def _classes(marked: DataFrame, max_bits: int, bucket: int) -> DataFrame:
-    """(fp, group, component_id) of every fingerprint in ``marked`` (doc_id, fp)."""
-    distinct = checkpoint(marked.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    """(fp, rows, group, component_id) of every fingerprint in ``marked`` (doc_id, fp)."""
+    distinct = checkpoint(marked.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows")))
     found = connected_components(links(distinct, max_bits, bucket))
     grouped = distinct.join(found, distinct["fp"] == found["node"], "left").select(
-        "fp", "first", F.coalesce("component", "fp").alias("group"))
+        "fp", "first", "rows", F.coalesce("component", "fp").alias("group"))
     # only groups of several fingerprints need the way back; a large one is salted
     several = grouped.groupBy("group").agg(F.min("first").alias("low"), F.count("*").alias("n")).where("n > 1")
     return salted_left_join(grouped, several.select("group", "low"), "group").select(
-        "fp", "group", F.coalesce("low", "first").alias("component_id"))
+        "fp", "rows", "group", F.coalesce("low", "first").alias("component_id"))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, bucket: int = BUCKET,
                     text: str = "text") -> DataFrame:
     """doc_id, fp, component_id (smallest doc_id reachable over links), one row per input row."""
     marked = checkpoint(fingerprints(docs, shingle, ("doc_id",), text))
-    return marked.join(_classes(marked, max_bits, bucket), "fp").select("doc_id", "fp", "component_id")
+    return hot_split_join(marked, checkpoint(_classes(marked, max_bits, bucket)), "fp", "rows").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4, bucket: int = BUCKET) -> DataFrame:
@@ -237,8 +242,8 @@ def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4, bucket: int =
     that repeat both are compared with each other.
     """
     marked = checkpoint(fingerprints(docs, shingle, ("doc_id",)))
-    classes = _classes(marked, max_bits, bucket)
-    first = marked.join(classes, "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    classes = checkpoint(_classes(marked, max_bits, bucket))
+    first = hot_split_join(marked, classes, "fp", "rows").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     chosen = first.groupBy("group").agg(F.min("doc_id").alias("__id"), F.min(F.struct("fp")).alias("k"))
     counts = marked.groupBy("doc_id", "fp").agg(F.count("*").alias("__n"))
     chosen = chosen.select("__id", F.col("k.fp").alias("__fp"))
