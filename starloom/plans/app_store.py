@@ -32,11 +32,11 @@ from ..operators.lookups import build_lookup, build_lookups, extend_lookup
 from ..operators.quality import check_not_empty, check_unique, run_checks
 from ..operators.refresh import FactSpec, Refresh, refresh_fact
 from ..operators.ranks import measure_by_child, measure_by_child_count, rank_by
-from ..sources.documents import read_permission_feed
+from ..sources.documents import permission_rows_of, read_permission_documents
 from ..sources.lake import (StarReport, append_rows, publish_star, publish_table, read_if_exists, read_star,
                             read_table, table_exists, upsert_buckets)
 from ..session import checkpoint_dir
-from ..sources.text import read_app_feed
+from ..sources.text import APP_COLUMNS, APP_HEADER_PREFIX, parse_lines, read_lines
 
 
 @dataclass(frozen=True)
@@ -345,9 +345,13 @@ def load_app_layer(spark: SparkSession, feed: str, root: str,
     """App feed files -> DEVELOPER, APP_CATEGORY, CONTENT_RATING,
     CURRENCY_TYPE, then APP (which resolves its keys against the
     just-published tables). Lines that don't parse go to APP_REJECTS."""
-    records, rejects = read_app_feed(spark, feed)
-    published = load_app_records(spark, records, root, opts)
-    return {**published, NAMES.app_rejects: keep_rejects(rejects, _path(root, NAMES.app_rejects))}
+    # each line is parsed once: records and rejects are taken from the staged result
+    parsed = stage(clean_dates(parse_lines(read_lines(spark, feed), APP_COLUMNS, APP_HEADER_PREFIX)))
+    published = load_app_records(spark, parsed.where("_reject is null").drop("_reject"), root, opts, cleaned=True)
+    rejects = parsed.where("_reject is not null").select("_reject.*")
+    published[NAMES.app_rejects] = keep_rejects(rejects, _path(root, NAMES.app_rejects))
+    unstage(parsed)
+    return published
 
 
 def keep_rejects(rejects: DataFrame, path: str) -> str:
@@ -368,20 +372,23 @@ def keep_rejects(rejects: DataFrame, path: str) -> str:
 
 
 def load_app_records(spark: SparkSession, records: DataFrame, root: str,
-                     opts: Options = Options()) -> dict[str, str]:
-    """C22 on already parsed records (24 string columns).
+                     opts: Options = Options(), cleaned: bool = False) -> dict[str, str]:
+    """C22 on already parsed records (24 string columns; with ``cleaned`` their
+    dates are parsed and the caller has staged them).
 
     The cleaned records are staged once as Parquet and read by all five
     tables. Every step extends or upserts, so loading the same records twice
     changes nothing. Each table is read again after it was published.
     """
-    records = stage(clean_dates(records))
+    staged = None if cleaned else stage(clean_dates(records))
+    records = records if cleaned else staged
     names = [NAMES.developer] + [getattr(NAMES, attr) for _, attr, _, _ in LOOKUPS]
     old = {n: read_if_exists(spark, _path(root, n)) for n in names}
     frames = app_dimensions(records, old)
     with ThreadPoolExecutor(max_workers=len(frames)) as pool:  # independent tables
         published = dict(zip(frames, pool.map(lambda n: publish_table(frames[n], _path(root, n)), frames)))
-    dims = {n: read_table(spark, _path(root, n)) for n in names}
+    # what is known of the frames' sizes holds for the tables written from them
+    dims = {n: carry_known(frames[n], read_table(spark, _path(root, n))) for n in names}
     path = _path(root, NAMES.app)
     if opts.app_buckets and opts.incremental_app:
         # of an app's versions in one delivery the last updated one stays, as in the upsert below
@@ -392,7 +399,8 @@ def load_app_records(spark: SparkSession, records: DataFrame, root: str,
             app_detail(records, dims, opts, read_table(spark, path)), path)
     else:
         published[NAMES.app] = publish_table(app_detail(records, dims, opts), path)
-    unstage(records)
+    if staged is not None:
+        unstage(staged)
     return published
 
 
@@ -400,29 +408,32 @@ def load_permission_layer(spark: SparkSession, feed: str, root: str,
                           opts: Options = Options(), multiline: bool = True) -> dict[str, str]:
     """Permission documents -> PERMISSION_TYPE, PERMISSION, APP_PERMISSION;
     records that don't parse go to PERMISSION_REJECTS."""
-    perms, rejects = read_permission_feed(spark, feed, multiline)
-    published = load_permission_rows(spark, perms, root, opts)
-    return {**published,
-            NAMES.permission_rejects: keep_rejects(rejects, _path(root, NAMES.permission_rejects))}
+    docs = stage(read_permission_documents(spark, feed, multiline))  # each document is parsed once
+    perms, rejects = permission_rows_of(docs)
+    published = load_permission_rows(spark, perms, root, opts, staged=True)
+    published[NAMES.permission_rejects] = keep_rejects(rejects, _path(root, NAMES.permission_rejects))
+    unstage(docs)
+    return published
 
 
 def load_permission_rows(spark: SparkSession, perms: DataFrame, root: str,
-                         opts: Options = Options()) -> dict[str, str]:
-    """C23 on flattened (appId, appName, permission, type) rows."""
-    perms = stage(perms)
+                         opts: Options = Options(), staged: bool = False) -> dict[str, str]:
+    """C23 on flattened (appId, appName, permission, type) rows (``staged`` by the caller, or here)."""
+    perms = perms if staged else stage(perms)
 
     def old(name: str) -> DataFrame | None:
         return read_if_exists(spark, _path(root, name))
 
     def publish(name: str, df: DataFrame) -> DataFrame:
         published[name] = publish_table(df, _path(root, name))
-        return read_table(spark, _path(root, name))
+        return carry_known(df, read_table(spark, _path(root, name)))
 
     published: dict[str, str] = {}
     ptype = publish(NAMES.permission_type, permission_types(perms, old(NAMES.permission_type)))
     perm = publish(NAMES.permission, permissions(perms, ptype, opts, old(NAMES.permission)))
     publish(NAMES.app_permission, app_permission(perms, ptype, perm, opts, old(NAMES.app_permission)))
-    unstage(perms)
+    if not staged:
+        unstage(perms)
     return published
 
 
