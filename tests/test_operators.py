@@ -206,6 +206,15 @@ def test_profile_table(spark):
     assert got == {"s": (3, 1, 1, "a", "a"), "n": (3, 1, 2, "1", "3")}
 
 
+def test_profile_table_holds_one_column_a_task(spark, capsys):
+    df = spark.createDataFrame([("a", 1, 0.0), ("a", None, -0.0), (None, 3, float("nan"))], "s string, n int, d double")
+    out = profile_table(df, with_range=True)
+    out.explain()
+    plan = capsys.readouterr().out
+    assert "Expand" not in plan and not any("SortAggregate(key=[" in line and "key=[]" not in line for line in plan.splitlines())
+    assert {r.col: (r.n, r.nulls, r.distincts) for r in out.collect()} == {"s": (3, 1, 1), "n": (3, 1, 2), "d": (3, 0, 2)}
+
+
 def test_join_helpers(spark):
     a = spark.createDataFrame([(None, 1), ("x" * 100, 2)], "k string, a int")
     assert measured_bytes(a) == 2 * 32 + 100
