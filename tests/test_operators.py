@@ -9,7 +9,8 @@ from starloom.operators.bridge import append_bridge, build_bridge
 from starloom.operators.detail import KeyMap, changed_rows, resolve_keys, upsert_detail
 from starloom.operators.dimensions import (build_child_dimension, extend_child_dimension,
                                            upsert_dimension)
-from starloom.operators.facts import rollup_fact
+from starloom.operators import joins
+from starloom.operators.facts import rollup_fact, star_rows
 from starloom.operators.ids import dense_ids, global_rank
 from starloom.operators.joins import broadcast_if_small, known_bytes, measured_bytes
 from starloom.operators.lookups import build_lookup, build_lookups, extend_lookup
@@ -175,6 +176,26 @@ def test_rollup_fact_equals_one_shot_sql(spark):
     assert norm(got) == norm(expected.select(*got.columns))
 
 
+def test_large_stars_are_dealt_by_their_number_of_rows(spark, monkeypatch, capsys):
+    detail = spark.createDataFrame([(i % 50 if i % 9 else None, "ab"[i % 2], float(i)) for i in range(60)], "i long, g string, v double")
+    bridge = spark.createDataFrame([(j % 50, j % 7 if j % 11 else None) for j in range(400)], "i long, c long")
+    child = spark.createDataFrame([(c % 6, "xyz"[c % 3]) for c in range(8)], "c long, t string")
+
+    def fact(limit):
+        rows = star_rows(detail, bridge, child, "i", "c", broadcast_bytes=limit)
+        return rollup_fact(rows, [("g", F.col("g")), ("t", F.col("t"))], "i", "c", sums=[("v", F.col("v"))],
+                           flags=[("f", F.col("v") > 20)], ratios=[("m", "v")])
+
+    few = {limit: sorted(fact(limit).collect()) for limit in (0, 1 << 20)}
+    monkeypatch.setattr(joins, "TASK_ROWS", 10)  # as many rows a task at most: 40 tasks
+    for limit, want in few.items():
+        many = fact(limit)
+        many.explain()
+        plan = capsys.readouterr().out
+        assert "hashpartitioning(i#" in plan and ", 40), REPARTITION_BY_NUM" in plan
+        assert sorted(many.collect()) == want
+
+
 def test_rollup_fact_once_per_item(spark):
     df = spark.createDataFrame([("g", "a1", 1, 10.0), ("g", "a1", 2, 10.0), ("g", "a2", 1, 4.0)],
                                "g string, app string, perm int, rating double")
