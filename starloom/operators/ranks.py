@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .ids import global_rank
+from .joins import broadcast_if_small, carry_known, parts_for
 
 
 def rank_by(df: DataFrame, dim: Sequence[str] | str, measure: Column, how: str = "sum",
@@ -54,10 +55,17 @@ def measure_by_child(detail: DataFrame, bridge: DataFrame, child: DataFrame, ite
     """How an item measure (e.g. rating) relates to a child (e.g. one
     permission) or a group of children (its type): per value of ``by`` the
     number of items that have it and their mean. An item counts once per value.
+
+    A child that measures small is broadcast. The pairs are dealt once, by the
+    item: that serves their distinct and the join with the detail.
     """
     bi = bridge_item or item
-    pairs = bridge.select(F.col(bi).alias(item), child_key).join(child.select(child_key, *by), child_key)
-    rows = pairs.select(item, *by).distinct().join(detail.select(item, measure.alias("_sl_m")), item)
+    known = carry_known(child, child.select(child_key, *by))
+    pairs = bridge.select(F.col(bi).alias(item), child_key).join(broadcast_if_small(known), child_key).select(item, *by)
+    parts = parts_for(bridge)
+    pairs = pairs.repartition(parts, item) if parts else pairs.repartition(item)
+    one = detail.select(item, measure.alias("_sl_m"))
+    rows = pairs.distinct().join(one.repartition(parts, item) if parts else one, item)
     return rows.groupBy(*by).agg(
         F.count(F.lit(1)).alias(items_name),
         F.try_divide(F.sum("_sl_m").cast("double"), F.count("_sl_m").cast("double")).alias(avg_name))

@@ -324,3 +324,17 @@ def test_profile_table_approx(spark):
     approx = {r.col: r.distincts for r in profile_table(df, approx=True).collect()}
     assert exact == {"a": 97, "b": 1000}
     assert all(abs(approx[c] - exact[c]) <= 0.05 * exact[c] for c in exact)
+
+
+def test_measure_by_child_deals_its_pairs_once(spark, capsys):
+    from starloom.operators.ranks import measure_by_child
+
+    detail = spark.createDataFrame([(1, 2.0), (2, 4.0), (2, 6.0), (3, None), (None, 9.0)], "i long, r double")
+    bridge = spark.createDataFrame([(1, 1), (1, 2), (1, 1), (2, 1), (3, 1), (4, 1), (None, 1), (2, None), (2, 9)], "i long, c long")
+    child = spark.createDataFrame([(1, "x"), (2, "x"), (3, "y"), (None, "z"), (9, None)], "c long, t string")
+    out = measure_by_child(detail, bridge, child, "i", "c", F.col("r"), ["t"])
+    out.explain()
+    plan = capsys.readouterr().out
+    assert "hashpartitioning(c#" not in plan  # the bridge isn't dealt by its few children
+    assert plan.count("Exchange hashpartitioning(i#") == 2  # the pairs once, and the detail
+    assert sorted(out.collect(), key=str) == sorted([("x", 4, 4.0), (None, 2, 5.0)], key=str)
