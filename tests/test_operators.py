@@ -338,3 +338,15 @@ def test_measure_by_child_deals_its_pairs_once(spark, capsys):
     assert "hashpartitioning(c#" not in plan  # the bridge isn't dealt by its few children
     assert plan.count("Exchange hashpartitioning(i#") == 2  # the pairs once, and the detail
     assert sorted(out.collect(), key=str) == sorted([("x", 4, 4.0), (None, 2, 5.0)], key=str)
+
+
+def test_latest_per_key_holds_each_column_once(spark, capsys):
+    df = spark.createDataFrame([(1, 5, "a", None), (1, 5, "b", 1), (1, None, "z", 9), (2, None, None, 3), (2, None, "c", None)],
+                               "k int, o int, s string, n int")
+    out = latest_per_key(df, "k", ["o"], ["s", "o", "n"])
+    out.explain("extended")
+    analyzed = capsys.readouterr().out.split("== Analyzed Logical Plan ==")[1].split("== Optimized")[0]
+    struct = analyzed.split("max(struct(")[1].split(")")[0]
+    assert struct.count("#") == 3  # o, s and n; they stood there as order, tiebreak and payload
+    assert sorted(out.collect()) == [(1, "b", 5, 1), (2, "c", None, None)]
+    assert latest_per_key(df, "k", "o", ["n"], tiebreak=["s"]).where("k = 1").collect() == [(1, 1)]
