@@ -33,8 +33,13 @@ def _c(col: Column | str) -> Column:
 
 
 def strip_quotes(col: Column | str) -> Column:
-    """Remove ``"`` from both ends; inner doubled quotes stay doubled."""
-    return F.btrim(_c(col), F.lit('"'))
+    """Remove ``"`` from both ends; inner doubled quotes stay doubled.
+
+    ``btrim`` with characters walks the whole text, so a text without a quote at
+    either end, as most fields are, is turned away by its first and last byte.
+    """
+    c = _c(col).cast("string")
+    return F.when(c.startswith('"') | c.endswith('"'), F.btrim(c, F.lit('"'))).otherwise(c)
 
 
 def unescape_quotes(col: Column | str) -> Column:

@@ -6,11 +6,12 @@ import re
 
 from pyspark.sql import functions as F
 
+from starloom.functions.clean import strip_quotes
 from starloom.operators.detail import KeyMap, resolve_keys
 from starloom.operators.ids import dense_ids
 from starloom.operators.lookups import build_lookup
 from starloom.operators.newest import latest_per_key
-from starloom.plans.catalog import q_rollup_fact, table
+from starloom.plans.catalog import permission_documents, permission_rows, q_rollup_fact, table
 
 SF = "/root/testdata/sf0.01"
 
@@ -68,3 +69,24 @@ def test_no_registered_query_plans_a_cross_product(spark):
         text = formatted(query(spark, "/root/testdata/sf0.001"))
         assert "CartesianProduct" not in text, name
         assert "BroadcastNestedLoopJoin" not in text, name
+
+
+def test_permission_documents_are_dealt_before_they_are_collected(spark, scratch):
+    """A document's rows meet by one shuffle of plain rows; no lists are made in the map tasks."""
+    spark.createDataFrame([(1, 10, 1), (1, 10, 1), (1, 11, 4), (2, 12, 2), (None, 11, 7), (None, 10, 5), (3, None, 1)],
+                          "l_orderkey long, l_partkey long, l_linenumber int").write.parquet(f"{scratch}/lineitem.parquet")
+    spark.createDataFrame([(10, "p", "x"), (11, None, "y"), (12, "q", None)],
+                          "p_partkey long, p_name string, p_type string").write.parquet(f"{scratch}/part.parquet")
+    plan = permission_documents(spark, scratch)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("partial_collect_list") < plan.index("hashpartitioning(l_orderkey")  # printed from the top
+    rows = [tuple(r) for r in permission_rows(spark, scratch).select("appId", "permission", "type").collect()]
+    assert sorted(rows, key=repr) == sorted([("app.1", "p", "x"), ("app.1", "p", "x"), ("app.1", None, "y"), ("app.2", "q", None),
+                                             (None, None, "y"), (None, "p", "x")], key=repr)
+
+
+def test_stripping_quotes_walks_only_texts_that_have_some_at_an_end(spark):
+    texts = [None, "", "a", '"', '""', '"a"', 'a"', '"a', 'a"b', '"a""b"', '""a""', ' "a" ', 'é"']
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", strip_quotes("t").alias("s"))
+    assert [r["s"] for r in df.collect()] == [t if t is None else t.strip('"') for t in texts]
+    plan = df._jdf.queryExecution().analyzed().toString()
+    assert re.search(r"CASE WHEN \(?startswith.*endswith.*THEN btrim", plan, re.I), plan
