@@ -119,6 +119,41 @@ def test_groups_without_rows_go(spark, tmp_path):
     assert read() == sorted([("b", "x", 15, 2, 1), (None, "x", 8, 1, 1), (None, None, 8, 1, 1)], key=key)
 
 
+def test_many_rows_are_dealt_before_versions_are_compared(spark, tmp_path, monkeypatch):
+    """Rows that hardly repeat aren't held by the map tasks; rows more often in one version are changes."""
+    from starloom.operators import joins
+    from starloom.sources.lake import changed_between, publish_table
+    monkeypatch.setattr(joins, "TASK_ROWS", 4)
+    path, rows = str(tmp_path / "t"), [(i, i % 3) for i in range(40)] + [(None, None)] * 2
+    for now in (rows, [r for r in rows if r[0] != 7] + [(5, 2), (50, 1), (None, None)]):
+        publish_table(spark.createDataFrame(now, "i int, p int"), path)
+    found = changed_between(spark, path, 1, 2, ["i", "p"])
+    assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, [(7, 1), (5, 2), (50, 1), (None, None)]))
+    assert re.search(r"REPARTITION_BY_NUM", formatted(found))
+
+
+def test_fact_groups_by_numbers_of_its_keys(spark):
+    """The star carries a number for the detail's and one for the child's keys; the fact is the one of the keys
+    themselves, for all groups and for some, with null keys and rows that come twice."""
+    from starloom.operators.refresh import FactSpec
+    spec = FactSpec(detail_keys=[("k", F.col("d")), ("m", F.col("v") % 2)], child_keys=[("t", F.col("c"))], item="i", child="p",
+                    detail_columns=("d", "v"), child_columns=("c",), sums=[("s", F.col("v"))], flags=[("f", F.col("v") > 4)],
+                    ratios=[("a", "s")], order=("k", "m", "t"))
+    detail = spark.createDataFrame([(i % 30, None if i % 5 == 0 else f"d{i % 4}", i % 7 or None) for i in range(40)], "i int, d string, v int")
+    bridge = spark.createDataFrame([(i % 32, i % 9) for i in range(200)] + [(None, 1), (1, None)], "i int, p int")
+    child = spark.createDataFrame([(p, None if p == 3 else f"c{p % 3}") for p in (1, 2, 3, 4, 5, 5, 6)], "p int, c string")
+    got = lambda df: sorted(map(repr, map(tuple, df.collect())))
+    whole = spec.rollup(spec.rows(detail, bridge, child))
+    fact = spec.fact(detail, bridge, child)
+    assert fact.columns == whole.columns and fact.dtypes == whole.dtypes
+    assert got(fact) == got(whole)
+    assert re.search(r"hashpartitioning\(_sl_nd#\d+L, _sl_nc#\d+L", formatted(fact))
+    touched = whole.select("k", "m", "t").where("k is null or t is null or k = 'd1'").checkpoint()
+    some = whole.where("k is null or t is null or k = 'd1'")
+    assert 0 < some.count() < whole.count()
+    assert got(spec.fact(detail, bridge, child, touched, 200)) == got(some)
+
+
 def test_bucketed_tables_join_without_a_shuffle(spark):
     orders, items = lake_queries.bucketed_star(spark, SF, buckets=4)
     text = simple(orders.join(items, orders.o_orderkey == items.l_orderkey))
