@@ -246,3 +246,49 @@ def test_renumbered_permissions(spark, lake, tmp_path):
     perm = sorted((r.Permission_Id, r.Permisison_Desc) for r in read_table(spark, os.path.join(root, "PERMISSION")).collect())
     assert perm == [(4, "camera"), (5, "read contacts")]
     assert current_path(spark, os.path.join(root, "PERMISSION")).split("/")[-1].startswith("v0000000002")
+
+
+def test_a_delivery_is_made_in_its_turn_and_goes_once_it_is_loaded(spark, scratch, monkeypatch):
+    """Compressed, in files of few lines, every line of the derived feeds; one delivery on disk at a time."""
+    import glob
+    import gzip
+
+    from starloom.plans import catalog
+
+    tables = {"orders": ([(n, n % 2 + 1, "OFP"[n % 3], 10.5 * n, "1-URGENT") for n in range(1, 13)],
+                         "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderpriority string"),
+              "customer": ([(1, "A", 3, 1.0, "AUTO"), (2, "B", 12, -1.0, "HOME")],
+                           "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"),
+              "lineitem": ([(n, 10, line) for n in range(1, 13) for line in (1, 2, 4)], "l_orderkey long, l_partkey long, l_linenumber int"),
+              "part": ([(10, "p", "x")], "p_partkey long, p_name string, p_type string"),
+              "nation": ([(n,) for n in range(3)], "n_nationkey int"), "region": ([("EU",), ("ASIA",)], "r_name string")}
+    for name, (rows, schema) in tables.items():
+        df = spark.createDataFrame(rows, schema)
+        if name == "orders":
+            df = df.withColumn("o_orderdate", F.lit("1996-01-02").cast("timestamp_ntz"))
+        df.write.parquet(f"{scratch}/{name}.parquet")
+    seen, bases = [], []
+
+    def run_all(spark, apps, documents, root, warehouse, opts, multiline):
+        base = os.path.dirname(apps.removeprefix("file:"))
+        bases.append(base)
+        text = {}
+        for name in os.listdir(base):
+            files = glob.glob(f"{base}/{name}/part-*")
+            assert files and all(f.endswith(".gz") for f in files)
+            lines = [gzip.open(f, "rt").read().splitlines() for f in files]
+            assert max(map(len, lines)) <= 5
+            text[name] = sorted(x for one in lines for x in one)
+        seen.append(text)
+
+    monkeypatch.setattr(catalog, "run_all", run_all)
+    monkeypatch.setattr(catalog, "TASK_ROWS", 5)
+    catalog._load(spark, scratch)
+    apps = [r[0] for r in catalog.app_feed_lines(spark, scratch).collect()]
+    docs = [r[0] for r in catalog.permission_documents(spark, scratch).collect()]
+    early = {f"app.{n}" for n in (1, 2, 3, 4, 10, 11, 12)}
+    assert seen[0] == {"apps1": sorted(a for a in apps if a.startswith("App Name") or a.split(",")[2] in early),
+                       "docs1": sorted(d for d in docs if json.loads(d)["appId"] in early)}
+    assert seen[1] == {"apps2": sorted([*apps, *[f"cut,{n}" for n in range(3)]]),
+                       "docs2": sorted([*docs, *[f'{{"appId":"{r}' for r in ("EU", "ASIA")]])}
+    assert not os.path.exists(bases[0]) or os.listdir(bases[0]) == []

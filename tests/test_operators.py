@@ -350,3 +350,13 @@ def test_latest_per_key_holds_each_column_once(spark, capsys):
     assert struct.count("#") == 3  # o, s and n; they stood there as order, tiebreak and payload
     assert sorted(out.collect()) == [(1, "b", 5, 1), (2, "c", None, None)]
     assert latest_per_key(df, "k", "o", ["n"], tiebreak=["s"]).where("k = 1").collect() == [(1, 1)]
+
+
+def test_upsert_of_rows_known_to_be_one_a_key_does_not_group_them_again(spark):
+    from starloom.operators.detail import upsert_detail
+
+    old = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k long, s string")
+    new = spark.createDataFrame([(2, "x"), (None, None), (3, "y")], "k long, s string")
+    got = upsert_detail(old, new, "k", one_per_key=True)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, upsert_detail(old, new, "k").collect()), key=repr)
+    assert "Aggregate" not in got._jdf.queryExecution().optimizedPlan().toString()
