@@ -248,13 +248,8 @@ def test_renumbered_permissions(spark, lake, tmp_path):
     assert current_path(spark, os.path.join(root, "PERMISSION")).split("/")[-1].startswith("v0000000002")
 
 
-def test_a_delivery_is_made_in_its_turn_and_goes_once_it_is_loaded(spark, scratch, monkeypatch):
-    """Compressed, in files of few lines, every line of the derived feeds; one delivery on disk at a time."""
-    import glob
-    import gzip
-
-    from starloom.plans import catalog
-
+def _order_tables(spark, scratch):
+    """Twelve orders of three lines each, and what the derived feeds join to them."""
     tables = {"orders": ([(n, n % 2 + 1, "OFP"[n % 3], 10.5 * n, "1-URGENT") for n in range(1, 13)],
                          "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderpriority string"),
               "customer": ([(1, "A", 3, 1.0, "AUTO"), (2, "B", 12, -1.0, "HOME")],
@@ -267,6 +262,16 @@ def test_a_delivery_is_made_in_its_turn_and_goes_once_it_is_loaded(spark, scratc
         if name == "orders":
             df = df.withColumn("o_orderdate", F.lit("1996-01-02").cast("timestamp_ntz"))
         df.write.parquet(f"{scratch}/{name}.parquet")
+
+
+def test_a_delivery_is_made_in_its_turn_and_goes_once_it_is_loaded(spark, scratch, monkeypatch):
+    """Compressed, in files of few lines, every line of the derived feeds; one delivery on disk at a time."""
+    import glob
+    import gzip
+
+    from starloom.plans import catalog
+
+    _order_tables(spark, scratch)
     seen, bases = [], []
 
     def run_all(spark, apps, documents, root, warehouse, opts, multiline):
@@ -292,3 +297,16 @@ def test_a_delivery_is_made_in_its_turn_and_goes_once_it_is_loaded(spark, scratc
     assert seen[1] == {"apps2": sorted([*apps, *[f"cut,{n}" for n in range(3)]]),
                        "docs2": sorted([*docs, *[f'{{"appId":"{r}' for r in ("EU", "ASIA")]])}
     assert not os.path.exists(bases[0]) or os.listdir(bases[0]) == []
+
+
+def test_load_counts_leaves_the_tables_and_no_feeds(spark, scratch, monkeypatch):
+    from starloom.plans import catalog
+
+    _order_tables(spark, scratch)
+    base = os.path.join(scratch, "load")
+    monkeypatch.setattr(catalog, "_scratch", lambda spark, name: base)
+    got = {r["what"]: r["n"] for r in catalog.q_load_counts(spark, scratch).collect()}
+    assert sorted(os.listdir(base)) == ["lake", "warehouse"]
+    want = {"APP": 12, "APP_CATEGORY": 1, "CONTENT_RATING": 3, "DEVELOPER": 2, "CURRENCY_TYPE": 2, "APP_PERMISSION": 12, "PERMISSION": 1,
+            "PERMISSION_TYPE": 1, "APP_REJECTS": 3, "PERMISSION_REJECTS": 2, "APP_FACT not empty": 1, "APP_REJECTS empty": 0}
+    assert {k: got.get(k) for k in want} == want and len(got) == 35
